@@ -206,3 +206,53 @@ def with_ctes(ctes: list[str], body: str) -> str:
         if c not in seen:
             seen.append(c)
     return "WITH " + ",\n".join(seen) + "\n" + body
+
+
+def bucket_sql(ts: str, minutes: int) -> str:
+    return f"(date_trunc('hour', {ts}) + to_minutes(CAST(floor(minute({ts}) / {minutes}) * {minutes} AS BIGINT)))"
+
+
+def label_sql(ts_utc: str) -> str:
+    return f"strftime({to_local_sql(ts_utc)}, '%Y-%m-%d %H:%M')"
+
+
+def buckets_cte(minutes: int, name: str = "buckets") -> str:
+    return f"""{name} AS (
+  SELECT {bucket_sql('ts_utc', minutes)} AS bucket_utc, {label_sql(bucket_sql('ts_utc', minutes))} AS label, route_id,
+         avg(CASE WHEN isnan(delay_s) THEN NULL ELSE delay_s END) AS value
+  FROM panel GROUP BY 1, 2, 3
+)"""
+
+
+CLEAN = """clean AS (
+  SELECT * EXCLUDE (rn, hour, dow, is_weekend, wx_precip_mm, is_public_holiday, is_civic_holiday, is_holiday, is_school_break,
+                    is_mega_event, is_parade, is_shopping_peak),
+         CAST(hour(ts_local) AS BIGINT) AS hour, CAST(isodow(ts_local) - 1 AS BIGINT) AS dow,
+         isodow(ts_local) IN (6, 7) AS is_weekend,
+         sin(2 * pi() * hour(ts_local) / 24.0) AS hour_sin, cos(2 * pi() * hour(ts_local) / 24.0) AS hour_cos,
+         sin(2 * pi() * (isodow(ts_local) - 1) / 7.0) AS dow_sin, cos(2 * pi() * (isodow(ts_local) - 1) / 7.0) AS dow_cos,
+         coalesce(is_public_holiday, false) AS is_public_holiday, coalesce(is_civic_holiday, false) AS is_civic_holiday,
+         coalesce(is_holiday, false) AS is_holiday, coalesce(is_school_break, false) AS is_school_break,
+         coalesce(is_mega_event, false) AS is_mega_event, coalesce(is_parade, false) AS is_parade,
+         coalesce(is_shopping_peak, false) AS is_shopping_peak,
+         travel_time_s IS NOT NULL AND delay_s IS NOT NULL AND coalesce(sample_count, 0) >= 0 AS obs_travel,
+         wx_temp_c IS NOT NULL AS obs_weather, TRY_CAST(wx_precip_mm AS DOUBLE) AS wx_precip_mm
+  FROM (SELECT *, row_number() OVER (PARTITION BY ts_local, route_id ORDER BY src_pos DESC) AS rn FROM panel)
+  WHERE rn = 1
+)"""
+
+
+def normative_cte(train_year: int) -> str:
+    return f"""fit AS (SELECT * FROM clean WHERE year = {train_year} AND obs_travel),
+s0 AS (SELECT route_id, hour, dow, quantile_cont(delay_s, 0.85) AS thr0, count(*) AS n0, avg(delay_s) AS mean0 FROM fit GROUP BY 1, 2, 3),
+s1 AS (SELECT route_id, hour, quantile_cont(delay_s, 0.85) AS thr1, count(*) AS n1, avg(delay_s) AS mean1 FROM fit GROUP BY 1, 2),
+s2 AS (SELECT route_id, quantile_cont(delay_s, 0.85) AS thr2, count(*) AS n2, avg(delay_s) AS mean2 FROM fit GROUP BY 1),
+norm AS (
+  SELECT c.*, coalesce(CASE WHEN n0 >= 30 THEN thr0 END, CASE WHEN n1 >= 30 THEN thr1 END, thr2) AS delay_threshold,
+         coalesce(CASE WHEN n0 >= 30 THEN mean0 END, CASE WHEN n1 >= 30 THEN mean1 END, mean2) AS baseline_delay_s
+  FROM clean c LEFT JOIN s0 USING (route_id, hour, dow) LEFT JOIN s1 USING (route_id, hour) LEFT JOIN s2 USING (route_id)
+),
+normative AS (
+  SELECT *, coalesce(obs_travel AND delay_s <= delay_threshold AND NOT coalesce(wx_precip_mm > 2.5, false), false) AS is_normative
+  FROM norm
+)"""

@@ -143,3 +143,92 @@ def q_snap_qa(spark, sf):
     from citymotion.operators.spatial import nearest_routes, snap_qa
 
     return snap_qa(nearest_routes(A.snap_points(spark, sf), A.route_vertices(spark, sf)))
+
+
+# ---------------------------------------------------------------- route metrics
+def _metric_sql(expr: str) -> str:
+    return O.with_ctes(
+        O.PANEL_DEPS,
+        f"""SELECT route_id, split_part(route_id, '_', 1) AS source, split_part(route_id, '_', 2) AS target,
+       round({expr}, 6) AS value FROM panel GROUP BY route_id""",
+    )
+
+
+def _metric_query(agg: str):
+    def q(spark, sf):
+        from citymotion.operators.network import aggregate_route_metrics
+
+        m = aggregate_route_metrics(panel(spark, sf), metric="delay_s", agg=agg)
+        return m.withColumn("value", F.round("value", 6))
+
+    return q
+
+
+for _agg, _expr in (("mean", "avg(delay_s)"), ("median", "quantile_cont(delay_s, 0.5)"), ("p95", "quantile_cont(delay_s, 0.95)")):
+    register(f"route_metrics_{_agg}", _metric_sql(_expr))(_metric_query(_agg))
+
+
+# ---------------------------------------------------------------- congestion frames
+def buckets(spark, sf, freq):
+    from citymotion.operators.frames import congestion_buckets
+
+    return congestion_buckets(panel(spark, sf), freq=freq, metric="delay_s")
+
+
+def _bucket_query(freq):
+    def q(spark, sf):
+        return buckets(spark, sf, freq).withColumn("value", F.round("value", 6))
+
+    return q
+
+
+for _name, _freq, _min in (("5m", "5min", 5), ("15m", "15min", 15), ("30m", "30min", 30), ("1h", "h", 60)):
+    register(
+        f"congestion_buckets_{_name}",
+        O.with_ctes(O.PANEL_DEPS + [O.buckets_cte(_min)], "SELECT bucket_utc, label, route_id, round(value, 6) AS value FROM buckets"),
+    )(_bucket_query(_freq))
+
+
+@register(
+    "congestion_pivot",
+    O.with_ctes(
+        O.PANEL_DEPS + [O.buckets_cte(60)],
+        "PIVOT (SELECT route_id, label, round(value, 6) AS value FROM buckets) ON label USING first(value)",
+    ),
+)
+def q_congestion_pivot(spark, sf):
+    from citymotion.operators.frames import congestion_pivot
+
+    b = buckets(spark, sf, "h").withColumn("value", F.round("value", 6))
+    return congestion_pivot(b)
+
+
+@register(
+    "intensity_scaled",
+    O.with_ctes(
+        O.PANEL_DEPS
+        + [
+            O.buckets_cte(60),
+            O.VERTS,
+            """shown AS (SELECT * FROM buckets WHERE route_id IN (SELECT route_id FROM verts))""",
+            """b AS (SELECT quantile_cont(value, 0.05) AS vmin, quantile_cont(value, 0.95) AS vmax0
+        FROM shown WHERE value IS NOT NULL AND isfinite(value))""",
+            """bb AS (SELECT vmin, CASE WHEN vmax0 <= vmin THEN vmin + 1.0 ELSE vmax0 END AS vmax FROM b)""",
+        ],
+        """SELECT bucket_utc, label, route_id, round(value, 6) AS value,
+       round(CASE WHEN value IS NOT NULL AND isfinite(value) THEN least(greatest((value - vmin) / (vmax - vmin), 0.0), 1.0) END, 6) AS t,
+       round(CASE WHEN value IS NOT NULL AND isfinite(value)
+                  THEN 1.5 + 5.0 * least(greatest((value - vmin) / (vmax - vmin), 0.0), 1.0) ELSE 1.5 END, 6) AS width
+FROM shown, bb""",
+    ),
+)
+def q_intensity_scaled(spark, sf):
+    from citymotion.operators.frames import robust_bounds, scale_intensity
+    from citymotion.operators.network import routes_with_geometry
+
+    shown = routes_with_geometry(buckets(spark, sf, "h"), A.route_vertices(spark, sf))
+    bounds = robust_bounds(shown).first()
+    out = scale_intensity(shown, bounds.vmin, bounds.vmax)
+    return out.select(
+        "bucket_utc", "label", "route_id", F.round("value", 6).alias("value"), F.round("t", 6).alias("t"), F.round("width", 6).alias("width")
+    )
