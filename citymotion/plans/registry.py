@@ -232,3 +232,373 @@ def q_intensity_scaled(spark, sf):
     return out.select(
         "bucket_utc", "label", "route_id", F.round("value", 6).alias("value"), F.round("t", 6).alias("t"), F.round("width", 6).alias("width")
     )
+
+
+# ---------------------------------------------------------------- network graph
+def mean_metrics(spark, sf):
+    from citymotion.operators.network import aggregate_route_metrics
+
+    return aggregate_route_metrics(panel(spark, sf), metric="delay_s", agg="mean")
+
+
+METRICS_CTE = """metrics AS (
+  SELECT route_id, split_part(route_id, '_', 1) AS source, split_part(route_id, '_', 2) AS target, avg(delay_s) AS value
+  FROM panel GROUP BY route_id
+)"""
+ENDS_CTE = """ends AS (
+  SELECT route_id, arg_min(lon, seq) AS first_lon, arg_min(lat, seq) AS first_lat,
+         arg_max(lon, seq) AS last_lon, arg_max(lat, seq) AS last_lat, count(*) AS n_points
+  FROM verts GROUP BY route_id
+)"""
+
+
+@register(
+    "route_graph_edges",
+    O.with_ctes(
+        O.PANEL_DEPS + [METRICS_CTE, O.VERTS, ENDS_CTE],
+        """SELECT m.route_id, m.source, m.target, round(m.value, 6) AS value, coalesce(e.n_points, 0) AS n_points,
+       round(e.first_lon, 6) AS start_lon, round(e.first_lat, 6) AS start_lat,
+       round(e.last_lon, 6) AS end_lon, round(e.last_lat, 6) AS end_lat
+FROM metrics m LEFT JOIN ends e USING (route_id)""",
+    ),
+)
+def q_route_graph_edges(spark, sf):
+    from citymotion.operators.network import graph_edges
+
+    e = graph_edges(mean_metrics(spark, sf), A.route_vertices(spark, sf))
+    return e.select(
+        "route_id",
+        "source",
+        "target",
+        F.round("value", 6).alias("value"),
+        F.coalesce(F.size("points"), F.lit(0)).cast("long").alias("n_points"),
+        F.round(F.get("points", 0)["lon"], 6).alias("start_lon"),
+        F.round(F.get("points", 0)["lat"], 6).alias("start_lat"),
+        F.round(F.get("points", F.size("points") - 1)["lon"], 6).alias("end_lon"),
+        F.round(F.get("points", F.size("points") - 1)["lat"], 6).alias("end_lat"),
+    )
+
+
+SAMPLES_CTE = """samples AS (
+  SELECT m.source AS node, e.first_lon AS lon, e.first_lat AS lat FROM metrics m JOIN ends e USING (route_id)
+  UNION ALL
+  SELECT m.target AS node, e.last_lon AS lon, e.last_lat AS lat FROM metrics m JOIN ends e USING (route_id)
+)"""
+
+
+@register(
+    "route_graph_nodes",
+    O.with_ctes(
+        O.PANEL_DEPS + [METRICS_CTE, O.VERTS, ENDS_CTE, SAMPLES_CTE],
+        "SELECT node, round(avg(lon), 6) AS lon, round(avg(lat), 6) AS lat, count(*) AS n_samples FROM samples GROUP BY node",
+    ),
+)
+def q_route_graph_nodes(spark, sf):
+    from citymotion.operators.network import graph_nodes
+
+    n = graph_nodes(mean_metrics(spark, sf), A.route_vertices(spark, sf))
+    return n.select("node", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "n_samples")
+
+
+@register(
+    "map_centre",
+    O.with_ctes(
+        O.PANEL_DEPS + [METRICS_CTE, O.VERTS],
+        """SELECT round(avg(lon), 6) AS centre_lon, round(avg(lat), 6) AS centre_lat, count(*) AS n_vertices
+FROM verts WHERE route_id IN (SELECT route_id FROM metrics)""",
+    ),
+)
+def q_map_centre(spark, sf):
+    from citymotion.operators.network import map_centre
+
+    c = map_centre(mean_metrics(spark, sf), A.route_vertices(spark, sf))
+    return c.select(F.round("centre_lon", 6).alias("centre_lon"), F.round("centre_lat", 6).alias("centre_lat"), "n_vertices")
+
+
+# ---------------------------------------------------------------- cleaning
+CLEAN_COLUMNS = [
+    "route_id", "ts_utc", "ts_local", "year", "hour", "dow", "is_weekend", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
+    "is_public_holiday", "is_civic_holiday", "is_holiday", "is_school_break", "is_mega_event", "is_parade",
+    "is_shopping_peak", "obs_travel", "obs_weather", "wx_precip_mm", "travel_time_s", "delay_s",
+]
+ROUND6 = {"hour_sin", "hour_cos", "dow_sin", "dow_cos"}
+
+
+def cleaned(spark, sf):
+    from citymotion.operators.clean import clean_panel
+
+    return clean_panel(panel(spark, sf).select(*PANEL_COLUMNS, "src_pos"), min_sample_count=0)
+
+
+def _sel(cols):
+    return ", ".join(f"round({c}, 6) AS {c}" if c in ROUND6 else c for c in cols)
+
+
+PANEL_SRC = O.PANEL_DEPS
+
+
+@register("clean_panel", O.with_ctes(PANEL_SRC + [O.CLEAN], f"SELECT {_sel(CLEAN_COLUMNS)} FROM clean"))
+def q_clean_panel(spark, sf):
+    c = cleaned(spark, sf)
+    return c.select(*[F.round(x, 6).alias(x) if x in ROUND6 else F.col(x) for x in CLEAN_COLUMNS])
+
+
+@register(
+    "clean_qa",
+    O.with_ctes(
+        PANEL_SRC + [O.CLEAN],
+        """SELECT (SELECT count(*) FROM panel) AS rows_before, count(*) AS rows_after,
+       (SELECT count(*) FROM panel) - count(*) AS n_dupes_dropped,
+       round(avg(CAST(obs_travel AS DOUBLE)), 6) AS obs_travel_rate, round(avg(CAST(obs_weather AS DOUBLE)), 6) AS obs_weather_rate
+FROM clean""",
+    ),
+)
+def q_clean_qa(spark, sf):
+    from citymotion.operators.clean import clean_qa
+
+    return clean_qa(panel(spark, sf), cleaned(spark, sf))
+
+
+@register("weather_hourly", O.with_ctes([O.WX], "SELECT * FROM wx"))
+def q_weather_hourly(spark, sf):
+    return A.weather(spark, sf)
+
+
+def _v1_sql() -> str:
+    from citymotion.operators.clean import columns_to_drop
+
+    dropped = columns_to_drop(PANEL_COLUMNS)
+    retained = [c for c in PANEL_COLUMNS if c not in dropped]
+    return O.with_ctes(
+        O.PANEL_DEPS,
+        f"""SELECT count(*) AS source_rows, count(*) AS output_rows, CAST({len(PANEL_COLUMNS)} AS BIGINT) AS n_cols_before,
+       CAST({len(retained)} AS BIGINT) AS n_cols_after, '{"|".join(dropped)}' AS dropped_columns,
+       '{"|".join(retained)}' AS retained_columns,
+       round(coalesce(avg(CASE WHEN isodow(ts_local) IN (6, 7) THEN 1.0 ELSE 0.0 END), 0.0), 6) AS is_weekend_rate,
+       round(coalesce(avg(CASE WHEN length(coalesce(event_ids, '')) > 0 THEN 1.0 ELSE 0.0 END), 0.0), 6) AS event_ids_nonempty_rate
+FROM panel""",
+    )
+
+
+@register("clean_panel_v1_qa", _v1_sql())
+def q_clean_panel_v1_qa(spark, sf):
+    from citymotion.operators.clean import v1_qa
+
+    return v1_qa(panel(spark, sf).select(*PANEL_COLUMNS))
+
+
+def _null_profile_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate FROM panel"
+        for c in PANEL_COLUMNS
+    )
+    return O.with_ctes(O.PANEL_DEPS, f"SELECT * FROM ({parts}) ORDER BY null_rate DESC, column_name LIMIT 12")
+
+
+@register("null_profile", _null_profile_sql())
+def q_null_profile(spark, sf):
+    from citymotion.operators.clean import null_profile
+
+    return null_profile(panel(spark, sf).select(*PANEL_COLUMNS), top=12)
+
+
+# ---------------------------------------------------------------- scoring
+TRAIN_YEAR = 2024  # the driver's event month; 2023-12-31 local rows act as held-out
+
+
+def normative(spark, sf):
+    from citymotion.operators.scoring import normative_mask
+
+    return normative_mask(cleaned(spark, sf), train_years=[TRAIN_YEAR])
+
+
+NORM_DEPS = PANEL_SRC + [O.CLEAN, O.normative_cte(TRAIN_YEAR)]
+
+
+@register(
+    "normative_mask",
+    O.with_ctes(
+        NORM_DEPS,
+        "SELECT route_id, ts_utc, round(delay_threshold, 6) AS delay_threshold, round(baseline_delay_s, 6) AS baseline_delay_s, is_normative FROM normative",
+    ),
+)
+def q_normative_mask(spark, sf):
+    n = normative(spark, sf)
+    return n.select(
+        "route_id", "ts_utc", F.round("delay_threshold", 6).alias("delay_threshold"),
+        F.round("baseline_delay_s", 6).alias("baseline_delay_s"), "is_normative",
+    )
+
+
+def _std_sql() -> str:
+    from citymotion.operators.scoring import SCALE_COLS
+
+    stats = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}" for c in SCALE_COLS)
+    zs = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}_z" for c in SCALE_COLS)
+    return O.with_ctes(
+        PANEL_SRC + [O.CLEAN, f"st AS (SELECT {stats} FROM clean WHERE year = {TRAIN_YEAR})"],
+        f"SELECT route_id, ts_utc, {zs} FROM clean, st",
+    )
+
+
+@register("standardize", _std_sql())
+def q_standardize(spark, sf):
+    from citymotion.operators.scoring import SCALE_COLS, standardize
+
+    s = standardize(cleaned(spark, sf), train_years=[TRAIN_YEAR])
+    return s.select("route_id", "ts_utc", *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in SCALE_COLS])
+
+
+def _fv_sql() -> str:
+    from citymotion.operators.scoring import FEATURE_COLS
+
+    cols = ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS f{i}" for i, c in enumerate(FEATURE_COLS))
+    present = " + ".join(f"CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END" for c in FEATURE_COLS)
+    return O.with_ctes(PANEL_SRC + [O.CLEAN], f"SELECT route_id, ts_utc, {cols}, CAST({present} AS BIGINT) AS n_present FROM clean")
+
+
+@register("feature_vectors", _fv_sql())
+def q_feature_vectors(spark, sf):
+    from citymotion.operators.scoring import FEATURE_COLS, feature_vectors
+
+    fv = feature_vectors(cleaned(spark, sf))
+    return fv.select(
+        "route_id",
+        "ts_utc",
+        *[F.round(F.get("features", i), 6).alias(f"f{i}") for i in range(len(FEATURE_COLS))],
+        F.size(F.filter("feature_mask", lambda m: m)).cast("long").alias("n_present"),
+    )
+
+
+@register(
+    "adjacency",
+    O.with_ctes(
+        O.PANEL_DEPS
+        + [
+            METRICS_CTE,
+            "o AS (SELECT source AS node, count(*) AS out_degree FROM metrics GROUP BY 1)",
+            "i AS (SELECT target AS node, count(*) AS in_degree FROM metrics GROUP BY 1)",
+        ],
+        """SELECT coalesce(o.node, i.node) AS node, coalesce(in_degree, 0) AS in_degree, coalesce(out_degree, 0) AS out_degree,
+       coalesce(in_degree, 0) * coalesce(out_degree, 0) AS n_adjacent_pairs
+FROM o FULL JOIN i ON o.node = i.node""",
+    ),
+)
+def q_adjacency(spark, sf):
+    from citymotion.operators.scoring import adjacency_degrees
+
+    return adjacency_degrees(mean_metrics(spark, sf))
+
+
+STEPS_CTE = f"""steps AS (
+  SELECT route_id, step_utc, x FROM (
+    SELECT route_id, {O.bucket_sql('ts_utc', 5)} AS step_utc, travel_time_s AS x,
+           row_number() OVER (PARTITION BY route_id, {O.bucket_sql('ts_utc', 5)} ORDER BY ts_utc DESC, src_pos DESC) AS rn
+    FROM panel) WHERE rn = 1
+)"""
+
+
+@register(
+    "trailing_windows",
+    O.with_ctes(
+        O.PANEL_DEPS + [STEPS_CTE],
+        """SELECT e.route_id, e.step_utc AS window_end, count(*) AS n_steps, count(*) = 12 AS is_complete,
+       round(avg(s.x), 6) AS mean_x, arg_min(s.x, s.step_utc) AS first_x, arg_max(s.x, s.step_utc) AS last_x
+FROM steps e JOIN steps s ON e.route_id = s.route_id AND s.step_utc BETWEEN e.step_utc - INTERVAL 55 MINUTE AND e.step_utc
+GROUP BY 1, 2""",
+    ),
+)
+def q_trailing_windows(spark, sf):
+    from citymotion.operators.scoring import step_series, trailing_windows
+
+    w = trailing_windows(step_series(panel(spark, sf)))
+    return w.select(
+        "route_id", "window_end", "n_steps", "is_complete", F.round("mean_x", 6).alias("mean_x"),
+        F.get("history", 0).alias("first_x"), F.get("history", F.size("history") - 1).alias("last_x"),
+    )
+
+
+SCORE_SQL = "CASE WHEN delay_s IS NOT NULL AND baseline_delay_s IS NOT NULL THEN (delay_s - baseline_delay_s) * (delay_s - baseline_delay_s) ELSE 0.0 END"
+
+
+def scores(spark, sf):
+    from citymotion.operators.scoring import reconstruction_score
+
+    return reconstruction_score(normative(spark, sf), ["delay_s"], ["baseline_delay_s"])
+
+
+@register("recon_score", O.with_ctes(NORM_DEPS, f"SELECT route_id, ts_utc, round({SCORE_SQL}, 6) AS score FROM normative"))
+def q_recon_score(spark, sf):
+    return scores(spark, sf).select("route_id", "ts_utc", F.round("score", 6).alias("score"))
+
+
+@register(
+    "route_thresholds",
+    O.with_ctes(
+        NORM_DEPS,
+        f"SELECT route_id, round(quantile_cont({SCORE_SQL}, 0.99), 6) AS threshold, count(*) AS n_scored FROM normative GROUP BY route_id",
+    ),
+)
+def q_route_thresholds(spark, sf):
+    from citymotion.operators.scoring import route_thresholds
+
+    t = route_thresholds(scores(spark, sf), q=0.99)
+    return t.select("route_id", F.round("threshold", 6).alias("threshold"), "n_scored")
+
+
+# ---------------------------------------------------------------- scalar functions on driver text / times
+TZ_SQL = "'America/Toronto'"
+WALL_SQL = "(CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_linenumber AS BIGINT)) + to_minutes(CAST(l_quantity AS BIGINT)))"
+
+
+def _localize_sql() -> str:
+    u = f"timezone('UTC', {WALL_SQL} AT TIME ZONE {TZ_SQL})"
+    back = f"timezone({TZ_SQL}, ({u}) AT TIME ZONE 'UTC')"
+    plus = f"timezone({TZ_SQL}, ({u} + INTERVAL 1 HOUR) AT TIME ZONE 'UTC')"
+    minus = f"timezone({TZ_SQL}, ({u} - INTERVAL 1 HOUR) AT TIME ZONE 'UTC')"
+    first_valid = f"timezone('UTC', (date_trunc('hour', {WALL_SQL}) + INTERVAL 1 HOUR) AT TIME ZONE {TZ_SQL})"
+    return f"""SELECT l_orderkey, l_linenumber, {WALL_SQL} AS wall_local,
+       CASE WHEN {plus} = {WALL_SQL} OR {minus} = {WALL_SQL} THEN NULL
+            WHEN {back} <> {WALL_SQL} THEN {first_valid}
+            ELSE {u} END AS ts_utc
+FROM lineitem"""
+
+
+@register("localize_dst", _localize_sql())
+def q_localize_dst(spark, sf):
+    from citymotion.functions.timez import localize
+
+    li = A.table(spark, sf, "lineitem")
+    wall = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"), F.col("l_quantity").cast("int"))
+    return li.select("l_orderkey", "l_linenumber", wall.alias("wall_local")).withColumn("ts_utc", localize("wall_local"))
+
+
+@register(
+    "floor_hour_utc",
+    f"""SELECT l_orderkey, l_linenumber, date_trunc('hour', {WALL_SQL}) AS hour_utc,
+       timezone({TZ_SQL}, date_trunc('hour', {WALL_SQL}) AT TIME ZONE 'UTC') AS hour_local,
+       CAST(timezone({TZ_SQL}, {WALL_SQL} AT TIME ZONE 'UTC') AS DATE) AS local_date
+FROM lineitem""",
+)
+def q_floor_hour_utc(spark, sf):
+    from citymotion.functions.timez import floor_hour, local_date, utc_to_local
+
+    li = A.table(spark, sf, "lineitem")
+    wall = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"), F.col("l_quantity").cast("int"))
+    t = li.select("l_orderkey", "l_linenumber", wall.alias("ts"))
+    return t.select(
+        "l_orderkey", "l_linenumber", floor_hour("ts").alias("hour_utc"), utc_to_local(floor_hour("ts")).alias("hour_local"),
+        local_date("ts").alias("local_date"),
+    )
+
+
+@register(
+    "messy_number",
+    """SELECT doc_id, TRY_CAST(nullif(regexp_extract(replace(text, ',', ''), '-?[0-9]+(?:[.][0-9]+)?', 0), '') AS DOUBLE) AS first_number
+FROM documents""",
+)
+def q_messy_number(spark, sf):
+    from citymotion.functions.text import first_number
+
+    d = A.table(spark, sf, "documents")
+    return d.select("doc_id", first_number("text").alias("first_number"))
