@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- panel (flagship)
-def panel(spark: SparkSession, sf: str) -> DataFrame:
+def build_panel_df(spark: SparkSession, sf: str) -> DataFrame:
     from citymotion.operators.calendar import civic_days
     from citymotion.operators.panel import build_panel
 
@@ -44,6 +44,13 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def panel(spark: SparkSession, sf: str) -> DataFrame:
+    """The enriched panel, written once per session (partitioned by year) and read back."""
+    from citymotion.plans.materialize import materialized
+
+    return materialized(spark, "route_time_panel", sf, lambda: build_panel_df(spark, sf), partition_by=["year"])
+
+
 PANEL_COLUMNS = [
     "route_id", "ts_utc", "ts_local", "year", "travel_time_s", "sample_count", "free_flow_s", "length_m",
     "ts_hour_utc", "ts_hour", "wx_temp_c", "wx_rel_hum_pct", "wx_precip_mm", "wx_wind_spd_kmh", "wx_weather_desc",
@@ -326,8 +333,11 @@ ROUND6 = {"hour_sin", "hour_cos", "dow_sin", "dow_cos"}
 
 def cleaned(spark, sf):
     from citymotion.operators.clean import clean_panel
+    from citymotion.plans.materialize import materialized
 
-    return clean_panel(panel(spark, sf).select(*PANEL_COLUMNS, "src_pos"), min_sample_count=0)
+    return materialized(
+        spark, "panel_clean", sf, lambda: clean_panel(panel(spark, sf).select(*PANEL_COLUMNS, "src_pos"), min_sample_count=0)
+    )
 
 
 def _sel(cols):
@@ -408,8 +418,9 @@ TRAIN_YEAR = 2024  # the driver's event month; 2023-12-31 local rows act as held
 
 def normative(spark, sf):
     from citymotion.operators.scoring import normative_mask
+    from citymotion.plans.materialize import materialized
 
-    return normative_mask(cleaned(spark, sf), train_years=[TRAIN_YEAR])
+    return materialized(spark, "panel_normative", sf, lambda: normative_mask(cleaned(spark, sf), train_years=[TRAIN_YEAR]))
 
 
 NORM_DEPS = PANEL_SRC + [O.CLEAN, O.normative_cte(TRAIN_YEAR)]
