@@ -49,7 +49,7 @@ def event_datetime(date_text: str | Column, time_text: str | Column) -> Column:
     tries = []
     for cand in (with_time, d):
         for fmt in EVENT_DATETIME_FORMATS:
-            tries.append(parse_naive_local(F.upper(cand), fmt.upper().replace("YYYY", "yyyy").replace("D,", "d,").replace(" D", " d")))
+            tries.append(parse_naive_local(cand, fmt))
     return F.coalesce(*tries)
 
 
