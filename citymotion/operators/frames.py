@@ -92,7 +92,9 @@ def robust_bounds(values: DataFrame, value: str = "value", lo_q: float = 0.05, h
     """One row ``(vmin, vmax)``: p5 / p95 of finite values, widened by 1 if flat."""
     v = nan_to_null(values.select(F.col(value).cast("double").alias("v")), ["v"])
     v = v.where(F.col("v").isNotNull() & (F.abs("v") != float("inf")))
-    b = v.agg(F.percentile("v", lo_q).alias("vmin"), F.percentile("v", hi_q).alias("vmax"))
+    from citymotion.operators.quantiles import exact_quantiles
+
+    b = exact_quantiles(v, [], "v", [lo_q, hi_q], names=["vmin", "vmax"])
     return b.select("vmin", F.when(F.col("vmax") <= F.col("vmin"), F.col("vmin") + 1.0).otherwise(F.col("vmax")).alias("vmax"))
 
 

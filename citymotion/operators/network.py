@@ -19,6 +19,9 @@ def split_route_id(route_id: str | Column = "route_id") -> tuple[Column, Column]
     )
 
 
+QUANTILE_AGGS = {"median": 0.5, "p95": 0.95}
+
+
 def _agg_expr(metric: str, agg: str) -> Column:
     v = F.col(metric)
     table = {
@@ -46,15 +49,19 @@ def aggregate_route_metrics(panel: DataFrame, *, metric: str = "delay_s", agg: s
     """One value per route plus its source / target nodes (A3).
 
     NULL metric values are skipped (pandas semantics); ``median`` / ``p95``
-    interpolate linearly like pandas.  Exact quantiles keep every value of a
-    route in that route's aggregation buffer; ``approx_quantile_metrics`` is
-    the bounded-memory option for very large routes.
+    interpolate linearly like pandas and are exact, computed with bounded
+    per-route memory (:func:`citymotion.operators.quantiles.exact_quantiles`).
     """
     if "route_id" not in panel.columns:
         raise KeyError("panel must include route_id")
     if metric not in panel.columns:
         raise KeyError(f"panel missing metric column {metric!r}")
-    m = panel.groupBy("route_id").agg(_agg_expr(metric, agg).alias("value"))
+    if agg in QUANTILE_AGGS:
+        from citymotion.operators.quantiles import exact_quantiles
+
+        m = exact_quantiles(panel, ["route_id"], metric, [QUANTILE_AGGS[agg]], names=["value"])
+    else:
+        m = panel.groupBy("route_id").agg(_agg_expr(metric, agg).alias("value"))
     src, dst = split_route_id("route_id")
     return m.select("route_id", src.alias("source"), dst.alias("target"), F.col("value").cast("double").alias("value"))
 

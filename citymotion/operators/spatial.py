@@ -120,14 +120,16 @@ def snap_to_routes(
 def snap_qa(snapped_all: DataFrame, max_distance_m: float = DEFAULT_MAX_DISTANCE_M) -> DataFrame:
     """One QA row (A9) from :func:`nearest_routes` output: located, matched, discarded,
     rate, matched routes, p50/p90 of the matched distance (linear interpolation)."""
+    from citymotion.operators.quantiles import exact_quantiles
+
     matched = F.col("route_id").isNotNull()
-    q = snapped_all.agg(
+    counts = snapped_all.agg(
         F.count(F.lit(1)).alias("n_with_coords"),
         F.count_if(matched).alias("n_route_matched"),
         F.count_distinct("route_id").alias("n_routes_matched"),
-        F.percentile("dist_to_route_m", 0.5).alias("p50"),
-        F.percentile("dist_to_route_m", 0.9).alias("p90"),
-    )
+    ).withColumn("_g", F.lit(0))
+    dist = exact_quantiles(snapped_all, [], "dist_to_route_m", [0.5, 0.9], names=["p50", "p90"]).withColumn("_g", F.lit(0))
+    q = counts.join(dist, "_g", "left")  # two one-row aggregates
     return q.select(
         "n_with_coords",
         "n_route_matched",

@@ -384,3 +384,26 @@ def test_keep_last_groups_nulls(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), ("k", 1, "c")], "key string, o long, v string")
     got = {r.key: r.v for r in keep_last(df, ["key"], ["o"]).collect()}
     assert got == {None: "b", "k": "c"}
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from citymotion.operators.quantiles import exact_quantiles
+
+    rnd = random.Random(5)
+    rows = [("hot", float(rnd.randint(0, 500))) for _ in range(20000)]  # many duplicates
+    rows += [("k%d" % (i % 7), rnd.gauss(0, 1)) for i in range(3000)]
+    rows += [("nulls", None), ("one", 4.0), ("hot", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    qs = [0.0, 0.05, 0.5, 0.85, 0.95, 1.0]
+    for acc in (100_000, 50):  # a tiny sketch forces the fallback path
+        got = {r.g: r for r in exact_quantiles(df, ["g"], "v", qs, accuracy=acc).collect()}
+        clean = df.where(~F.isnan("v") | F.col("v").isNull())
+        want = {r.g: r for r in clean.groupBy("g").agg(*[F.percentile("v", q).alias(f"q{str(q).replace('.', '_')}") for q in qs]).collect()}
+        assert set(got) == set(want)
+        for g in want:
+            for q in qs:
+                n = f"q{str(q).replace('.', '_')}"
+                a, b = got[g][n], want[g][n]
+                assert (a is None and b is None) or a == pytest.approx(b, rel=1e-12, abs=1e-12), (g, q, a, b)
+    glob = exact_quantiles(df.where(F.col("g") == "hot"), [], "v", [0.5]).collect()
+    assert len(glob) == 1 and glob[0].q0_5 == pytest.approx(df.where((F.col("g") == "hot") & ~F.isnan("v")).agg(F.percentile("v", 0.5)).first()[0])
