@@ -73,24 +73,34 @@ def entry_days(entries: DataFrame) -> DataFrame:
     )
 
 
-def _ordered_names(value: str, kinds: tuple[str, ...] | None) -> F.Column:
-    picked = F.struct(F.col("pos"), F.col(value).alias("v"))
-    if kinds is not None:
-        picked = F.when(F.col("kind").isin(*kinds), picked)
-    return F.array_join(F.transform(F.array_sort(F.collect_list(picked)), lambda s: s["v"]), "|")
+def _names_of(entries: F.Column, field: str, kinds: tuple[str, ...] | None) -> F.Column:
+    picked = entries if kinds is None else F.filter(entries, lambda e: e["kind"].isin(*kinds))
+    return F.array_join(F.transform(picked, lambda e: e[field]), "|")
 
 
 def day_features(entries: DataFrame) -> DataFrame:
-    """Features for each day that has at least one active entry."""
+    """Features for each day that has at least one active entry.
+
+    One sorted list of ``(pos, name, id, kind)`` per day is collected (its
+    length is the number of entries active that day); name, id and kind
+    strings are derived from it in config order.
+    """
     days = entry_days(entries)
     flags = [F.bool_or(F.col("kind").isin(*kinds)).alias(name) for name, kinds in FLAG_KINDS.items()]
-    return days.groupBy("date").agg(
+    agg = days.groupBy("date").agg(
         *flags,
         F.count(F.lit(1)).alias("n_civic_events"),
-        _ordered_names("name", HOLIDAY_KINDS).alias("holiday_names"),
-        _ordered_names("name", MEGA_KINDS).alias("mega_event_names"),
-        _ordered_names("id", None).alias("event_ids"),
-        F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("event_kinds"),
+        F.array_sort(F.collect_list(F.struct("pos", "name", "id", "kind"))).alias("_e"),
+    )
+    e = F.col("_e")
+    return agg.select(
+        "date",
+        *FLAG_KINDS,
+        "n_civic_events",
+        _names_of(e, "name", HOLIDAY_KINDS).alias("holiday_names"),
+        _names_of(e, "name", MEGA_KINDS).alias("mega_event_names"),
+        _names_of(e, "id", None).alias("event_ids"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(e, lambda x: x["kind"]))), "|").alias("event_kinds"),
     )
 
 

@@ -123,14 +123,26 @@ def q_coverage_bounds(spark, sf):
 
 
 # ---------------------------------------------------------------- spatial
+def vertices(spark: SparkSession, sf: str) -> DataFrame:
+    """Corridor polylines, written once per session (several queries read them)."""
+    from citymotion.plans.materialize import materialized
+
+    return materialized(spark, "route_vertices", sf, lambda: A.route_vertices(spark, sf))
+
+
+def snapped_all(spark: SparkSession, sf: str) -> DataFrame:
+    from citymotion.operators.spatial import nearest_routes
+    from citymotion.plans.materialize import materialized
+
+    return materialized(spark, "snapped_points", sf, lambda: nearest_routes(A.snap_points(spark, sf), vertices(spark, sf)))
+
+
 @register(
     "nearest_route_snap",
     O.with_ctes([O.VERTS, O.PTS, O.SNAP], "SELECT collision_id, route_id, round(dist_to_route_m, 3) AS dist_to_route_m FROM snap"),
 )
 def q_nearest_route_snap(spark, sf):
-    from citymotion.operators.spatial import snap_to_routes
-
-    s = snap_to_routes(A.snap_points(spark, sf), A.route_vertices(spark, sf))
+    s = snapped_all(spark, sf).where(F.col("route_id").isNotNull())
     return s.select("collision_id", "route_id", F.round("dist_to_route_m", 3).alias("dist_to_route_m"))
 
 
@@ -147,9 +159,9 @@ FROM (SELECT (SELECT count(*) FROM ppts) AS n_with_coords, count(*) AS n_route_m
     ),
 )
 def q_snap_qa(spark, sf):
-    from citymotion.operators.spatial import nearest_routes, snap_qa
+    from citymotion.operators.spatial import snap_qa
 
-    return snap_qa(nearest_routes(A.snap_points(spark, sf), A.route_vertices(spark, sf)))
+    return snap_qa(snapped_all(spark, sf))
 
 
 # ---------------------------------------------------------------- route metrics
@@ -233,7 +245,7 @@ def q_intensity_scaled(spark, sf):
     from citymotion.operators.frames import robust_bounds, scale_intensity
     from citymotion.operators.network import routes_with_geometry
 
-    shown = routes_with_geometry(buckets(spark, sf, "h"), A.route_vertices(spark, sf))
+    shown = routes_with_geometry(buckets(spark, sf, "h"), vertices(spark, sf))
     bounds = robust_bounds(shown).first()
     out = scale_intensity(shown, bounds.vmin, bounds.vmax)
     return out.select(
@@ -272,7 +284,7 @@ FROM metrics m LEFT JOIN ends e USING (route_id)""",
 def q_route_graph_edges(spark, sf):
     from citymotion.operators.network import graph_edges
 
-    e = graph_edges(mean_metrics(spark, sf), A.route_vertices(spark, sf))
+    e = graph_edges(mean_metrics(spark, sf), vertices(spark, sf))
     return e.select(
         "route_id",
         "source",
@@ -303,7 +315,7 @@ SAMPLES_CTE = """samples AS (
 def q_route_graph_nodes(spark, sf):
     from citymotion.operators.network import graph_nodes
 
-    n = graph_nodes(mean_metrics(spark, sf), A.route_vertices(spark, sf))
+    n = graph_nodes(mean_metrics(spark, sf), vertices(spark, sf))
     return n.select("node", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "n_samples")
 
 
@@ -318,7 +330,7 @@ FROM verts WHERE route_id IN (SELECT route_id FROM metrics)""",
 def q_map_centre(spark, sf):
     from citymotion.operators.network import map_centre
 
-    c = map_centre(mean_metrics(spark, sf), A.route_vertices(spark, sf))
+    c = map_centre(mean_metrics(spark, sf), vertices(spark, sf))
     return c.select(F.round("centre_lon", 6).alias("centre_lon"), F.round("centre_lat", 6).alias("centre_lat"), "n_vertices")
 
 
