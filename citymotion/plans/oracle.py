@@ -65,16 +65,18 @@ RT = f"""rt AS (
 )"""
 
 CAL = """cal AS (
-  SELECT 'ord-' || CAST(o_orderkey AS VARCHAR) AS id,
-         o_orderpriority || ' #' || CAST(o_orderkey AS VARCHAR) AS name,
+  SELECT 'cal-' || substr(o_orderpriority, 1, 1) || o_orderstatus || '-' || strftime(start_date, '%Y%m%d') AS id,
+         o_orderpriority || '/' || o_orderstatus || ' ' || strftime(start_date, '%Y-%m-%d') AS name,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'public_holiday' WHEN '2-HIGH' THEN 'civic_holiday'
               WHEN '3-MEDIUM' THEN 'mega_event' WHEN '4-NOT SPECIFIED' THEN 'parade'
               ELSE CASE WHEN o_orderstatus = 'F' THEN 'shopping_peak' ELSE 'school_break' END END AS kind,
-         CAST(CAST(o_orderdate AS DATE) + INTERVAL 348 MONTH AS DATE) AS start_date,
-         CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 348 MONTH AS DATE)
-              + CAST(floor(o_totalprice / 100000.0) AS INTEGER) AS DATE) AS end_date,
-         o_orderkey AS pos
-  FROM orders
+         start_date,
+         CAST(start_date + CAST(floor(top / 100000.0) AS INTEGER) AS DATE) AS end_date,
+         CAST(strftime(start_date, '%Y%m%d') AS BIGINT) * 100 + CAST(substr(o_orderpriority, 1, 1) AS BIGINT) * 10
+           + CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS pos
+  FROM (SELECT o_orderpriority, o_orderstatus, CAST(CAST(o_orderdate AS DATE) + INTERVAL 348 MONTH AS DATE) AS start_date,
+               max(o_totalprice) AS top
+        FROM orders GROUP BY 1, 2, 3)
 )"""
 
 CIVIC = """cal_days AS (
