@@ -625,3 +625,70 @@ def q_messy_number(spark, sf):
 
     d = A.table(spark, sf, "documents")
     return d.select("doc_id", first_number("text").alias("first_number"))
+
+
+# ---------------------------------------------------------------- collision validation
+# scores are rounded to 6 decimals before thresholds and ranking, so both engines rank identical values
+SC_CTES = NORM_DEPS + [
+    O.INC,
+    f"sc AS (SELECT route_id, ts_utc, round({SCORE_SQL}, 6) AS score FROM normative)",
+    "thr AS (SELECT route_id, quantile_cont(score, 0.99) AS threshold FROM sc GROUP BY 1)",
+    "alerts AS (SELECT sc.route_id, sc.ts_utc FROM sc JOIN thr USING (route_id) WHERE sc.score > thr.threshold)",
+]
+
+
+def rounded_scores(spark, sf):
+    return scores(spark, sf).select("route_id", "ts_utc", F.round("score", 6).alias("score"))
+
+
+@register(
+    "alert_lead_times",
+    O.with_ctes(
+        SC_CTES
+        + [
+            """lead AS (
+  SELECT i.collision_id, i.route_id, i.ts_utc, min(a.ts_utc) AS first_alert_utc
+  FROM inc i LEFT JOIN alerts a ON a.route_id = i.route_id AND a.ts_utc < i.ts_utc AND a.ts_utc >= i.ts_utc - INTERVAL 60 MINUTE
+  WHERE i.route_id IS NOT NULL AND i.ts_utc IS NOT NULL
+  GROUP BY 1, 2, 3
+)"""
+        ],
+        """SELECT collision_id, route_id, ts_utc, first_alert_utc,
+       round(date_diff('microsecond', first_alert_utc, ts_utc) / 60000000.0, 6) AS lead_minutes FROM lead""",
+    ),
+)
+def q_alert_lead_times(spark, sf):
+    from citymotion.operators.scoring import alert_lead_times, route_thresholds
+
+    s = rounded_scores(spark, sf)
+    alerts = s.join(route_thresholds(s, q=0.99), "route_id").where(F.col("score") > F.col("threshold"))
+    out = alert_lead_times(alerts, A.incidents(spark, sf), horizon_minutes=60)
+    return out.select("collision_id", "route_id", "ts_utc", "first_alert_utc", F.round("lead_minutes", 6).alias("lead_minutes"))
+
+
+@register(
+    "pr_auc",
+    O.with_ctes(
+        SC_CTES
+        + [
+            """lab AS (
+  SELECT sc.route_id, sc.ts_utc, sc.score,
+         EXISTS (SELECT 1 FROM inc i WHERE i.route_id = sc.route_id AND i.ts_utc > sc.ts_utc
+                 AND i.ts_utc <= sc.ts_utc + INTERVAL 60 MINUTE) AS label
+  FROM sc
+)""",
+            "per AS (SELECT score, count(*) AS n, count(*) FILTER (WHERE label) AS tp FROM lab GROUP BY score)",
+            "cum AS (SELECT score, tp, sum(n) OVER (ORDER BY score DESC) AS cn, sum(tp) OVER (ORDER BY score DESC) AS ctp FROM per)",
+            "tot AS (SELECT count(*) AS n_scored, count(*) FILTER (WHERE label) AS n_positive FROM lab)",
+        ],
+        """SELECT n_scored, n_positive,
+       round(CASE WHEN n_positive > 0 THEN (SELECT sum(tp * ctp / cn) FROM cum) / n_positive END, 6) AS average_precision
+FROM tot""",
+    ),
+)
+def q_pr_auc(spark, sf):
+    from citymotion.operators.scoring import average_precision, label_rows
+
+    lab = label_rows(rounded_scores(spark, sf), A.incidents(spark, sf), horizon_minutes=60)
+    ap = average_precision(lab)
+    return ap.select("n_scored", "n_positive", F.round("average_precision", 6).alias("average_precision"))
