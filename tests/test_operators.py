@@ -407,3 +407,35 @@ def test_exact_quantiles_match_percentile(spark):
                 assert (a is None and b is None) or a == pytest.approx(b, rel=1e-12, abs=1e-12), (g, q, a, b)
     glob = exact_quantiles(df.where(F.col("g") == "hot"), [], "v", [0.5]).collect()
     assert len(glob) == 1 and glob[0].q0_5 == pytest.approx(df.where((F.col("g") == "hot") & ~F.isnan("v")).agg(F.percentile("v", 0.5)).first()[0])
+
+
+def test_average_precision_and_labels_brute_force(spark):
+    from citymotion.operators.scoring import average_precision, label_rows
+
+    rnd = random.Random(9)
+    scored = []
+    for i in range(600):
+        scored.append((rnd.choice(["A_B", "C_D"]), T(2017, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 3000)), float(rnd.randint(0, 40))))
+    coll = [(i, rnd.choice(["A_B", "C_D"]), T(2017, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 3000))) for i in range(60)]
+    s = spark.createDataFrame(scored, "route_id string, ts_utc timestamp_ntz, score double").dropDuplicates(["route_id", "ts_utc"])
+    c = spark.createDataFrame(coll, "collision_id long, route_id string, ts_utc timestamp_ntz")
+    lab = label_rows(s, c, horizon_minutes=60)
+    rows = lab.collect()
+    for r in rows:
+        want = any(cr == r.route_id and r.ts_utc < ct <= r.ts_utc + dt.timedelta(minutes=60) for _, cr, ct in coll)
+        assert r.label == want
+    # average precision over distinct-score thresholds, high to low
+    by = {}
+    for r in rows:
+        n, tp = by.get(r.score, (0, 0))
+        by[r.score] = (n + 1, tp + int(r.label))
+    P = sum(tp for _, tp in by.values())
+    cn = ctp = 0
+    ap = 0.0
+    for sc in sorted(by, reverse=True):
+        n, tp = by[sc]
+        cn += n
+        ctp += tp
+        ap += tp / P * (ctp / cn)
+    got = average_precision(lab, buckets=8).collect()[0]
+    assert got.n_positive == P and got.average_precision == pytest.approx(ap, rel=1e-12)
