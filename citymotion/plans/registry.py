@@ -692,3 +692,107 @@ def q_pr_auc(spark, sf):
     lab = label_rows(rounded_scores(spark, sf), A.incidents(spark, sf), horizon_minutes=60)
     ap = average_precision(lab)
     return ap.select("n_scored", "n_positive", F.round("average_precision", 6).alias("average_precision"))
+
+
+# ---------------------------------------------------------------- raw-text parsers on driver rows
+def _event_texts(spark, sf):
+    o = A.table(spark, sf, "orders")
+    d = F.to_date("o_orderdate")
+    tm = F.when(F.col("o_orderstatus") == "F", F.lit("9:30 AM")).when(F.col("o_orderstatus") == "O", F.lit("12:00 PM")).otherwise(F.lit(""))
+    pr = F.col("o_orderpriority")
+    date_text = (
+        F.when(pr == "1-URGENT", F.date_format(d, "MMM d, yyyy"))
+        .when(pr == "2-HIGH", F.date_format(d, "MMMM d, yyyy"))
+        .when(pr == "3-MEDIUM", F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 18:45")))
+        .when(pr == "4-NOT SPECIFIED", F.date_format(d, "yyyy-MM-dd"))
+        .otherwise(F.lit("TBD"))
+    )
+    time_text = F.when(pr.isin("1-URGENT", "2-HIGH", "5-LOW"), tm).when(pr == "4-NOT SPECIFIED", F.lit("noon")).otherwise(F.lit(""))
+    return o.select("o_orderkey", date_text.alias("date_text"), time_text.alias("time_text"))
+
+
+_EVT_FORMATS = ["%b %d, %Y %I:%M %p", "%B %d, %Y %I:%M %p", "%b %d, %Y", "%B %d, %Y", "%Y-%m-%d %H:%M", "%Y-%m-%d"]
+
+
+def _event_parse_sql() -> str:
+    with_time = "CASE WHEN time_text <> '' THEN date_text || ' ' || time_text END"
+    tries = [f"try_strptime({cand}, '{fmt}')" for cand in (with_time, "date_text") for fmt in _EVT_FORMATS]
+    texts = """txt AS (
+  SELECT o_orderkey,
+         CASE o_orderpriority WHEN '1-URGENT' THEN strftime(CAST(o_orderdate AS DATE), '%b %-d, %Y')
+              WHEN '2-HIGH' THEN strftime(CAST(o_orderdate AS DATE), '%B %-d, %Y')
+              WHEN '3-MEDIUM' THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') || ' 18:45'
+              WHEN '4-NOT SPECIFIED' THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') ELSE 'TBD' END AS date_text,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')
+                   THEN CASE o_orderstatus WHEN 'F' THEN '9:30 AM' WHEN 'O' THEN '12:00 PM' ELSE '' END
+              WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'noon' ELSE '' END AS time_text
+  FROM orders
+)"""
+    return O.with_ctes([texts], f"SELECT o_orderkey, date_text, time_text, coalesce({', '.join(tries)}) AS start_local FROM txt")
+
+
+@register("event_datetime_parse", _event_parse_sql())
+def q_event_datetime_parse(spark, sf):
+    from citymotion.functions.text import event_datetime
+
+    t = _event_texts(spark, sf)
+    return t.select("o_orderkey", "date_text", "time_text", event_datetime("date_text", "time_text").alias("start_local"))
+
+
+def _collision_rows(spark, sf):
+    """Orders written as collision-CSV text rows (all strings)."""
+    from citymotion.functions.timez import localize
+
+    o = A.table(spark, sf, "orders")
+    u = localize(F.to_timestamp_ntz(F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd")))
+    ms = (
+        F.datediff(F.to_date(u), F.lit("1970-01-01")).cast("long") * 86400000
+        + F.hour(u).cast("long") * 3600000
+        + F.minute(u).cast("long") * 60000
+    )
+    located = F.col("o_orderstatus") != "P"
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("_id"),
+        ms.cast("string").alias("OCC_DATE"),
+        F.year("o_orderdate").cast("string").alias("OCC_YEAR"),
+        F.length("o_orderpriority").cast("string").alias("OCC_HOUR"),
+        F.when(located, F.lit("43.65")).otherwise(F.lit("0")).alias("LAT_WGS84"),
+        F.when(located, F.lit("-79.38")).otherwise(F.lit("0")).alias("LONG_WGS84"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("YES")).when(F.col("o_orderstatus") == "O", F.lit(" no ")).otherwise(F.lit("Y")).alias("INJURY_COLLISIONS"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1")).otherwise(F.lit("0")).alias("FATALITIES"),
+    )
+
+
+TZ_Q = "'America/Toronto'"
+_COLL_SQL = f"""raw AS (
+  SELECT o_orderkey AS collision_id, CAST(length(o_orderpriority) AS INTEGER) AS hour, CAST(year(o_orderdate) AS INTEGER) AS year,
+         make_timestamp(epoch_ms(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AT TIME ZONE {TZ_Q}) * 1000) AS occ_utc,
+         o_orderstatus, o_orderpriority
+  FROM orders
+),
+parsed AS (
+  SELECT collision_id, year, hour,
+         timezone('UTC', CAST(CAST(timezone({TZ_Q}, occ_utc AT TIME ZONE 'UTC') AS DATE) AS TIMESTAMP) AT TIME ZONE {TZ_Q})
+           + to_hours(hour) AS ts_utc,
+         CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false ELSE true END AS is_injury,
+         CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS BIGINT) AS fatalities,
+         o_orderstatus <> 'P' AS located
+  FROM raw
+)"""
+
+
+@register(
+    "collisions_parse",
+    O.with_ctes(
+        [_COLL_SQL],
+        f"""SELECT collision_id, ts_utc, timezone({TZ_Q}, ts_utc AT TIME ZONE 'UTC') AS ts_local,
+       CAST(timezone({TZ_Q}, ts_utc AT TIME ZONE 'UTC') AS DATE) AS date, year, hour, is_injury, fatalities,
+       43.65::DOUBLE AS lat, -79.38::DOUBLE AS lon
+FROM parsed WHERE located""",
+    ),
+)
+def q_collisions_parse(spark, sf):
+    from citymotion.operators.ingest import parse_collisions
+
+    p = parse_collisions(_collision_rows(spark, sf), years=None)
+    return p.select("collision_id", "ts_utc", "ts_local", "date", "year", "hour", "is_injury", "fatalities", "lat", "lon")
