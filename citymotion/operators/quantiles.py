@@ -14,6 +14,8 @@ from two aggregation passes:
 
 A group whose band does not contain the wanted ranks (the sketch bound
 failed) is recomputed with ``percentile``; the result is exact either way.
+The per-group result (one row per group) is checkpointed, so the input is
+scanned twice and a third time only for groups that need the fallback.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citymotion.session import maybe_broadcast
+from citymotion.session import cut_lineage, maybe_broadcast
 
 DEFAULT_ACCURACY = 100_000
 BAND_MARGIN = 3.0  # in units of the sketch's rank error
@@ -89,15 +91,18 @@ def exact_quantiles(
         nxt = F.when(has_next, F.get(b, (rel + 1).cast("int"))).otherwise(a)
         out_cols.append(F.when(F.col("_n") > 0, a + frac * (nxt - a)).alias(nm))
         ok_all = ok_all & ok
-    result = band.select(*keys, "_n", *out_cols, ok_all.alias("_ok"))
-
-    # groups whose bracket missed (sketch bound not met): plain exact percentile, only for them
-    good = result.where(F.col("_ok")).drop("_ok")
-    redo = (
-        base.join(result.where(~F.col("_ok")).select(*keys), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.count("_v").alias("_n"), *[F.percentile("_v", float(q)).alias(nm) for q, nm in zip(qs, names)])
-    )
-    out = good.unionByName(redo)
+    # one row per group: checkpointed (reliable, shared folder) so the two passes run once
+    result = cut_lineage(band.select(*keys, "_n", *out_cols, ok_all.alias("_ok")))
+
+    out = result.where(F.col("_ok")).drop("_ok")
+    missed = result.where(~F.col("_ok")).select(*keys)
+    if missed.limit(1).count():
+        # groups whose bracket missed (sketch bound not met): plain exact percentile, only for them
+        redo = (
+            base.join(missed, keys, "left_semi")
+            .groupBy(*keys)
+            .agg(F.count("_v").alias("_n"), *[F.percentile("_v", float(q)).alias(nm) for q, nm in zip(qs, names)])
+        )
+        out = out.unionByName(redo)
     out = out.withColumnRenamed("_n", count_name) if count_name else out.drop("_n")
     return out.drop("_g") if not user_keys else out

@@ -386,9 +386,13 @@ def test_keep_last_groups_nulls(spark):
     assert got == {None: "b", "k": "c"}
 
 
-def test_exact_quantiles_match_percentile(spark):
+@pytest.mark.parametrize("margin", [3.0, 0.0])  # margin 0: brackets miss, the fallback path must fix them
+def test_exact_quantiles_match_percentile(spark, monkeypatch, margin):
+    from citymotion.operators import quantiles
     from citymotion.operators.quantiles import exact_quantiles
 
+    monkeypatch.setattr(quantiles, "BAND_MARGIN", margin)
+
     rnd = random.Random(5)
     rows = [("hot", float(rnd.randint(0, 500))) for _ in range(20000)]  # many duplicates
     rows += [("k%d" % (i % 7), rnd.gauss(0, 1)) for i in range(3000)]
