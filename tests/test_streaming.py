@@ -74,3 +74,22 @@ def test_trailing_hour_and_dedupe_streams(spark):
     s2, _ = _as_stream(spark, obs)
     t4 = _run(spark, trailing_hour_stream(s2), "t4")
     assert t4.count() > 0 and t4.agg(F.max("n_obs")).first()[0] >= 1
+
+
+def test_enrich_stream_matches_batch_panel(spark):
+    from citymotion.operators.calendar import civic_days
+    from citymotion.operators.summaries import event_day_summary
+    from citymotion.plans import adapters as A
+    from citymotion.plans.registry import build_panel_df
+    from citymotion.streaming.streams import enrich_stream
+
+    obs = A.observations(spark, SF)
+    s, _ = _as_stream(spark, obs)
+    civic = civic_days(A.calendar_entries(spark, SF))
+    ev = event_day_summary(A.festival_events(spark, SF))
+    got = _run(spark, enrich_stream(s, A.corridors(spark, SF), A.weather(spark, SF), civic, ev), "t1")
+    cols = ["route_id", "ts_utc", "free_flow_s", "wx_temp_c", "is_holiday", "event_ids", "n_events_active", "hour", "dow", "is_weekend", "delay_s"]
+    want = build_panel_df(spark, SF).select(*cols)
+    got = got.select(*cols)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
