@@ -13,6 +13,27 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
+def cluster_settings(target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster run (pass to the session builder or spark-submit).
+
+    Partitions sized for executor memory; AQE re-plans joins at run time,
+    splits skewed join partitions and coalesces small shuffle partitions from
+    a generous initial count.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": "4000",
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": str(DEFAULT_BROADCAST_LIMIT),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
+
+
 def local_session(cpus: int | str = "*", app: str = "citymotion", extra: dict | None = None) -> SparkSession:
     """A local session with the settings the package expects (tests, bench)."""
     builder = (

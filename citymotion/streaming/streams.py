@@ -18,7 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from citymotion.functions.timez import floor_hour, instant_to_utc_ntz, utc_to_local
 from citymotion.operators.panel import prefix_weather
-from citymotion.session import ensure_checkpoint_dir
+from citymotion.session import ensure_checkpoint_dir, maybe_broadcast
 
 DEFAULT_LATENESS = "2 hours"
 
@@ -35,10 +35,10 @@ def with_event_time(stream: DataFrame, lateness: str = DEFAULT_LATENESS) -> Data
 
 def enrich_stream(observations: DataFrame, routes: DataFrame, weather: DataFrame, civic: DataFrame, event_days: DataFrame) -> DataFrame:
     """Stream-static left joins with corridors, hourly weather, civic days, event-day counts."""
-    s = observations.join(F.broadcast(routes), "route_id", "left")
-    s = s.withColumn("ts_hour_utc", floor_hour("ts_utc")).join(F.broadcast(prefix_weather(weather)), "ts_hour_utc", "left")
-    s = s.withColumn("date", F.to_date("ts_local")).join(F.broadcast(civic), "date", "left")
-    s = s.join(F.broadcast(event_days), "date", "left")
+    s = observations.join(maybe_broadcast(routes), "route_id", "left")
+    s = s.withColumn("ts_hour_utc", floor_hour("ts_utc")).join(maybe_broadcast(prefix_weather(weather)), "ts_hour_utc", "left")
+    s = s.withColumn("date", F.to_date("ts_local")).join(maybe_broadcast(civic), "date", "left")
+    s = s.join(maybe_broadcast(event_days), "date", "left")
     zero = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_events_active", "n_events_road_close", "n_events_with_coords")}
     return s.withColumns(
         {
