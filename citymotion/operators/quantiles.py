@@ -9,7 +9,8 @@ from two aggregation passes:
 1. per group: ``n`` and a ``percentile_approx`` sketch (rank error
    ``1/accuracy``) that brackets every wanted rank with ``[lo, hi]``;
 2. per group: how many values fall below ``lo`` and the values inside
-   ``[lo, hi]`` (about ``6 n / accuracy`` of them).  The wanted order
+   ``[lo, hi]`` (about ``6 n / accuracy`` of them; all values when the group
+   has fewer than ``accuracy / 2``).  The wanted order
    statistics are read from that sorted band by rank.
 
 A group whose band does not contain the wanted ranks (the sketch bound
@@ -69,11 +70,16 @@ def exact_quantiles(
         bounds += [F.col("_b")[idx[clip(q - eps)]].alias(f"_lo_{nm}"), F.col("_b")[idx[clip(q + eps)]].alias(f"_hi_{nm}")]
     sketch = sketch.select(*keys, "_n", *bounds)
 
-    # pass 2: count below the bracket, collect the values inside it
+    # pass 2: count below the bracket, collect the values inside it.  Groups with
+    # fewer than accuracy/2 values keep all of them (bounded); for larger ones the
+    # bracket margin (3 n / accuracy ranks) covers the sketch error plus the one-rank
+    # difference between the sketch's rank (ceil(p n)) and the interpolation rank.
+    small = F.col("_n") < F.lit(accuracy // 2)
     joined = base.join(maybe_broadcast(sketch), keys, "inner")
     aggs = [F.first("_n").alias("_n")]
     for nm in names:
-        lo, hi = F.col(f"_lo_{nm}"), F.col(f"_hi_{nm}")
+        lo = F.when(small, F.lit(float("-inf"))).otherwise(F.col(f"_lo_{nm}"))
+        hi = F.when(small, F.lit(float("inf"))).otherwise(F.col(f"_hi_{nm}"))
         inside = F.when((F.col("_v") >= lo) & (F.col("_v") <= hi), F.col("_v"))
         aggs += [F.count_if(F.col("_v") < lo).alias(f"_c_{nm}"), F.array_sort(F.collect_list(inside)).alias(f"_band_{nm}")]
     band = joined.groupBy(*keys).agg(*aggs)

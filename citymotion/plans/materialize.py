@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citymotion.session import ensure_checkpoint_dir
 
 _RUN = uuid.uuid4().hex[:12]
-_MEMO: dict[tuple[int, str], str] = {}
+_MEMO: dict[tuple[int, str], tuple[SparkSession, str]] = {}
 
 
 def table_path(spark: SparkSession, name: str, key: str) -> str:
@@ -30,12 +30,13 @@ def table_path(spark: SparkSession, name: str, key: str) -> str:
 def materialized(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
     """Build ``name`` for ``key`` once per session, then read the written Parquet."""
     memo_key = (id(spark), f"{name}:{key}")
-    path = _MEMO.get(memo_key)
-    if path is None:
+    hit = _MEMO.get(memo_key)
+    if hit is None or hit[0] is not spark:
         path = table_path(spark, name, key)
         writer = build().write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        _MEMO[memo_key] = path
-    return spark.read.parquet(path)
+        hit = (spark, path)
+        _MEMO[memo_key] = hit
+    return spark.read.parquet(hit[1])
