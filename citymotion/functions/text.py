@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citymotion.functions.timez import parse_naive_local
+from citymotion.functions.timez import instant_to_utc_ntz
 
 # fixed values: event date/time layouts tried in order (Java pattern letters)
 EVENT_DATETIME_FORMATS = (
@@ -46,11 +46,14 @@ def event_datetime(date_text: str | Column, time_text: str | Column) -> Column:
     d = F.trim(_c(date_text))
     t = F.trim(F.coalesce(_c(time_text), F.lit("")))
     with_time = F.when(t != "", F.concat_ws(" ", d, t))
-    tries = []
-    for cand in (with_time, d):
-        for fmt in EVENT_DATETIME_FORMATS:
-            tries.append(parse_naive_local(cand, fmt))
-    return F.coalesce(*tries)
+    # each layout parses the text as a UTC instant (suffix " Z"), the first hit wins,
+    # and the instant is turned back into its wall clock once
+    tries = [
+        F.try_to_timestamp(F.concat(cand, F.lit(" Z")), F.lit(fmt + " X"))
+        for cand in (with_time, d)
+        for fmt in EVENT_DATETIME_FORMATS
+    ]
+    return instant_to_utc_ntz(F.coalesce(*tries))
 
 
 def road_closed(col: str | Column) -> Column:

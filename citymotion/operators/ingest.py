@@ -134,11 +134,30 @@ EPOCH_MS_MEDIAN_CUTOFF = 1e11
 DEFAULT_YEARS = (2014, 2015, 2016, 2017)
 
 
-def occ_dates_are_epoch_ms(raw: DataFrame, col: str = "OCC_DATE") -> bool:
-    """Column-level decision (P10): median of the numeric values above 1e11 -> epoch ms.
-    One scalar aggregate; only the number reaches the driver."""
-    med = raw.agg(F.median(to_double(col)).alias("m")).first().m
-    return med is not None and float(med) > EPOCH_MS_MEDIAN_CUTOFF
+def occ_dates_are_epoch_ms(raw: DataFrame, col: str = "OCC_DATE", cutoff: float = EPOCH_MS_MEDIAN_CUTOFF) -> bool:
+    """Column-level decision (P10): is the median of the numeric values above ``cutoff``?
+
+    Decided exactly from one aggregate row, without sorting or buffering the
+    column: with ``c`` values above the cut out of ``n``, the median is above it
+    when ``c > n/2`` (odd n: ``c >= (n+1)/2``) and below when ``c < n/2``; in the
+    even split it is the mean of the largest value at or below the cut and the
+    smallest above it.
+    """
+    v = to_double(col)
+    r = raw.agg(
+        F.count(v).alias("n"),
+        F.count_if(v > cutoff).alias("c"),
+        F.max(F.when(v <= cutoff, v)).alias("lo"),
+        F.min(F.when(v > cutoff, v)).alias("hi"),
+    ).first()
+    n, c = r.n, r.c
+    if not n:
+        return False
+    if n % 2:
+        return c >= (n + 1) // 2
+    if c != n // 2:
+        return c > n // 2
+    return (r.lo + r.hi) / 2.0 > cutoff
 
 
 def parse_collisions(raw: DataFrame, *, years: Sequence[int] | None = DEFAULT_YEARS, epoch_ms: bool | None = None) -> DataFrame:
