@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from citymotion.functions.timez import floor_hour, utc_to_local
 
-# fixed values: adapter constants (mirrored in the oracle SQL)
+# fixed values: adapter constants (mirrored in the oracle SQL).  Divisors are chosen so
+# derived values are not short terminating decimals: means of such values would often sit
+# exactly on a rounding tie, where engines may round differently.
 ROUTE_FANOUT = 10  # corridor id = N{key % 10}_N{key div 10}
 CALENDAR_SHIFT_MONTHS = 348  # 29 years: order dates -> event timeline
 ORIGIN_DATE = "1995-01-01"
@@ -42,11 +44,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark), f"{sf_dir}/{name}.parquet")
     df = _READS.get(key)
     if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(key[1])
+        df = spread(spark.read.parquet(key[1]))
         _READS[key] = df
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cores when it has fewer splits than the default
+    parallelism (a small file with one row group).  Large inputs already have
+    many splits and are left alone, so this never adds a shuffle at scale."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def corridor_id(key: str) -> F.Column:
     k = F.col(key)
     return F.concat(
@@ -122,7 +134,7 @@ def corridors(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
     return c.select(
         corridor_id("c_custkey").alias("route_id"),
-        (F.col("c_acctbal") / 100.0).alias("free_flow_s"),
+        (F.col("c_acctbal") / 99.0).alias("free_flow_s"),
         (F.lit(100.0) + F.col("c_nationkey") * 25.0).alias("length_m"),
     )
 
@@ -187,15 +199,15 @@ def route_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
-    anchor_lon = F.lit(LON_WEST) + F.lit(LON_SPAN) * (F.col("c_acctbal") + 1000.0) / 11000.0
+    anchor_lon = F.lit(LON_WEST) + F.lit(LON_SPAN) * (F.col("c_acctbal") + 1000.0) / 10999.0
     anchor_lat = F.lit(LAT_SOUTH) + F.lit(LAT_BAND) * F.col("c_nationkey")
     days = F.datediff(F.to_date("o_orderdate"), F.lit(ORIGIN_DATE))
     w = Window.partitionBy("c_custkey").orderBy("o_orderkey")
     return j.select(
         corridor_id("c_custkey").alias("route_id"),
         (F.row_number().over(w) - 1).cast("long").alias("seq"),
-        (anchor_lon + F.lit(VERTEX_DLON) * (F.col("o_totalprice") / 600000.0 - 0.5)).alias("lon"),
-        (anchor_lat + F.lit(VERTEX_DLAT) * (days / 2400.0 - 0.5)).alias("lat"),
+        (anchor_lon + F.lit(VERTEX_DLON) * (F.col("o_totalprice") / 599999.0 - 0.5)).alias("lon"),
+        (anchor_lat + F.lit(VERTEX_DLAT) * (days / 2399.0 - 0.5)).alias("lat"),
     )
 
 
@@ -203,6 +215,6 @@ def snap_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.select(
         F.col("c_custkey").alias("collision_id"),
-        (F.lit(LON_WEST) + F.lit(LON_SPAN) * (F.col("c_acctbal") + 1000.0) / 11000.0).alias("lon"),
+        (F.lit(LON_WEST) + F.lit(LON_SPAN) * (F.col("c_acctbal") + 1000.0) / 10999.0).alias("lon"),
         (F.lit(LAT_SOUTH) + F.lit(LAT_BAND) * F.col("c_nationkey") + F.lit(POINT_DLAT)).alias("lat"),
     )

@@ -59,7 +59,7 @@ wx AS (
 )"""
 
 RT = f"""rt AS (
-  SELECT {corridor_sql('c_custkey')} AS route_id, CAST(c_acctbal AS DOUBLE) / 100.0 AS free_flow_s,
+  SELECT {corridor_sql('c_custkey')} AS route_id, CAST(c_acctbal AS DOUBLE) / 99.0 AS free_flow_s,
          CAST(100 + c_nationkey * 25 AS DOUBLE) AS length_m
   FROM customer WHERE c_acctbal >= 0
 )"""
@@ -171,10 +171,10 @@ def _proj(prefix: str, lon: str, lat: str) -> str:
 VERTS = f"""verts AS (
   SELECT {corridor_sql('c.c_custkey')} AS route_id,
          row_number() OVER (PARTITION BY c.c_custkey ORDER BY o.o_orderkey) - 1 AS seq,
-         CAST(-79.6 AS DOUBLE) + CAST(0.35 AS DOUBLE) * (c.c_acctbal + CAST(1000.0 AS DOUBLE)) / CAST(11000.0 AS DOUBLE)
-           + CAST(0.01 AS DOUBLE) * (o.o_totalprice / CAST(600000.0 AS DOUBLE) - CAST(0.5 AS DOUBLE)) AS lon,
+         CAST(-79.6 AS DOUBLE) + CAST(0.35 AS DOUBLE) * (c.c_acctbal + CAST(1000.0 AS DOUBLE)) / CAST(10999.0 AS DOUBLE)
+           + CAST(0.01 AS DOUBLE) * (o.o_totalprice / CAST(599999.0 AS DOUBLE) - CAST(0.5 AS DOUBLE)) AS lon,
          CAST(43.58 AS DOUBLE) + CAST(0.008 AS DOUBLE) * c.c_nationkey
-           + CAST(0.004 AS DOUBLE) * (CAST(date_diff('day', DATE '1995-01-01', CAST(o.o_orderdate AS DATE)) AS DOUBLE) / CAST(2400.0 AS DOUBLE) - CAST(0.5 AS DOUBLE)) AS lat
+           + CAST(0.004 AS DOUBLE) * (CAST(date_diff('day', DATE '1995-01-01', CAST(o.o_orderdate AS DATE)) AS DOUBLE) / CAST(2399.0 AS DOUBLE) - CAST(0.5 AS DOUBLE)) AS lat
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 ),
 pverts AS (SELECT route_id, seq, lon, lat, {_proj('', 'lon', 'lat')} FROM verts),
@@ -185,7 +185,7 @@ segs AS (
 
 PTS = f"""pts AS (
   SELECT c_custkey AS collision_id,
-         CAST(-79.6 AS DOUBLE) + CAST(0.35 AS DOUBLE) * (c_acctbal + CAST(1000.0 AS DOUBLE)) / CAST(11000.0 AS DOUBLE) AS lon,
+         CAST(-79.6 AS DOUBLE) + CAST(0.35 AS DOUBLE) * (c_acctbal + CAST(1000.0 AS DOUBLE)) / CAST(10999.0 AS DOUBLE) AS lon,
          CAST(43.58 AS DOUBLE) + CAST(0.008 AS DOUBLE) * c_nationkey + CAST(0.003 AS DOUBLE) AS lat
   FROM customer
 ),

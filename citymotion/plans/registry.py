@@ -654,7 +654,7 @@ def rounded_scores(spark, sf):
 )"""
         ],
         """SELECT collision_id, route_id, ts_utc, first_alert_utc,
-       round(date_diff('microsecond', first_alert_utc, ts_utc) / 60000000.0, 6) AS lead_minutes FROM lead""",
+       round(date_diff('microsecond', first_alert_utc, ts_utc) / 1000000.0, 6) AS lead_seconds FROM lead""",
     ),
 )
 def q_alert_lead_times(spark, sf):
@@ -663,7 +663,7 @@ def q_alert_lead_times(spark, sf):
     s = rounded_scores(spark, sf)
     alerts = s.join(route_thresholds(s, q=0.99), "route_id").where(F.col("score") > F.col("threshold"))
     out = alert_lead_times(alerts, A.incidents(spark, sf), horizon_minutes=60)
-    return out.select("collision_id", "route_id", "ts_utc", "first_alert_utc", F.round("lead_minutes", 6).alias("lead_minutes"))
+    return out.select("collision_id", "route_id", "ts_utc", "first_alert_utc", F.round("lead_seconds", 6).alias("lead_seconds"))
 
 
 @register(
