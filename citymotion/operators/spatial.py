@@ -20,7 +20,8 @@ every point with every segment:
 
 Skew: a hot cell (many points in one place) only meets the few segment
 pieces of that cell; AQE's skew-join split handles the point side.  The
-segment-cell table is broadcast only under the size limit.
+segment-cell table is broadcast only when an exact row count proves it is
+under the size limit (its planner estimate ignores the explode fan-out).
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citymotion.functions.geo import segment_distance, utm_columns
-from citymotion.session import maybe_broadcast
+from citymotion.session import broadcast_if_counted
 
 DEFAULT_MAX_DISTANCE_M = 150.0
 
@@ -94,7 +95,8 @@ def nearest_routes(
     p = project(located, x="_px", y="_py").withColumns(
         {"cx": F.floor(F.col("_px") / cell), "cy": F.floor(F.col("_py") / cell)}
     )
-    cells = maybe_broadcast(segment_cells(segments(vertices), cell))
+    # fixed-width rows: route_id (short string) + 7 numbers; size proven by an exact count
+    cells = broadcast_if_counted(segment_cells(segments(vertices), cell), row_bytes=96)
     cand = p.select(id_col, "_px", "_py", "cx", "cy").join(cells, ["cx", "cy"], "inner")
     cand = cand.withColumn("_d", segment_distance("_px", "_py", "ax", "ay", "bx", "by")).where(
         F.col("_d") <= F.lit(max_distance_m)

@@ -79,9 +79,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (None if unavailable, e.g. Spark Connect)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # pragma: no cover - Connect / unknown stats
         return None
+    return int(str(size))
 
 
 def maybe_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
@@ -96,6 +97,14 @@ def maybe_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -
     return df
 
 
+def broadcast_if_counted(df: DataFrame, row_bytes: int, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """Broadcast after proving the size with an exact row count (for tables built
+    by explode, whose planner estimate does not include the fan-out)."""
+    if df.count() * row_bytes <= limit_bytes:
+        return F.broadcast(df)
+    return df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Filesystem-agnostic existence check (works for local, HDFS, object stores)."""
     jvm = spark.sparkContext._jvm

@@ -42,3 +42,41 @@ def dbf_summary(path: str) -> dict:
             break
         names.append(rest[off : off + 11].split(b"\x00", 1)[0].decode("ascii", "replace"))
     return {"fields": names, "n_records": struct.unpack_from("<I", head, 4)[0]}
+
+
+TABULAR_SUFFIXES = (".csv", ".tsv", ".txt")
+
+
+def preview_zip(spark: SparkSession, path: str, n: int = 5) -> dict:
+    """Sample of an archive (S12): header + first ``n`` rows of its first tabular
+    member; without one, the first DBF's field names and record count.
+    Only the member list, one member's first rows or one DBF header are read."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    from citymotion.sources.archives import is_data_member
+
+    with open_input(path) as fh, zipfile.ZipFile(fh) as zf:
+        names = zf.namelist()
+        tabular = [m for m in names if is_data_member(m, TABULAR_SUFFIXES)]
+        if tabular:
+            member = tabular[0]
+            sep = "\t" if member.lower().endswith(".tsv") else ","
+            with zf.open(member) as raw:
+                sample = pd.read_csv(raw, sep=sep, dtype=str, nrows=n, keep_default_na=False)
+            return {"member": member, "columns": list(sample.columns), "rows": sample.values.tolist()}
+        dbfs = [m for m in names if is_data_member(m, (".dbf",))]
+        if dbfs:
+            with zf.open(dbfs[0]) as raw:
+                head = raw.read(32)
+                header_len = struct.unpack_from("<H", head, 8)[0]
+                rest = raw.read(header_len - 32)
+            fields = []
+            for off in range(0, len(rest) - 1, 32):
+                if rest[off] == 0x0D:
+                    break
+                fields.append(rest[off : off + 11].split(b"\x00", 1)[0].decode("ascii", "replace"))
+            return {"member": dbfs[0], "columns": fields, "n_records": struct.unpack_from("<I", head, 4)[0]}
+    return {"member": None, "columns": [], "rows": []}
