@@ -20,8 +20,9 @@ every point with every segment:
 
 Skew: a hot cell (many points in one place) only meets the few segment
 pieces of that cell; AQE's skew-join split handles the point side.  The
-segment-cell table is broadcast only when an exact row count proves it is
-under the size limit (its planner estimate ignores the explode fan-out).
+segment-cell table is broadcast only when a proven bound (16 cells per piece,
+summed over segments) keeps it under the size limit; the planner's estimate
+ignores the explode fan-out.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citymotion.functions.geo import segment_distance, utm_columns
-from citymotion.session import broadcast_if_counted
+from citymotion.session import broadcast_if_bounded
 
 DEFAULT_MAX_DISTANCE_M = 150.0
 
@@ -58,9 +59,13 @@ def segments(vertices: DataFrame) -> DataFrame:
     )
 
 
+def _length() -> F.Column:
+    return F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)
+
+
 def segment_cells(segs: DataFrame, cell: float) -> DataFrame:
     """(route_id, seg, geometry, cx, cy) for every cell a segment may reach within ``cell``."""
-    length = F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)
+    length = _length()
     pieces = F.greatest(F.lit(1), F.ceil(length / F.lit(cell)).cast("int"))
     s = segs.withColumn("_n", pieces).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     t0 = F.col("_i") / F.col("_n")
@@ -95,8 +100,10 @@ def nearest_routes(
     p = project(located, x="_px", y="_py").withColumns(
         {"cx": F.floor(F.col("_px") / cell), "cy": F.floor(F.col("_py") / cell)}
     )
-    # fixed-width rows: route_id (short string) + 7 numbers; size proven by an exact count
-    cells = broadcast_if_counted(segment_cells(segments(vertices), cell), row_bytes=96)
+    # each piece reaches at most 4 x 4 cells: the bound needs one aggregate over segments, no explode
+    segs = segments(vertices)
+    bound = segs.agg(F.sum(F.lit(16) * F.greatest(F.lit(1), F.ceil(_length() / F.lit(cell)))).alias("b")).first().b
+    cells = broadcast_if_bounded(segment_cells(segs, cell), None if bound is None else int(bound), row_bytes=96)
     cand = p.select(id_col, "_px", "_py", "cx", "cy").join(cells, ["cx", "cy"], "inner")
     cand = cand.withColumn("_d", segment_distance("_px", "_py", "ax", "ay", "bx", "by")).where(
         F.col("_d") <= F.lit(max_distance_m)

@@ -97,10 +97,11 @@ def maybe_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -
     return df
 
 
-def broadcast_if_counted(df: DataFrame, row_bytes: int, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast after proving the size with an exact row count (for tables built
-    by explode, whose planner estimate does not include the fan-out)."""
-    if df.count() * row_bytes <= limit_bytes:
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """Broadcast when a proven upper bound on the row count (computed by the caller,
+    e.g. from the rows before an explode and its maximal fan-out) keeps the table
+    under the limit; the planner's estimate does not include explode fan-out."""
+    if max_rows is not None and max_rows * row_bytes <= limit_bytes:
         return F.broadcast(df)
     return df
 
