@@ -32,6 +32,17 @@ DEFAULT_ACCURACY = 100_000
 BAND_MARGIN = 3.0  # in units of the sketch's rank error
 
 
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys`` with NULL matching NULL (group keys may be NULL)."""
+    r = right.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    cond = None
+    for i, k in enumerate(keys):
+        c = left[k].eqNullSafe(r[f"_rk{i}"])
+        cond = c if cond is None else cond & c
+    out = left.join(r, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_rk{i}" for i in range(len(keys))])
+
+
 def _name(q: float) -> str:
     return f"q{str(q).replace('.', '_')}"
 
@@ -45,10 +56,13 @@ def exact_quantiles(
     accuracy: int = DEFAULT_ACCURACY,
     names: Sequence[str] | None = None,
     count_name: str | None = None,
+    extra_aggs: Sequence[F.Column] = (),
 ) -> DataFrame:
     """``keys`` + one column per quantile; NULL / NaN values are skipped and a
     group without values gets NULL.  ``keys`` may be empty (global quantiles).
-    ``count_name`` adds the number of values used."""
+    ``count_name`` adds the number of values used; ``extra_aggs`` (named
+    aggregate columns over the input rows) are computed in the first pass and
+    carried to the output."""
     user_keys = list(keys)
     keys = user_keys or ["_g"]
     names = list(names) if names is not None else [_name(q) for q in qs]
@@ -61,13 +75,18 @@ def exact_quantiles(
     idx = {p: i for i, p in enumerate(probs)}
     src = df if user_keys else df.withColumn("_g", F.lit(0))
     raw = F.col(value).cast("double")
-    base = src.select(*keys, F.when(~F.isnan(raw), raw).alias("_v"))
-
-    # pass 1: size and rank brackets per group
-    sketch = base.groupBy(*keys).agg(F.count("_v").alias("_n"), F.percentile_approx("_v", probs, accuracy).alias("_b"))
+    extra_names = [e._jc.toString().split(" AS ")[-1].strip("`") for e in extra_aggs]
+    base_cols = [c for c in src.columns if c not in keys]
+    pre = src.select(*keys, F.when(~F.isnan(raw), raw).alias("_v"), *([F.struct(*base_cols).alias("_row")] if extra_aggs else []))
+    base = pre.select(*keys, "_v")
+
+    # pass 1: size and rank brackets per group (+ any extra aggregates)
+    first = pre.select(*keys, "_v", *([F.col("_row.*")] if extra_aggs else []))
+    sketch = first.groupBy(*keys).agg(F.count("_v").alias("_n"), F.percentile_approx("_v", probs, accuracy).alias("_b"), *extra_aggs)
     bounds = []
     for q, nm in zip(qs, names):
         bounds += [F.col("_b")[idx[clip(q - eps)]].alias(f"_lo_{nm}"), F.col("_b")[idx[clip(q + eps)]].alias(f"_hi_{nm}")]
+    extras_tbl = sketch.select(*keys, *extra_names) if extra_aggs else None
     sketch = sketch.select(*keys, "_n", *bounds)
 
     # pass 2: count below the bracket, collect the values inside it.  Groups with
@@ -75,7 +94,7 @@ def exact_quantiles(
     # bracket margin (3 n / accuracy ranks) covers the sketch error plus the one-rank
     # difference between the sketch's rank (ceil(p n)) and the interpolation rank.
     small = F.col("_n") < F.lit(accuracy // 2)
-    joined = base.join(maybe_broadcast(sketch), keys, "inner")
+    joined = _join_keys(base, maybe_broadcast(sketch), keys, "inner")
     aggs = [F.first("_n").alias("_n")]
     for nm in names:
         lo = F.when(small, F.lit(float("-inf"))).otherwise(F.col(f"_lo_{nm}"))
@@ -105,10 +124,12 @@ def exact_quantiles(
     if missed.limit(1).count():
         # groups whose bracket missed (sketch bound not met): plain exact percentile, only for them
         redo = (
-            base.join(missed, keys, "left_semi")
+            _join_keys(base, missed, keys, "left_semi")
             .groupBy(*keys)
             .agg(F.count("_v").alias("_n"), *[F.percentile("_v", float(q)).alias(nm) for q, nm in zip(qs, names)])
         )
         out = out.unionByName(redo)
     out = out.withColumnRenamed("_n", count_name) if count_name else out.drop("_n")
+    if extras_tbl is not None:
+        out = _join_keys(out, extras_tbl, keys, "left")
     return out.drop("_g") if not user_keys else out

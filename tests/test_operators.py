@@ -396,7 +396,7 @@ def test_exact_quantiles_match_percentile(spark, monkeypatch, margin):
     rnd = random.Random(5)
     rows = [("hot", float(rnd.randint(0, 500))) for _ in range(20000)]  # many duplicates
     rows += [("k%d" % (i % 7), rnd.gauss(0, 1)) for i in range(3000)]
-    rows += [("nulls", None), ("one", 4.0), ("hot", float("nan"))]
+    rows += [("nulls", None), ("one", 4.0), ("hot", float("nan")), (None, 1.0), (None, 3.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     qs = [0.0, 0.05, 0.5, 0.85, 0.95, 1.0]
     for acc in (100_000, 50, 10):  # small accuracies: band path on the big groups, fallback when margin is 0
