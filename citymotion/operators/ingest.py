@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from citymotion.functions.text import event_datetime, first_number, road_closed, yes_no
 from citymotion.functions.timez import (
     epoch_ms_to_utc_ntz,
-    floor_hour,
     localize,
     parse_naive_local,
     parse_offset_timestamp,
@@ -257,7 +256,3 @@ def normalize_routes(spark: SparkSession, folder: str, glob: str = "bluetooth-ro
         F.col("normalDriv").try_cast("double").alias("free_flow_s"),
         F.col("length_m").try_cast("double").alias("length_m"),
     )
-
-
-def hour_of(ts_utc: str = "ts_utc") -> F.Column:
-    return floor_hour(ts_utc)

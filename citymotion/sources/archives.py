@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 from citymotion.sources.common import list_files, open_input
 
 CHUNK_ROWS = 100_000
-PROVENANCE = ["path", "member", "pos"]
 
 
 def is_data_member(name: str, suffixes: Sequence[str] = (".csv",)) -> bool:

@@ -51,7 +51,6 @@ def preview_zip(spark: SparkSession, path: str, n: int = 5) -> dict:
     """Sample of an archive (S12): header + first ``n`` rows of its first tabular
     member; without one, the first DBF's field names and record count.
     Only the member list, one member's first rows or one DBF header are read."""
-    import io
     import zipfile
 
     import pandas as pd
