@@ -46,7 +46,8 @@ def run_step(spark: SparkSession, step: str, cfg: PipelineConfig) -> str | list[
         df = ingest.normalize_travel_times(spark, f"{raw}/travel_times_bluetooth", years=cfg.years)
         return write_table(df, f"{interim}/travel_times", partition_by=["year"])
     if step == "weather":
-        return write_table(ingest.normalize_weather(spark, f"{raw}/weather_toronto_city"), f"{interim}/weather_hourly")
+        weather = ingest.normalize_weather(spark, f"{raw}/weather_toronto_city")
+        return write_table(weather, f"{interim}/weather_hourly", sort_within=["ts_utc"])  # O1: time order inside each file
     if step == "civic":
         from citymotion.operators.calendar import civic_days
         from citymotion.sources.text_formats import load_calendar

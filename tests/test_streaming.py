@@ -93,3 +93,14 @@ def test_enrich_stream_matches_batch_panel(spark):
     got = got.select(*cols)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
+
+
+def test_dedupe_first_stream(spark):
+    from citymotion.plans import adapters as A
+    from citymotion.streaming.streams import dedupe_first_stream
+
+    obs = A.observations(spark, SF)
+    dup = obs.unionByName(obs)
+    s, batch_in = _as_stream(spark, dup)
+    got = _run(spark, dedupe_first_stream(s).drop("event_time"), "t5a")
+    assert got.count() == obs.select("route_id", "ts_utc").distinct().count()
