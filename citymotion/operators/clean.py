@@ -9,7 +9,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citymotion.operators.normalize import keep_last
+from citymotion.operators.normalize import keep_last_sparse
 
 # fixed values: columns removed for the v1 training panel
 DROP_COLUMNS_EXACT = frozenset(
@@ -71,8 +71,11 @@ def v1_qa(panel: DataFrame) -> DataFrame:
 
 
 def dedupe_last(panel: DataFrame, keys: Sequence[str] = ("ts_local", "route_id"), order: Sequence[str] = ("src_pos",)) -> DataFrame:
-    """One row per (ts_local, route_id): the last by ingest order."""
-    return keep_last(panel, list(keys), list(order))
+    """One row per (ts_local, route_id): the last by ingest order.
+
+    The panel is wide and duplicates are rare, so only the keys are shuffled to
+    find duplicated ones (:func:`keep_last_sparse`)."""
+    return keep_last_sparse(panel, list(keys), list(order))
 
 
 def clean_panel(panel: DataFrame, *, min_sample_count: float = 0, order: Sequence[str] = ("src_pos",)) -> DataFrame:

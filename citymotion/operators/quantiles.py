@@ -26,23 +26,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citymotion.operators.normalize import join_null_safe
 from citymotion.session import cut_lineage, maybe_broadcast
 
 DEFAULT_ACCURACY = 100_000
 BAND_MARGIN = 3.0  # in units of the sketch's rank error
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join on ``keys`` with NULL matching NULL (group keys may be NULL)."""
-    r = right.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
-    cond = None
-    for i, k in enumerate(keys):
-        c = left[k].eqNullSafe(r[f"_rk{i}"])
-        cond = c if cond is None else cond & c
-    out = left.join(r, cond, how)
-    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_rk{i}" for i in range(len(keys))])
-
-
 def _name(q: float) -> str:
     return f"q{str(q).replace('.', '_')}"
 
@@ -94,7 +84,7 @@ def exact_quantiles(
     # bracket margin (3 n / accuracy ranks) covers the sketch error plus the one-rank
     # difference between the sketch's rank (ceil(p n)) and the interpolation rank.
     small = F.col("_n") < F.lit(accuracy // 2)
-    joined = _join_keys(base, maybe_broadcast(sketch), keys, "inner")
+    joined = join_null_safe(base, maybe_broadcast(sketch), keys, "inner")
     aggs = [F.first("_n").alias("_n")]
     for nm in names:
         lo = F.when(small, F.lit(float("-inf"))).otherwise(F.col(f"_lo_{nm}"))
@@ -124,12 +114,12 @@ def exact_quantiles(
     if missed.limit(1).count():
         # groups whose bracket missed (sketch bound not met): plain exact percentile, only for them
         redo = (
-            _join_keys(base, missed, keys, "left_semi")
+            join_null_safe(base, missed, keys, "left_semi")
             .groupBy(*keys)
             .agg(F.count("_v").alias("_n"), *[F.percentile("_v", float(q)).alias(nm) for q, nm in zip(qs, names)])
         )
         out = out.unionByName(redo)
     out = out.withColumnRenamed("_n", count_name) if count_name else out.drop("_n")
     if extras_tbl is not None:
-        out = _join_keys(out, extras_tbl, keys, "left")
+        out = join_null_safe(out, extras_tbl, keys, "left")
     return out.drop("_g") if not user_keys else out

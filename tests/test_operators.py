@@ -443,3 +443,16 @@ def test_average_precision_and_labels_brute_force(spark):
         ap += tp / P * (ctp / cn)
     got = average_precision(lab, buckets=8).collect()[0]
     assert got.n_positive == P and got.average_precision == pytest.approx(ap, rel=1e-12)
+
+
+def test_keep_last_sparse_matches_keep_last(spark):
+    from citymotion.operators.normalize import keep_last, keep_last_sparse
+
+    rows = [("k%d" % (i % 50), i, float(i)) for i in range(300)] + [("u%d" % i, 0, 1.0) for i in range(40)] + [(None, 5, 2.0), (None, 6, 3.0)]
+    df = spark.createDataFrame(rows, "key string, o long, v double")
+    a = keep_last(df, ["key"], ["o"]).select("key", "o", "v")
+    b = keep_last_sparse(df, ["key"], ["o"]).select("key", "o", "v")
+    assert b.count() == a.count()
+    assert a.exceptAll(b).count() == 0
+    none = spark.createDataFrame([("a", 1, 1.0)], "key string, o long, v double")
+    assert keep_last_sparse(none, ["key"], ["o"]).count() == 1
