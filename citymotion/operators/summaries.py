@@ -29,8 +29,9 @@ def event_day_summary(events: DataFrame) -> DataFrame:
     on its first day and -1 the day after its last, the deltas are summed per
     day (partial aggregation, so hot days cost nothing extra), and a running
     sum over the day spine gives the counts.  Work is O(events + days in range),
-    independent of interval length; only the per-day table (bounded by the
-    calendar span, not by the number of events) is ordered in one window.
+    independent of interval length.  The running sum is two-level (inside each
+    month, plus month offsets from the month totals), so no window orders the
+    whole day spine.
     """
     ev = (
         events.where(F.col("start_local").isNotNull())
@@ -54,17 +55,24 @@ def event_day_summary(events: DataFrame) -> DataFrame:
     spine = per_day.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date")
     )
-    running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        spine.join(per_day, "date", "left")
-        .select(
-            "date",
-            F.sum(F.coalesce("a", F.lit(0))).over(running).alias("n_events_active"),
-            F.sum(F.coalesce("r", F.lit(0))).over(running).alias("n_events_road_close"),
-            F.sum(F.coalesce("h", F.lit(0))).over(running).alias("n_events_with_coords"),
-        )
-        .where(F.col("n_events_active") > 0)
+    # two-level prefix sum: running sums inside each month, plus each month's offset
+    # from a running sum over month totals (at most 12 rows a year)
+    days = spine.join(per_day, "date", "left").select(
+        "date",
+        F.trunc("date", "month").alias("_m"),
+        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("a", "r", "h")],
+    )
+    months = days.groupBy("_m").agg(*[F.sum(c).alias(f"_t{c}") for c in ("a", "r", "h")])
+    before = Window.orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = months.select("_m", *[F.coalesce(F.sum(f"_t{c}").over(before), F.lit(0)).alias(f"_o{c}") for c in ("a", "r", "h")])
+    inside = Window.partitionBy("_m").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = days.join(F.broadcast(offsets), "_m").select(  # offsets: one row per month
+        "date",
+        (F.col("_oa") + F.sum("a").over(inside)).alias("n_events_active"),
+        (F.col("_or") + F.sum("r").over(inside)).alias("n_events_road_close"),
+        (F.col("_oh") + F.sum("h").over(inside)).alias("n_events_with_coords"),
     )
+    return out.where(F.col("n_events_active") > 0)
 
 
 def event_day_summary_exploded(events: DataFrame) -> DataFrame:
