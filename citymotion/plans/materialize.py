@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citymotion.session import ensure_checkpoint_dir
 
 _RUN = uuid.uuid4().hex[:12]
-_MEMO: dict[tuple[int, str], tuple[SparkSession, str]] = {}
+_MEMO: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def table_path(spark: SparkSession, name: str, key: str) -> str:
@@ -37,6 +37,6 @@ def materialized(spark: SparkSession, name: str, key: str, build: Callable[[], D
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        hit = (spark, path)
+        hit = (spark, spark.read.parquet(path))  # the read (listing, schema) is reused too
         _MEMO[memo_key] = hit
-    return spark.read.parquet(hit[1])
+    return hit[1]
