@@ -796,3 +796,38 @@ def q_collisions_parse(spark, sf):
 
     p = parse_collisions(_collision_rows(spark, sf), years=None)
     return p.select("collision_id", "ts_utc", "ts_local", "date", "year", "hour", "is_injury", "fatalities", "lat", "lon")
+
+
+# ---------------------------------------------------------------- P29 features at timestamps, P25 static widths
+@register(
+    "incident_day_features",
+    O.with_ctes(
+        [O.INC, O.CAL, O.CIVIC],
+        """SELECT i.collision_id, coalesce(f.is_holiday, false) AS is_holiday, coalesce(f.is_mega_event, false) AS is_mega_event,
+       coalesce(f.n_civic_events, 0) AS n_civic_events, coalesce(f.event_kinds, '') AS event_kinds
+FROM inc i LEFT JOIN feat f ON CAST(i.ts_local AS DATE) = f.date""",
+    ),
+)
+def q_incident_day_features(spark, sf):
+    from citymotion.operators.calendar import features_for_dates
+
+    inc = A.incidents(spark, sf).select("collision_id", "ts_local")
+    f = features_for_dates(A.calendar_entries(spark, sf), inc, date_col="ts_local")
+    return f.select("collision_id", "is_holiday", "is_mega_event", "n_civic_events", "event_kinds")
+
+
+@register(
+    "route_widths_static",
+    O.with_ctes(
+        O.PANEL_DEPS + [METRICS_CTE, "mm AS (SELECT min(value) AS lo, max(value) AS hi FROM metrics)"],
+        """SELECT route_id, round(value, 6) AS value,
+       round(CASE WHEN value IS NULL THEN 0.8
+                  WHEN hi > lo THEN 1.2 + 4.0 * (value - lo) / (hi - lo) ELSE 1.2 END, 6) AS width
+FROM metrics, mm""",
+    ),
+)
+def q_route_widths_static(spark, sf):
+    from citymotion.operators.frames import static_widths
+
+    w = static_widths(mean_metrics(spark, sf))
+    return w.select("route_id", F.round("value", 6).alias("value"), F.round("width", 6).alias("width"))
