@@ -64,26 +64,27 @@ def _length() -> F.Column:
 
 
 def segment_cells(segs: DataFrame, cell: float) -> DataFrame:
-    """(route_id, seg, geometry, cx, cy) for every cell a segment may reach within ``cell``."""
-    length = _length()
-    pieces = F.greatest(F.lit(1), F.ceil(length / F.lit(cell)).cast("int"))
-    s = segs.withColumn("_n", pieces).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    t0 = F.col("_i") / F.col("_n")
-    t1 = (F.col("_i") + 1) / F.col("_n")
-    x0 = F.col("ax") + t0 * (F.col("bx") - F.col("ax"))
-    x1 = F.col("ax") + t1 * (F.col("bx") - F.col("ax"))
-    y0 = F.col("ay") + t0 * (F.col("by") - F.col("ay"))
-    y1 = F.col("ay") + t1 * (F.col("by") - F.col("ay"))
-    s = s.withColumns(
-        {
-            "_cx0": F.floor((F.least(x0, x1) - cell) / cell),
-            "_cx1": F.floor((F.greatest(x0, x1) + cell) / cell),
-            "_cy0": F.floor((F.least(y0, y1) - cell) / cell),
-            "_cy1": F.floor((F.greatest(y0, y1) + cell) / cell),
-        }
-    )
-    s = s.withColumn("cx", F.explode(F.sequence("_cx0", "_cx1"))).withColumn("cy", F.explode(F.sequence("_cy0", "_cy1")))
-    return s.select("route_id", "seg", "ax", "ay", "bx", "by", "cx", "cy").dropDuplicates(["route_id", "seg", "cx", "cy"])
+    """(route_id, seg, geometry, cx, cy) for every cell a segment may reach within ``cell``.
+
+    The cells of all pieces of a segment are listed and de-duplicated inside
+    the segment's own row (``array_distinct``) before the explode, so no
+    shuffle is needed to drop cells shared by neighbouring pieces.
+    """
+    n = F.greatest(F.lit(1), F.ceil(_length() / F.lit(cell)).cast("int"))
+    ax, ay, bx, by = F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")
+
+    def piece_cells(i):
+        t0 = i / n
+        t1 = (i + 1) / n
+        x0, x1 = ax + t0 * (bx - ax), ax + t1 * (bx - ax)
+        y0, y1 = ay + t0 * (by - ay), ay + t1 * (by - ay)
+        xs = F.sequence(F.floor((F.least(x0, x1) - cell) / cell), F.floor((F.greatest(x0, x1) + cell) / cell))
+        ys = F.sequence(F.floor((F.least(y0, y1) - cell) / cell), F.floor((F.greatest(y0, y1) + cell) / cell))
+        return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+
+    cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), piece_cells)))
+    out = segs.select("route_id", "seg", "ax", "ay", "bx", "by", F.explode(cells).alias("_c"))
+    return out.select("route_id", "seg", "ax", "ay", "bx", "by", F.col("_c.cx").alias("cx"), F.col("_c.cy").alias("cy"))
 
 
 def nearest_routes(
