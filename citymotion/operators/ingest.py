@@ -188,7 +188,14 @@ def parse_collisions(raw: DataFrame, *, years: Sequence[int] | None = DEFAULT_YE
     lat = to_double("LAT_WGS84")
     lon = to_double("LONG_WGS84")
     unlocated = lat.isNull() | lon.isNull() | ((F.abs(lat) < 1e-6) & (F.abs(lon) < 1e-6))
-    cid = F.col("_id").try_cast("long") if "_id" in raw.columns else (F.col("pos") + 1).cast("long")
+    if "_id" in raw.columns:
+        cid = F.col("_id").try_cast("long")
+    else:
+        # surrogate ids 1..n in file order, counted after the year filter
+        from citymotion.sources.common import with_ordinal
+
+        df = with_ordinal(df, "_ord")
+        cid = (F.col("_ord") + 1).cast("long")
     cols = {
         "collision_id": cid,
         "ts_utc": ts_utc,

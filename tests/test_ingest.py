@@ -211,3 +211,17 @@ def test_epoch_median_decision_exact(spark):
         df = spark.createDataFrame([(str(v),) for v in vals], "OCC_DATE string")
         nums = [float(v) for v in vals if not isinstance(v, str)]
         assert occ_dates_are_epoch_ms(df) == (statistics.median(nums) > 1e11), vals
+
+
+def test_collision_surrogate_ids_after_year_filter(spark, tmp):  # P12
+    from citymotion.sources.text_formats import read_collisions_csv
+
+    p = tmp / "noid.csv"
+    p.write_text(
+        "OCC_DATE,OCC_YEAR,OCC_HOUR,LONG_WGS84,LAT_WGS84\n"
+        "1388552400000,2014,1,-79.4,43.65\n1514782800000,2018,2,-79.4,43.65\n"
+        "1388552400000,2014,3,-79.4,43.65\n1388552400000,2014,4,0,0\n"
+    )
+    rows = ingest.parse_collisions(read_collisions_csv(spark, str(p))).orderBy("collision_id").collect()
+    # 2018 row removed before numbering; the unlocated row keeps its number but is dropped
+    assert [(r.collision_id, r.hour) for r in rows] == [(1, 1), (2, 3)]
