@@ -62,7 +62,10 @@ def congestion_buckets(
     missing = [c for c in cols if c not in panel.columns]
     if missing:
         raise KeyError(f"panel missing columns: {missing}")
-    p = period(panel, start, end).select(
+    selected = period(panel, start, end)
+    if (start is not None or end is not None) and selected.limit(1).count() == 0:
+        raise ValueError("No panel rows in the selected date period")
+    p = selected.select(
         "route_id", bucket_start("ts_utc", freq).alias("bucket_utc"), F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double")).alias("_v")
     )
     out = p.groupBy("bucket_utc", "route_id").agg(F.avg("_v").alias("value"))
