@@ -125,3 +125,18 @@ def static_widths(metrics: DataFrame, value: str = "value") -> DataFrame:
     else:
         t = (v - F.lit(lo)) / F.lit(hi - lo)
     return metrics.withColumn("width", F.when(v.isNull(), F.lit(0.8)).otherwise(F.lit(1.2) + F.lit(4.0) * t))
+
+
+def intensity_frames(buckets: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Animated-map data (J10 + A6 + P25): buckets of routes that have geometry,
+    scaled by the p5/p95 bounds of their finite values.  Raises when no route
+    has both values and geometry, or no finite value exists."""
+    from citymotion.operators.network import routes_with_geometry
+
+    shown = routes_with_geometry(buckets, vertices)
+    if shown.limit(1).count() == 0:
+        raise ValueError("No routes with both panel values and geometry")
+    b = robust_bounds(shown).first()
+    if b is None or b.vmin is None:
+        raise ValueError("No finite congestion values in selected period")
+    return scale_intensity(shown, b.vmin, b.vmax)

@@ -242,12 +242,9 @@ FROM shown, bb""",
     ),
 )
 def q_intensity_scaled(spark, sf):
-    from citymotion.operators.frames import robust_bounds, scale_intensity
-    from citymotion.operators.network import routes_with_geometry
+    from citymotion.operators.frames import intensity_frames
 
-    shown = routes_with_geometry(buckets(spark, sf, "h"), vertices(spark, sf))
-    bounds = robust_bounds(shown).first()
-    out = scale_intensity(shown, bounds.vmin, bounds.vmax)
+    out = intensity_frames(buckets(spark, sf, "h"), vertices(spark, sf))
     return out.select(
         "bucket_utc", "label", "route_id", F.round("value", 6).alias("value"), F.round("t", 6).alias("t"), F.round("width", 6).alias("width")
     )

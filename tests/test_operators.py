@@ -458,3 +458,15 @@ def test_keep_last_sparse_matches_keep_last(spark):
     assert a.exceptAll(b).count() == 0
     none = spark.createDataFrame([("a", 1, 1.0)], "key string, o long, v double")
     assert keep_last_sparse(none, ["key"], ["o"]).count() == 1
+
+
+def test_intensity_frames_errors(spark):
+    from citymotion.operators.frames import intensity_frames
+
+    b = spark.createDataFrame([(T(2016, 6, 15, 11), "l", "A_B", 1.0)], "bucket_utc timestamp_ntz, label string, route_id string, value double")
+    v = spark.createDataFrame([("X_Y", 0, -79.4, 43.6)], "route_id string, seq long, lon double, lat double")
+    with pytest.raises(ValueError, match="geometry"):
+        intensity_frames(b, v)
+    nan = spark.createDataFrame([(T(2016, 6, 15, 11), "l", "X_Y", float("nan"))], "bucket_utc timestamp_ntz, label string, route_id string, value double")
+    with pytest.raises(ValueError, match="finite"):
+        intensity_frames(nan, v)
