@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from citymotion.plans import registry
 from tools.check_oracle import TABLES, rows
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +19,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.ORACLE) == set(registry.QUERIES)
 
 
 def test_queries_match_oracle(spark):
@@ -26,7 +27,7 @@ def test_queries_match_oracle(spark):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     bad = []
-    for name, fn in E.queries().items():
+    for name, fn in registry.QUERIES.items():
         c1, r1 = rows(fn(spark, SF).toPandas())
         c2, r2 = rows(con.execute(E.oracle_sql()[name]).df())
         if c1 != c2 or r1 != r2:
