@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm import quality, simhash
+from citymotion.llm import quality, secret_scan, simhash
 from citymotion.llm.common import table
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.with_quality(docs).drop("text", "lang")
@@ -23,6 +27,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scans": op2_secret_scans,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
