@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm import quality, secret_scan, simhash
+from citymotion.llm import mixing, quality, secret_scan, simhash
 from citymotion.llm.common import table
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
@@ -27,9 +31,12 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
     "op2_secret_scans": op2_secret_scans,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_source_mixing": mixing.oracle(),
+}
