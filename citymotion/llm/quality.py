@@ -20,7 +20,9 @@ a bounded cache of word encodings in each Python worker.
 
 from __future__ import annotations
 
+import base64
 import unicodedata
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,9 +37,9 @@ from citymotion.llm.common import small_batches
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 SYMBOLS = frozenset("#*$%&|<>")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000  # some 200 MB in a Python worker
 PIECES = "piece_bpe_32k.model"
-BYTES = "byte_bpe_50k.json"
+BYTES = "byte_bpe_50k.tiktoken"
 
 FIELDS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
@@ -70,41 +72,52 @@ DEFAULT_BANDS: dict[str, Band] = {
 }
 
 
+MARK = 1 << 15  # above all piece ids
+
+
 class _Words(dict):
-    """word -> its token ids as little-endian 16-bit numbers; emptied when full."""
+    """word -> its piece ids, then MARK + its number of byte-level tokens (in as many
+    entries as that takes), as little-endian 16-bit numbers; emptied when full."""
 
-    def __init__(self, encode):
+    def __init__(self, pieces, byte_level):
         super().__init__()
-        self.encode = encode
+        self.pieces, self.byte_level = pieces, byte_level
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.asarray(self.encode(word), dtype="<u2").tobytes()
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
+    def codes(self, words: list[bytes]) -> np.ndarray:
+        """The entries of all ``words``, those that are new encoded together."""
+        new = list({w for w in words if w not in self})
+        if new:
+            if len(self) + len(new) > CACHE_WORDS:
                 self.clear()
-            self[word] = ids
-        return ids
+                new = list(set(words))
+            texts = [w.decode("utf-8") for w in new]
+            for word, text, codes in zip(new, texts, self.pieces.encode(texts, num_threads=1)):
+                n = len(self.byte_level.encode_ordinary(" " + text))
+                while n >= MARK:
+                    codes.append(2 * MARK - 1)
+                    n -= MARK - 1
+                codes.append(MARK + n)
+                self[word] = array("H", codes).tobytes()
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype=np.uint16)
 
 
 _loaded: dict[tuple[str, str], tuple] = {}
 
 
 def _vocabularies(pieces: str, byte_level: str):
-    """The two word encoders and which piece ids are byte fallbacks, once per worker."""
+    """The word encoder and which piece ids are byte fallbacks, once per worker."""
     key = (pieces, byte_level)
     if key not in _loaded:
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
         sp = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        bl = Tokenizer.from_file(byte_level)
-        bl.encode_special_tokens = True
+        with open(byte_level, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        bl = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         is_byte = np.array([sp.is_byte(i) for i in range(sp.vocab_size())])
-        _loaded[key] = (
-            _Words(lambda w: sp.encode(w.decode("utf-8"), num_threads=1)),
-            _Words(lambda w: bl.encode(" " + w.decode("utf-8"), add_special_tokens=False).ids),
-            is_byte,
-        )
+        assert sp.vocab_size() <= MARK
+        _loaded[key] = (_Words(sp, bl), is_byte)
     return _loaded[key]
 
 
@@ -132,11 +145,14 @@ def repeated_words(words: list[bytes]) -> int:
     if len(number) >= 1 << 20:
         pair = np.unique(pair, return_inverse=True)[1]
     triple = pair[:-1] * len(number) + ids[2:]
-    _, back, counts = np.unique(triple, return_inverse=True, return_counts=True)
-    twice = counts[back] > 1
+    order = np.argsort(triple)
+    same = np.diff(triple[order]) == 0
+    if not same.any():
+        return 0
     covered = np.zeros(len(words), dtype=bool)
+    starts = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
     for k in range(3):
-        covered[k : k + len(twice)] |= twice
+        covered[starts + k] = True
     return int(covered.sum())
 
 
@@ -157,13 +173,13 @@ def measure(text: str | None, lang: str | None, pieces: str, byte_level: str, ba
     symbols = sum(map(text.count, SYMBOLS))
     repeats = repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * n
-    by_piece, by_byte, is_byte = _vocabularies(pieces, byte_level)
-    ids = np.frombuffer(b"".join(map(by_piece.__getitem__, words)), dtype="<u2")
-    n_byte_level = sum(len(by_byte[w]) for w in words) // 2
-    tokens = len(ids)
+    encoded, is_byte = _vocabularies(pieces, byte_level)
+    codes = np.sort(encoded.codes(words))
+    tokens = int(np.searchsorted(codes, MARK))
+    ids, marks = codes[:tokens], codes[tokens:]
     if tokens:
-        counts = np.bincount(ids)
-        counts = counts[counts > 0]
+        n_byte_level = int(marks.sum(dtype=np.int64)) - MARK * len(marks)
+        counts = np.diff(np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True]))))
         entropy = float(np.log2(tokens) - (counts * np.log2(counts)).sum() / tokens)
         cpt, bcpt, share = chars / tokens, chars / n_byte_level, float(is_byte[ids].mean())
     else:
