@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm import mixing, quality, secret_scan, simhash
+from citymotion.llm import bpe, mixing, quality, secret_scan, simhash
 from citymotion.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.with_digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.with_quality(docs).drop("text", "lang")
@@ -33,6 +37,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_secret_scans": op2_secret_scans,
+    "op5_byte_level_bpe": op5_byte_level_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
