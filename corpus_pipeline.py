@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citymotion.llm import quality, simhash
+from citymotion.llm import bpe, mixing, quality, secret_scan, simhash
 from citymotion.llm.common import table, written
 
 
@@ -23,9 +23,27 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.keep_first(docs)
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by ``[kind]`` in the text; all documents stay."""
+    return secret_scan.redact(docs, length_col="n_chars")
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled so that tokens follow the target weights."""
+    return mixing.sample(docs)
+
+
+def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document with its number of tokens and the digests of its ids and decoded bytes."""
+    return bpe.with_digests(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("secret_scans", secret_scans),
+    ("source_mixing", source_mixing),
+    ("byte_level_bpe", byte_level_bpe),
 ]
 
 # The tokeniser measures and the fingerprints are beyond SQL; tests compare with brute force.
