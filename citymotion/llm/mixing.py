@@ -32,7 +32,7 @@ from citymotion.session import broadcast_if_bounded
 NONE = "(none)"
 SWEEPS = 8
 SEED = "mix-1"
-ALPHAS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
+ALPHAS = {"source": 0.8, "lang": 0.9, "topic": 1.0}
 DIMENSIONS = ("source", "lang", "topic")
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 # surface topics, first match wins

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm import bpe, mixing, quality, secret_scan, simhash
+from citymotion.llm import bottomk, bpe, mixing, quality, secret_scan, simhash
 from citymotion.llm.common import table
 
 
@@ -34,12 +34,17 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_secret_scans": op2_secret_scans,
     "op5_byte_level_bpe": op5_byte_level_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_bottom_k_fingerprints": op10_bottom_k_fingerprints,
 }
 
 ORACLE: dict[str, str] = {
