@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm import bottomk, bpe, mixing, quality, secret_scan, simhash
-from citymotion.llm.common import table
+from citymotion.llm import bottomk, bpe, mixing, quality, secret_scan, simhash, warc
+from citymotion.llm.common import shared_path, table
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,23 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.read_warc(spark, path))
+
+
+OP3_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+  CASE WHEN f.first IS NOT NULL AND p.page_id IS DISTINCT FROM f.first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+"""
+
+
 def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -41,6 +58,7 @@ def op10_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_secret_scans": op2_secret_scans,
+    "op3_warc": op3_warc,
     "op5_byte_level_bpe": op5_byte_level_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
@@ -49,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_source_mixing": mixing.oracle(),
+    "op3_warc": OP3_SQL,
 }
