@@ -24,6 +24,7 @@ import base64
 import unicodedata
 from array import array
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -139,12 +140,12 @@ def repeated_words(words: list[bytes]) -> int:
     """Words inside a window of three words that occurs at least twice in the text."""
     if len(words) < 4:
         return 0
-    number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
-    pair = ids[:-1] * len(number) + ids[1:]
-    if len(number) >= 1 << 20:
+    first: dict[bytes, int] = {}  # a word's number is where it first stands
+    ids = np.fromiter(map(first.setdefault, words, count()), dtype=np.int64, count=len(words))
+    pair = ids[:-1] * len(words) + ids[1:]
+    if len(words) >= 1 << 20:
         pair = np.unique(pair, return_inverse=True)[1]
-    triple = pair[:-1] * len(number) + ids[2:]
+    triple = pair[:-1] * len(words) + ids[2:]
     order = np.argsort(triple)
     same = np.diff(triple[order]) == 0
     if not same.any():

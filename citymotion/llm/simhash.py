@@ -12,7 +12,7 @@ segment's table holds under these values, and the complete distance is verified.
 Crowded table entries (more than ``CROWDED`` fingerprints under one value, as families of
 edited copies make) are not expanded into pairs.  Their fingerprints, and those that probe
 them, are linked over midpoints instead: every fingerprint is put under each 64-bit value
-within ceil(r/2) bits of it, and those under one value are linked to its smallest.
+within r/2 bits of it (r is even), and those under one value are linked to its smallest.
 Two fingerprints within r bits share such a value; the links so made are verified like
 all others, and two that are linked to the smallest are linked to each other through it,
 so no link between groups is lost and the work stays linear.
@@ -104,18 +104,20 @@ def _segments(max_bits: int, segments: int) -> list[tuple[int, list[int]]]:
     return out
 
 
-def _xor_masks(masks: list[int]) -> Column:
-    return F.array(*[F.lit(m).cast("long") for m in masks])
+def _xored(value: Column, masks: list[int]) -> Column:
+    return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: value.bitwiseXOR(m))
 
 
 def near_links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, crowded: int = CROWDED) -> DataFrame:
     """Links (a, b), a < b, between the distinct longs in ``prints.fp`` that connect
     exactly the fingerprints within ``max_bits`` bits of one another."""
+    if max_bits % 2:  # a shared midpoint would allow one bit too many
+        raise ValueError("max_bits has to be even")
     tables, probes = None, None
     for i, (mask, ball) in enumerate(_segments(max_bits, segments)):
         seg = F.col("fp").bitwiseAND(F.lit(mask).cast("long"))
         t = prints.select(F.lit(i).alias("seg"), seg.alias("value"), F.col("fp"))
-        p = prints.select(F.lit(i).alias("seg"), F.explode(F.transform(_xor_masks(ball), lambda m, s=seg: s.bitwiseXOR(m))).alias("value"), F.col("fp").alias("q"))
+        p = prints.select(F.lit(i).alias("seg"), F.explode(_xored(seg, ball)).alias("value"), F.col("fp").alias("q"))
         tables = t if tables is None else tables.unionByName(t)
         probes = p if probes is None else probes.unionByName(p)
     # Entries of a crowded value are never listed; a value stands for them.
@@ -128,12 +130,10 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGM
     fetched = probes.join(listed, ["seg", "value"]).filter((F.col("q") != F.col("fp")) & far("q", "fp"))
     fetched = fetched.select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b"))
     near = probes.join(full, ["seg", "value"], "left_semi").select(F.col("q").alias("fp")).distinct()
-    half = _ball(list(range(64)), (max_bits + 1) // 2)
-    middle = near.select("fp", F.explode(F.transform(_xor_masks(half), lambda m: F.col("fp").bitwiseXOR(m))).alias("value"))
+    half = _ball(list(range(64)), max_bits // 2)
+    middle = near.select("fp", F.explode(_xored(F.col("fp"), half)).alias("value"))
     low = middle.groupBy("value").agg(F.min("fp").alias("m"), F.count("*").alias("n")).filter("n > 1")
     linked = middle.join(low, "value").filter(F.col("fp") != F.col("m"))
-    if max_bits % 2:  # a shared midpoint then allows one bit too many
-        raise ValueError("an even max_bits is needed for crowded values")
     linked = linked.filter(far("fp", "m")).select(F.col("m").alias("a"), F.col("fp").alias("b"))
     return fetched.unionByName(linked).distinct()
 
