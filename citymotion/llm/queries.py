@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm import bottomk, bpe, chat, mixing, quality, secret_scan, simhash, warc
+from citymotion.llm import bottomk, bpe, chat, mixing, quality, repeats, secret_scan, simhash, warc
 from citymotion.llm.common import shared_path, table, written
 
 
@@ -66,6 +66,10 @@ def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.with_quality(docs).drop("text", "lang")
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_byte_level_bpe": op5_byte_level_bpe,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_bottom_k_fingerprints": op10_bottom_k_fingerprints,
