@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm import bottomk, bpe, chat, mixing, quality, repeats, secret_scan, simhash, warc
+from citymotion.llm import bottomk, bpe, chat, html_extract, mixing, quality, repeats, secret_scan, simhash, warc
 from citymotion.llm.common import shared_path, table, written
 
 
@@ -66,6 +66,11 @@ def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.with_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_byte_level_bpe": op5_byte_level_bpe,
+    "op6_html_extraction": op6_html_extraction,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
