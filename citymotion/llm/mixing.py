@@ -30,7 +30,7 @@ from citymotion.llm.common import written
 from citymotion.session import broadcast_if_bounded
 
 NONE = "(none)"
-SWEEPS = 8
+SWEEPS = 6
 SEED = "mix-1"
 ALPHAS = {"source": 0.8, "lang": 0.9, "topic": 1.0}
 DIMENSIONS = ("source", "lang", "topic")
@@ -87,14 +87,17 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, s
     wanted = written(totals.groupBy("dim", "category").agg(F.sum("tokens").alias("tokens")).withColumn("share", share), "wanted")
     sums = {r["dim"]: r["s"] for r in wanted.groupBy("dim").agg(F.sum("share").alias("s")).collect()}  # three rows
     state = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for d in DIMENSIONS:
+        target = wanted.filter(F.col("dim") == d).select(F.col("category").alias(d), (F.col("share") / F.lit(sums.get(d) or 1.0)).alias(f"target_{d}"))
+        state = state.join(target, d)
+    state = written(state, "targets")
     for _ in range(sweeps):
         for d in DIMENSIONS:
-            target = wanted.filter(F.col("dim") == d).select(F.col("category").alias(d), (F.col("share") / F.lit(sums.get(d) or 1.0)).alias("target"))
-            factor = state.groupBy(d).agg(F.sum("weight").alias("now")).join(target, d)
-            factor = factor.select(d, F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(0.0).alias("factor"))
-            state = state.join(factor, d).withColumn("weight", F.col("weight") * F.col("factor")).select(*DIMENSIONS, "tokens", "weight")
+            now = state.groupBy(d).agg(F.sum("weight").alias("now"))
+            factor = F.when(F.col("now") > 0, F.col(f"target_{d}") / F.col("now")).otherwise(0.0)
+            state = state.join(now, d).withColumn("weight", F.col("weight") * factor).drop("now")
         state = written(state, "raked")
-    return state
+    return state.select(*DIMENSIONS, "tokens", "weight")
 
 
 def probabilities(counted: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int = SWEEPS) -> DataFrame:
