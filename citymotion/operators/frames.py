@@ -15,12 +15,11 @@ LABEL_FORMAT = "yyyy-MM-dd HH:mm"
 DEFAULT_MAX_FRAMES = 500
 
 
-def parse_day(value: str | date | datetime) -> date:
-    if isinstance(value, datetime):
-        return value.date()
-    if isinstance(value, date):
-        return value
-    return datetime.fromisoformat(str(value).strip()[:19]).date() if "T" in str(value) else date.fromisoformat(str(value).strip()[:10])
+def as_day(value: str | date | datetime) -> date:
+    """The calendar day of a date, a datetime or ISO text of either."""
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value.strip())
+    return value.date() if isinstance(value, datetime) else value
 
 
 def period(panel: DataFrame, start=None, end=None) -> DataFrame:
@@ -30,8 +29,8 @@ def period(panel: DataFrame, start=None, end=None) -> DataFrame:
     (and prunes partitions when the panel is partitioned by date or year).
     """
     d = F.col("date") if "date" in panel.columns else F.to_date("ts_local")
-    lo = parse_day(start) if start is not None else None
-    hi = parse_day(end) if end is not None else None
+    lo = as_day(start) if start is not None else None
+    hi = as_day(end) if end is not None else None
     if lo is not None and hi is not None and hi < lo:
         raise ValueError(f"end date {hi} is before start date {lo}")
     out = panel
@@ -79,16 +78,21 @@ def congestion_buckets(
     return out.select("bucket_utc", "label", "route_id", "value")
 
 
-def frame_labels(buckets: DataFrame) -> list[str]:
-    """Ordered distinct labels (bounded by the frame count)."""
-    return [r.label for r in buckets.select("bucket_utc", "label").distinct().orderBy("bucket_utc").collect()]
+def frame_labels(buckets: DataFrame) -> DataFrame:
+    """The distinct buckets and their labels in time order (O3), as a table."""
+    return buckets.select("bucket_utc", "label").distinct().orderBy("bucket_utc")
 
 
-def congestion_pivot(buckets: DataFrame, labels: list[str] | None = None) -> DataFrame:
-    """Route x bucket matrix, columns in time order (A5).  ``labels`` defaults to
-    :func:`frame_labels` (a small driver-side list, at most ``max_frames``)."""
-    labels = labels if labels is not None else frame_labels(buckets)
-    return buckets.groupBy("route_id").pivot("label", labels).agg(F.first("value"))
+PIVOT_HOURS = tuple(range(24))
+
+
+def congestion_pivot(buckets: DataFrame) -> DataFrame:
+    """Hourly route x time matrix (A5), one row per (route, UTC date) with the 24 hours of
+    that date as columns ``h00`` .. ``h23``.  Columns are UTC hours, so the local hour
+    that occurs twice in autumn has two cells; their number doesn't depend on the period."""
+    hour = F.hour("bucket_utc")
+    cells = [F.max(F.when(hour == h, F.col("value"))).alias(f"h{h:02d}") for h in PIVOT_HOURS]
+    return buckets.groupBy("route_id", F.to_date("bucket_utc").alias("date_utc")).agg(*cells)
 
 
 def robust_bounds(values: DataFrame, value: str = "value", lo_q: float = 0.05, hi_q: float = 0.95) -> DataFrame:

@@ -212,7 +212,9 @@ for _name, _freq, _min in (("5m", "5min", 5), ("15m", "15min", 15), ("30m", "30m
     "congestion_pivot",
     O.with_ctes(
         O.PANEL_DEPS + [O.buckets_cte(60)],
-        "PIVOT (SELECT route_id, label, round(value, 6) AS value FROM buckets) ON label USING first(value)",
+        "SELECT route_id, CAST(bucket_utc AS DATE) AS date_utc, "
+        + ", ".join(f"max(CASE WHEN hour(bucket_utc) = {h} THEN round(value, 6) END) AS h{h:02d}" for h in range(24))
+        + " FROM buckets GROUP BY ALL",
     ),
 )
 def q_congestion_pivot(spark, sf):
