@@ -1,35 +1,32 @@
-"""Exact grouped quantiles with bounded per-group memory.
-
-``percentile`` is exact but keeps every value of a group in that group's
-aggregation buffer; a group holding a large share of the rows then sits in
-one task's memory.  Here the same result (linear interpolation between the
-order statistics at ``q * (n - 1)``, as pandas / Spark ``percentile``) comes
-from two aggregation passes:
-
-1. per group: ``n`` and a ``percentile_approx`` sketch (rank error
-   ``1/accuracy``) that brackets every wanted rank with ``[lo, hi]``;
-2. per group: how many values fall below ``lo`` and the values inside
-   ``[lo, hi]`` (about ``6 n / accuracy`` of them; all values when the group
-   has fewer than ``accuracy / 2``).  The wanted order
-   statistics are read from that sorted band by rank.
-
-A group whose band does not contain the wanted ranks (the sketch bound
-failed) is recomputed with ``percentile``; the result is exact either way.
-The per-group result (one row per group) is checkpointed, so the input is
-scanned twice and a third time only for groups that need the fallback.
+"""Exact grouped quantiles without gathering a group.
+
+The result is that of linear interpolation between the order statistics at ``q * (n - 1)``
+(as pandas or Spark's ``percentile``), in two aggregation passes:
+
+1. per group: ``n`` and a ``percentile_approx`` sketch (rank error ``n / accuracy``), which
+   brackets every wanted rank with ``[lo, hi]``; the bracket is widened by a power of two
+   of at least ``1 / n``, the step between neighbouring ranks;
+2. per group and quantile: counts of the distinct values inside the bracket and one count
+   of all rows below it.  Equal values are one row after map-side aggregation, so ties
+   cost nothing; the wanted order statistics are read from running totals over the
+   sorted distinct values (at most ``6 n / accuracy`` of a group, streamed, never an array).
+
+The sketch's bound holds for every input, so there is no other path; a bracket that missed
+would fail the job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citymotion.operators.normalize import join_null_safe
-from citymotion.session import cut_lineage, maybe_broadcast
+from citymotion.session import cut_lineage
 
 DEFAULT_ACCURACY = 100_000
+STEPS = 18  # 2^-17 is below the sketch's own error
 BAND_MARGIN = 3.0  # in units of the sketch's rank error
 
 
@@ -46,80 +43,61 @@ def exact_quantiles(
     accuracy: int = DEFAULT_ACCURACY,
     names: Sequence[str] | None = None,
     count_name: str | None = None,
-    extra_aggs: Sequence[F.Column] = (),
+    extra_aggs: dict[str, F.Column] | None = None,
 ) -> DataFrame:
     """``keys`` + one column per quantile; NULL / NaN values are skipped and a
     group without values gets NULL.  ``keys`` may be empty (global quantiles).
-    ``count_name`` adds the number of values used; ``extra_aggs`` (named
-    aggregate columns over the input rows) are computed in the first pass and
-    carried to the output."""
+    ``count_name`` adds the number of values used; ``extra_aggs`` (name -> aggregate over
+    the input rows) are computed in the first pass and carried to the output."""
     user_keys = list(keys)
     keys = user_keys or ["_g"]
     names = list(names) if names is not None else [_name(q) for q in qs]
+    extra = dict(extra_aggs or {})
     eps = BAND_MARGIN / accuracy
 
     def clip(p: float) -> float:
         return min(1.0, max(0.0, p))
 
-    probs = sorted({clip(p) for q in qs for p in (q - eps, q + eps)})
+    steps = [2.0**-j for j in range(STEPS)]
+    probs = sorted({clip(q + s * (eps + d)) for q in qs for s in (-1, 1) for d in steps})
     idx = {p: i for i, p in enumerate(probs)}
     src = df if user_keys else df.withColumn("_g", F.lit(0))
     raw = F.col(value).cast("double")
-    extra_names = [e._jc.toString().split(" AS ")[-1].strip("`") for e in extra_aggs]
-    base_cols = [c for c in src.columns if c not in keys]
-    pre = src.select(*keys, F.when(~F.isnan(raw), raw).alias("_v"), *([F.struct(*base_cols).alias("_row")] if extra_aggs else []))
-    base = pre.select(*keys, "_v")
-
-    # pass 1: size and rank brackets per group (+ any extra aggregates)
-    first = pre.select(*keys, "_v", *([F.col("_row.*")] if extra_aggs else []))
-    sketch = first.groupBy(*keys).agg(F.count("_v").alias("_n"), F.percentile_approx("_v", probs, accuracy).alias("_b"), *extra_aggs)
-    bounds = []
-    for q, nm in zip(qs, names):
-        bounds += [F.col("_b")[idx[clip(q - eps)]].alias(f"_lo_{nm}"), F.col("_b")[idx[clip(q + eps)]].alias(f"_hi_{nm}")]
-    extras_tbl = sketch.select(*keys, *extra_names) if extra_aggs else None
-    sketch = sketch.select(*keys, "_n", *bounds)
-
-    # pass 2: count below the bracket, collect the values inside it.  Groups with
-    # fewer than accuracy/2 values keep all of them (bounded); for larger ones the
-    # bracket margin (3 n / accuracy ranks) covers the sketch error plus the one-rank
-    # difference between the sketch's rank (ceil(p n)) and the interpolation rank.
-    small = F.col("_n") < F.lit(accuracy // 2)
-    joined = join_null_safe(base, maybe_broadcast(sketch), keys, "inner")
-    aggs = [F.first("_n").alias("_n")]
-    for nm in names:
-        lo = F.when(small, F.lit(float("-inf"))).otherwise(F.col(f"_lo_{nm}"))
-        hi = F.when(small, F.lit(float("inf"))).otherwise(F.col(f"_hi_{nm}"))
-        inside = F.when((F.col("_v") >= lo) & (F.col("_v") <= hi), F.col("_v"))
-        aggs += [F.count_if(F.col("_v") < lo).alias(f"_c_{nm}"), F.array_sort(F.collect_list(inside)).alias(f"_band_{nm}")]
-    band = joined.groupBy(*keys).agg(*aggs)
-
-    out_cols, ok_all = [], F.lit(True)
-    for q, nm in zip(qs, names):
-        pos = F.lit(float(q)) * (F.col("_n") - 1)
-        i = F.floor(pos).cast("long")
-        frac = pos - i
-        rel = i - F.col(f"_c_{nm}")
-        b = F.col(f"_band_{nm}")
-        has_next = (i + 1) < F.col("_n")
-        ok = (F.col("_n") == 0) | ((rel >= 0) & (rel < F.size(b)) & (~has_next | ((rel + 1) < F.size(b))))
-        a = F.get(b, rel.cast("int"))
-        nxt = F.when(has_next, F.get(b, (rel + 1).cast("int"))).otherwise(a)
-        out_cols.append(F.when(F.col("_n") > 0, a + frac * (nxt - a)).alias(nm))
-        ok_all = ok_all & ok
-    # one row per group: checkpointed (reliable, shared folder) so the two passes run once
-    result = cut_lineage(band.select(*keys, "_n", *out_cols, ok_all.alias("_ok")))
-
-    out = result.where(F.col("_ok")).drop("_ok")
-    missed = result.where(~F.col("_ok")).select(*keys)
-    if missed.limit(1).count():
-        # groups whose bracket missed (sketch bound not met): plain exact percentile, only for them
-        redo = (
-            join_null_safe(base, missed, keys, "left_semi")
-            .groupBy(*keys)
-            .agg(F.count("_v").alias("_n"), *[F.percentile("_v", float(q)).alias(nm) for q, nm in zip(qs, names)])
-        )
-        out = out.unionByName(redo)
+    rows = src.withColumn("_v", F.when(~F.isnan(raw), raw))
+    sketch = rows.groupBy(*keys).agg(
+        F.count("_v").alias("_n"), F.percentile_approx("_v", probs, accuracy).alias("_b"), *[a.alias(n) for n, a in extra.items()]
+    )
+    # each value with its quantiles' brackets: inside ones keep the value, all below count as one
+    j = F.least(F.floor(F.log2(F.greatest(F.col("_n"), F.lit(1)))), F.lit(STEPS - 1)).cast("int")
+
+    def edge(q: float, sign: int) -> F.Column:
+        places = F.array(*[F.lit(idx[clip(q + sign * (eps + d))]) for d in steps])
+        return F.get(F.col("_b"), F.get(places, j))
+
+    brackets = F.array(*[F.struct(F.lit(k).alias("k"), edge(q, -1).alias("lo"), edge(q, 1).alias("hi")) for k, q in enumerate(qs)])
+    sketch = cut_lineage(sketch.withColumn("_q", brackets).drop("_b"))  # one row per group
+    values = rows.where(F.col("_v").isNotNull()).select(*keys, "_v")
+    near = join_null_safe(values, sketch.select(*keys, "_q"), keys, "inner").select(*keys, "_v", F.explode("_q").alias("_q"))
+    near = near.where(F.col("_v") <= F.col("_q.hi")).select(*keys, F.col("_q.k").alias("_k"), F.when(F.col("_v") >= F.col("_q.lo"), F.col("_v")).alias("_x"))
+    counts = near.groupBy(*keys, "_k", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.partitionBy(*keys, "_k").orderBy(F.col("_x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counts.withColumn("_to", F.sum("_c").over(order))
+
+    # the values at ranks i and i + 1
+    rank = F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("_k") + 1) * (F.col("_n") - 1)
+    i = F.floor(rank).cast("long")
+    sized = join_null_safe(running, sketch.select(*keys, "_n"), keys, "inner").withColumns({"_i": i, "_f": rank - i})
+    at = sized.groupBy(*keys, "_k").agg(
+        F.min(F.when(F.col("_to") > F.col("_i"), F.col("_x"))).alias("_a"),
+        F.min(F.when(F.col("_to") > F.least(F.col("_i") + 1, F.col("_n") - 1), F.col("_x"))).alias("_z"),
+        F.max(F.when(F.col("_x").isNull(), F.col("_to") > F.col("_i")).otherwise(False)).alias("_low"),
+        F.first("_f").alias("_f"),
+    )
+    missed = F.col("_low") | F.col("_a").isNull() | F.col("_z").isNull()
+    found = F.when(missed, F.raise_error(F.lit("a quantile bracket missed its rank")).cast("double"))
+    # exact at whole ranks also for infinite values
+    found = found.when((F.col("_f") == 0) | (F.col("_a") == F.col("_z")), F.col("_a")).otherwise(F.col("_a") + F.col("_f") * (F.col("_z") - F.col("_a")))
+    per = at.select(*keys, "_k", found.alias("_value")).groupBy(*keys).agg(*[F.max(F.when(F.col("_k") == k, F.col("_value"))).alias(n) for k, n in enumerate(names)])
+    out = join_null_safe(sketch.drop("_q"), per, keys, "left").select(*keys, "_n", *names, *extra)
     out = out.withColumnRenamed("_n", count_name) if count_name else out.drop("_n")
-    if extras_tbl is not None:
-        out = join_null_safe(out, extras_tbl, keys, "left")
     return out.drop("_g") if not user_keys else out
