@@ -16,7 +16,9 @@ every point with every segment:
 3. points get their own cell; candidates come from an equi-join on the cell.
    The distance is computed to the *whole* segment, so it is bit-identical
    to a brute-force evaluation.
-4. per point, ``min(struct(distance, route_id))`` gives nearest + tie-break.
+4. per distinct coordinate pair, ``min(struct(distance, route_id))`` gives nearest + tie-break;
+   the result is joined back on the coordinates, so points may share an id or have none,
+   and a place with very many points is searched once.
 
 Skew: a hot cell (many points in one place) only meets the few segment
 pieces of that cell; AQE's skew-join split handles the point side.  The
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citymotion.functions.geo import segment_distance, utm_columns
-from citymotion.session import broadcast_if_bounded
+from citymotion.session import broadcast_if_bounded, cut_lineage
 
 DEFAULT_MAX_DISTANCE_M = 150.0
 
@@ -91,26 +93,27 @@ def nearest_routes(
     vertices: DataFrame,
     *,
     max_distance_m: float = DEFAULT_MAX_DISTANCE_M,
-    id_col: str = "collision_id",
 ) -> DataFrame:
     """Every located point with ``route_id`` / ``dist_to_route_m`` of its nearest corridor
-    within the radius, NULL when none.  ``id_col`` must be unique per point."""
+    within the radius, NULL when none.  Rows are matched by their coordinates alone."""
     cell = float(max_distance_m)
     located = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    p = project(located, x="_px", y="_py").withColumns(
+    places = located.select(F.col("lon").alias("_lon"), F.col("lat").alias("_lat")).distinct()
+    p = project(places, "_lon", "_lat", x="_px", y="_py").withColumns(
         {"cx": F.floor(F.col("_px") / cell), "cy": F.floor(F.col("_py") / cell)}
     )
     # each piece reaches at most 4 x 4 cells: the bound needs one aggregate over segments, no explode
-    segs = segments(vertices)
+    segs = cut_lineage(segments(vertices))  # projected and self-joined once
     bound = segs.agg(F.sum(F.lit(16) * F.greatest(F.lit(1), F.ceil(_length() / F.lit(cell)))).alias("b")).first().b
     cells = broadcast_if_bounded(segment_cells(segs, cell), None if bound is None else int(bound), row_bytes=96)
-    cand = p.select(id_col, "_px", "_py", "cx", "cy").join(cells, ["cx", "cy"], "inner")
+    cand = p.join(cells, ["cx", "cy"], "inner")
     cand = cand.withColumn("_d", segment_distance("_px", "_py", "ax", "ay", "bx", "by")).where(
         F.col("_d") <= F.lit(max_distance_m)
     )
-    best = cand.groupBy(id_col).agg(F.min(F.struct(F.col("_d"), F.col("route_id"))).alias("_b"))
-    best = best.select(id_col, F.col("_b.route_id").alias("route_id"), F.col("_b._d").alias("dist_to_route_m"))
-    return located.join(best, id_col, "left")
+    best = cand.groupBy("_lon", "_lat").agg(F.min(F.struct(F.col("_d"), F.col("route_id"))).alias("_b"))
+    best = best.select("_lon", "_lat", F.col("_b.route_id").alias("route_id"), F.col("_b._d").alias("dist_to_route_m"))
+    same = (located["lon"] == best["_lon"]) & (located["lat"] == best["_lat"])
+    return located.join(best, same, "left").drop("_lon", "_lat")
 
 
 def snap_to_routes(
@@ -118,10 +121,9 @@ def snap_to_routes(
     vertices: DataFrame,
     *,
     max_distance_m: float = DEFAULT_MAX_DISTANCE_M,
-    id_col: str = "collision_id",
 ) -> DataFrame:
     """Matched points only (unlocated and far points dropped), as the source keeps them."""
-    return nearest_routes(points, vertices, max_distance_m=max_distance_m, id_col=id_col).where(
+    return nearest_routes(points, vertices, max_distance_m=max_distance_m).where(
         F.col("route_id").isNotNull()
     )
 
