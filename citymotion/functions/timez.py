@@ -88,8 +88,13 @@ def epoch_ms_to_utc_ntz(ms: str | Column) -> Column:
 
 
 def parse_offset_timestamp(text: str | Column) -> Column:
-    """ISO text with a UTC offset (``2017-01-01T00:05:00-05``) -> UTC NTZ; junk -> NULL."""
-    return instant_to_utc_ntz(F.try_to_timestamp(_c(text)))
+    """ISO text with a UTC offset (``2017-01-01T00:05:00-05``) -> UTC NTZ; text without an
+    offset is UTC, whatever the session zone; junk -> NULL."""
+    t = F.trim(_c(text))
+    has_zone = t.rlike(r"(?i)(z|utc|gmt|[0-9:][+-][0-9]{1,2}(:?[0-9]{2})?)$") & t.contains(":")
+    day_only = t.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$")
+    zoned = F.when(has_zone, t).when(day_only, F.concat(t, F.lit("T00:00:00Z"))).otherwise(F.concat(F.regexp_replace(t, r"([ T][0-9]{1,2}:[0-9]{2})$", "$1:00"), F.lit("Z")))
+    return instant_to_utc_ntz(F.try_to_timestamp(zoned))
 
 
 def parse_naive_local(text: str | Column, fmt: str | None = None) -> Column:
@@ -105,11 +110,6 @@ def parse_naive_local(text: str | Column, fmt: str | None = None) -> Column:
     return instant_to_utc_ntz(parsed)
 
 
-def weekday_mon0(ts: str | Column) -> Column:
-    """Day of week with Monday = 0 ... Sunday = 6."""
-    return F.weekday(_c(ts))
-
-
 def is_weekend(ts: str | Column) -> Column:
     return F.weekday(_c(ts)).isin(5, 6)
 

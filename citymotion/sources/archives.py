@@ -89,24 +89,6 @@ def read_zip_csv(
     return spread.mapInPandas(_read_members(columns, suffixes, sep, limit), schema)
 
 
-def zip_members(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFrame:
-    """Member listing of archives: path, member, is_data (no member body is read)."""
-
-    def run(batches):
-        import zipfile
-
-        for batch in batches:
-            rows = []
-            for path in batch["path"]:
-                with open_input(path) as fh, zipfile.ZipFile(fh) as zf:
-                    for info in zf.infolist():
-                        rows.append((path, info.filename, int(info.file_size), is_data_member(info.filename)))
-            yield pd.DataFrame(rows, columns=["path", "member", "size", "is_data"])
-
-    schema = "path string, member string, size long, is_data boolean"
-    return list_files(spark, folder, glob).select("path").mapInPandas(run, schema)
-
-
 def year_from_name(path_col: str = "path") -> F.Column:
     """First dash-separated 4-digit token of the file stem (P1), else NULL."""
     stem = F.regexp_replace(F.regexp_extract(F.col(path_col), r"([^/]+)$", 1), r"\.[^.]*$", "")

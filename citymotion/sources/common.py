@@ -22,17 +22,18 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*", recursive: boo
 def with_ordinal(df: DataFrame, col: str = "ordinal") -> DataFrame:
     """0-based position of each row in scan order (file order for a single file).
 
-    Per-partition counts (one row per partition) give each partition its
-    offset; inside a partition the position comes from the generated id.  No
-    step moves the data to one task.
+    The generated id holds the partition above its low 33 bits and the place in it below;
+    per-partition counts (one row per partition) give each partition its offset.  No
+    step moves or sorts the data.
     """
-    d = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    d = df.withColumn("_mid", F.monotonically_increasing_id())
+    part = F.shiftrightunsigned("_mid", 33)
+    counts = d.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")
     )
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy("_mid")) - 1
-    return d.join(F.broadcast(offsets), "_pid").withColumn(col, (F.col("_off") + local).cast("long")).drop("_pid", "_mid", "_off")
+    place = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return d.withColumn("_pid", part).join(F.broadcast(offsets), "_pid").withColumn(col, (F.col("_off") + place).cast("long")).drop("_pid", "_mid", "_off")
 
 
 def open_input(path: str):
@@ -45,9 +46,3 @@ def open_input(path: str):
         return pafs.LocalFileSystem().open_input_file(path)
     fs, inner = pafs.FileSystem.from_uri(path)
     return fs.open_input_file(inner)
-
-
-def path_stem(path_col: str = "path") -> F.Column:
-    """File name without folder and last extension."""
-    name = F.regexp_extract(F.col(path_col), r"([^/]+)$", 1)
-    return F.regexp_replace(name, r"\.[^.]*$", "")

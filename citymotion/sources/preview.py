@@ -23,13 +23,6 @@ def list_raw_files(spark: SparkSession, raw_dir: str, dataset: str | None = None
     return files.where(~name.isin(*SKIP_NAMES) & ~name.endswith(SKIP_SUFFIX)).orderBy("path")
 
 
-def preview_csv(spark: SparkSession, path: str, n: int = 5, sep: str | None = None) -> DataFrame:
-    """Header + first ``n`` rows of a CSV / TSV (TSV by extension)."""
-    if sep is None:
-        sep = "\t" if path.lower().endswith((".tsv", ".tab")) else ","
-    return spark.read.option("header", "true").option("sep", sep).csv(path).limit(n)
-
-
 def dbf_summary(path: str) -> dict:
     """Field names and record count of a DBF, from its header only."""
     with open_input(path) as fh:

@@ -17,20 +17,45 @@ def clean_header(name: str) -> str:
     return name.replace("﻿", "").strip().strip('"')
 
 
-def read_csv_strings(spark: SparkSession, paths: str | list[str], *, sep: str = ",") -> DataFrame:
-    """CSV with a header, every column as string, header cells cleaned, plus
-    ``path`` and ``pos`` (row position inside its file) for ordering."""
+def _read_group(spark: SparkSession, paths: list[str], sep: str, multi_line: bool) -> DataFrame:
     df = (
         spark.read.option("header", "true")
         .option("inferSchema", "false")
         .option("sep", sep)
         .option("encoding", "UTF-8")
-        .option("multiLine", "false")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
         .csv(paths)
     )
-    df = df.toDF(*[clean_header(c) for c in df.columns])
-    df = df.withColumn("path", F.col("_metadata.file_path"))
-    return with_ordinal(df, "pos")
+    return df.toDF(*[clean_header(c) for c in df.columns]).withColumn("path", F.col("_metadata.file_path"))
+
+
+def header_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files grouped by their header line (one first line per file is read)."""
+    first = spark.read.option("wholetext", "false").text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("i"))
+    heads = first.groupBy("path").agg(F.min_by("value", "i").alias("head")).orderBy("path").collect()  # a row per file
+    groups: dict[str, list[str]] = {}
+    for r in heads:
+        groups.setdefault(clean_header(r["head"] or ""), []).append(r["path"])
+    return list(groups.values())
+
+
+def read_csv_strings(spark: SparkSession, paths: str | list[str], *, sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """CSV with a header, every column as string, header cells cleaned, plus ``path`` and
+    ``pos`` (rising with the row's place in its file) for ordering.
+
+    Files are read in groups of equal header lines and united by column name (absent
+    columns are NULL).  Doubled quotes are one quote.  ``multi_line`` allows line breaks
+    inside quotes; such a file is one task."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    out = None
+    for group in header_groups(spark, paths):
+        df = _read_group(spark, group, sep, multi_line)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"no CSV rows under {paths}")
+    return out.withColumn("pos", F.monotonically_increasing_id())
 
 
 def read_weather_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -39,8 +64,8 @@ def read_weather_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_collisions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The collisions CSV (S4), all columns as strings, with ``pos`` in file order."""
-    return read_csv_strings(spark, path)
+    """The collisions CSV (S4), all columns as strings; quoted fields may hold line breaks."""
+    return read_csv_strings(spark, path, multi_line=True)
 
 
 # fixed values: fields read from each festival entry, in output order
