@@ -22,28 +22,29 @@ def split_route_id(route_id: str | Column = "route_id") -> tuple[Column, Column]
 QUANTILE_AGGS = {"median": 0.5, "p95": 0.95}
 
 
-def _agg_expr(metric: str, agg: str) -> Column:
+def _agg_expr(metric: str, agg: str, order: str) -> Column:
+    """``first`` and ``last`` follow ``order`` (ingest position); a sum of no values is 0."""
     v = F.col(metric)
+    if agg in ("first", "last"):
+        return (F.min_by if agg == "first" else F.max_by)(v, F.when(v.isNotNull(), F.col(order)))
     table = {
         "mean": F.avg(v),
         "min": F.min(v),
         "max": F.max(v),
-        "sum": F.sum(v),
+        "sum": F.coalesce(F.sum(v), F.lit(0.0)),
         "std": F.stddev_samp(v),
         "var": F.var_samp(v),
         "count": F.count(v),
         "size": F.count(F.lit(1)),
         "nunique": F.count_distinct(v),
-        "first": F.first(v, ignorenulls=True),
-        "last": F.last(v, ignorenulls=True),
     }
     try:
         return table[agg]
     except KeyError as exc:
-        raise ValueError(f"unsupported agg {agg!r}; choose from {sorted(table) + sorted(QUANTILE_AGGS)}") from exc
+        raise ValueError(f"unsupported agg {agg!r}; choose from {sorted([*table, 'first', 'last', *QUANTILE_AGGS])}") from exc
 
 
-def aggregate_route_metrics(panel: DataFrame, *, metric: str = "delay_s", agg: str = "mean") -> DataFrame:
+def aggregate_route_metrics(panel: DataFrame, *, metric: str = "delay_s", agg: str = "mean", order: str = "src_pos") -> DataFrame:
     """One value per route plus its source / target nodes (A3).
 
     NULL metric values are skipped (pandas semantics); ``median`` / ``p95``
@@ -59,18 +60,11 @@ def aggregate_route_metrics(panel: DataFrame, *, metric: str = "delay_s", agg: s
 
         m = exact_quantiles(panel, ["route_id"], metric, [QUANTILE_AGGS[agg]], names=["value"])
     else:
-        m = panel.groupBy("route_id").agg(_agg_expr(metric, agg).alias("value"))
+        m = panel.groupBy("route_id").agg(_agg_expr(metric, agg, order).alias("value"))
     src, dst = split_route_id("route_id")
     return m.select("route_id", src.alias("source"), dst.alias("target"), F.col("value").cast("double").alias("value"))
 
 
-def approx_quantile_metrics(panel: DataFrame, *, metric: str = "delay_s", q: float = 0.95, accuracy: int = 10000) -> DataFrame:
-    """Per-route quantile with bounded memory (``percentile_approx``, rank error 1/accuracy)."""
-    m = panel.groupBy("route_id").agg(F.percentile_approx(metric, q, accuracy).cast("double").alias("value"))
-    src, dst = split_route_id("route_id")
-    return m.select("route_id", src.alias("source"), dst.alias("target"), "value")
-
-
 def route_endpoints(vertices: DataFrame) -> DataFrame:
     """First and last vertex of every polyline (by ``seq``)."""
     return vertices.groupBy("route_id").agg(

@@ -9,10 +9,11 @@ Inputs (all DataFrames, normalised):
   events     start_local, end_local, road_close, lat, lon
   collisions route_id, ts_utc, is_injury, fatalities, dist_to_route_m
 
-Plan: the fact table stays left-most and is never re-ordered.  Day/hour/route
-dimensions are bounded by the calendar and the corridor network, so they are
-broadcast when the planner's estimate is under the limit (``maybe_broadcast``);
-above it the join stays a shuffle join and AQE can still switch at run time.
+Plan: the fact table stays left-most and is never re-ordered.  Corridors, hourly
+weather and one day table (civic features and event counts) are written once; their
+measured bytes prove them small (they are bounded by the network and the calendar), so
+they are broadcast and the fact is not shuffled before J5.  A side over the limit is
+joined with a shuffle.
 The collision summary grows with incidents and is left to AQE.  Counts are
 pre-aggregated before joining, so no join multiplies fact rows.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from citymotion.functions.timez import floor_hour, utc_to_local
 from citymotion.operators.calendar import FLAG_KINDS
 from citymotion.operators.summaries import collision_route_hour_summary, event_day_summary
-from citymotion.session import maybe_broadcast
+from citymotion.session import measured_side
 
 WEATHER_KEY = "ts_utc"
 
@@ -53,15 +54,13 @@ def build_panel(
         fact = fact.where(F.col("year").isin(list(years)))
 
     # J1 corridors
-    panel = fact.join(maybe_broadcast(routes), "route_id", "left")
+    panel = fact.join(measured_side(routes, "routes"), "route_id", "left")
     # J2 hourly weather on the UTC hour (DST-safe)
     panel = panel.withColumn("ts_hour_utc", floor_hour("ts_utc"))
-    panel = panel.join(maybe_broadcast(prefix_weather(weather)), "ts_hour_utc", "left")
-    # J3 civic day features on the local date
-    panel = panel.withColumn("date", F.to_date("ts_local"))
-    panel = panel.join(maybe_broadcast(civic), "date", "left")
-    # J4 event-day exposure, zero filled
-    panel = panel.join(maybe_broadcast(event_day_summary(events)), "date", "left")
+    panel = panel.join(measured_side(prefix_weather(weather), "weather"), "ts_hour_utc", "left")
+    # J3 and J4 on the local date: civic day features and event-day exposure, one day table
+    days = civic.join(event_day_summary(events), "date", "full")
+    panel = panel.withColumn("date", F.to_date("ts_local")).join(measured_side(days, "days"), "date", "left")
     # J5 route x hour incidents, counts zero filled, distance left NULL
     if collisions is not None:
         matched = collisions.where(F.col("route_id").isNotNull())

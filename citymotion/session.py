@@ -3,8 +3,9 @@ size-checked broadcast."""
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,27 +14,6 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
-def cluster_settings(target_partition_mb: int = 256) -> dict[str, str]:
-    """Settings for a large cluster run (pass to the session builder or spark-submit).
-
-    Partitions sized for executor memory; AQE re-plans joins at run time,
-    splits skewed join partitions and coalesces small shuffle partitions from
-    a generous initial count.
-    """
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb}m",
-        "spark.sql.shuffle.partitions": "4000",
-        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
-        "spark.sql.autoBroadcastJoinThreshold": str(DEFAULT_BROADCAST_LIMIT),
-        "spark.sql.parquet.filterPushdown": "true",
-    }
-
-
 def local_session(cpus: int | str = "*", app: str = "citymotion", extra: dict | None = None) -> SparkSession:
     """A local session with the settings the package expects (tests, bench)."""
     builder = (
@@ -64,6 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="citymotion-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
@@ -76,25 +59,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (None if unavailable, e.g. Spark Connect)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:  # pragma: no cover - Connect / unknown stats
-        return None
-    return int(str(size))
-
+def table_bytes(df: DataFrame) -> tuple[int, int]:
+    """Exact rows and value bytes of ``df`` (strings by length, other columns 16 bytes)."""
+    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for c in text:
+        width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return int(r["n"]), int(r["b"])
 
-def maybe_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the planner's size estimate is under ``limit_bytes``.
 
-    Beyond the limit the join stays a shuffle join; AQE may still switch it to a
-    broadcast at run time from the measured shuffle size.
-    """
-    size = estimated_bytes(df)
-    if size is not None and size <= limit_bytes:
-        return F.broadcast(df)
-    return df
+def measured_side(df: DataFrame, name: str, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """A dimension to join: written once to the shared folder and read back, and broadcast
+    when its measured bytes prove it small.  Beyond the limit the join is a shuffle join."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/side-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    side = spark.read.schema(df.schema).parquet(path)
+    return F.broadcast(side) if table_bytes(side)[1] <= limit_bytes else side
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
@@ -112,8 +94,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
-
-
-def scratch_dir(prefix: str = "citymotion-") -> str:
-    """Local scratch folder for tests only."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR"))

@@ -9,16 +9,12 @@ batch outputs compare column for column.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from citymotion.functions.timez import floor_hour, instant_to_utc_ntz, utc_to_local
 from citymotion.operators.panel import prefix_weather
-from citymotion.session import ensure_checkpoint_dir, maybe_broadcast
+from citymotion.session import ensure_checkpoint_dir, measured_side
 
 DEFAULT_LATENESS = "2 hours"
 
@@ -35,14 +31,14 @@ def with_event_time(stream: DataFrame, lateness: str = DEFAULT_LATENESS) -> Data
 
 def enrich_stream(observations: DataFrame, routes: DataFrame, weather: DataFrame, civic: DataFrame, event_days: DataFrame) -> DataFrame:
     """Stream-static left joins with corridors, hourly weather, civic days, event-day counts."""
-    s = observations.join(maybe_broadcast(routes), "route_id", "left")
-    s = s.withColumn("ts_hour_utc", floor_hour("ts_utc")).join(maybe_broadcast(prefix_weather(weather)), "ts_hour_utc", "left")
-    s = s.withColumn("date", F.to_date("ts_local")).join(maybe_broadcast(civic), "date", "left")
-    s = s.join(maybe_broadcast(event_days), "date", "left")
+    s = observations.join(measured_side(routes, "routes"), "route_id", "left")
+    s = s.withColumn("ts_hour_utc", floor_hour("ts_utc")).join(measured_side(prefix_weather(weather), "weather"), "ts_hour_utc", "left")
+    s = s.withColumn("date", F.to_date("ts_local")).join(measured_side(civic.join(event_days, "date", "full"), "days"), "date", "left")
     zero = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_events_active", "n_events_road_close", "n_events_with_coords")}
     return s.withColumns(
         {
             **zero,
+            "holiday_names": F.coalesce(F.col("holiday_names"), F.lit("")),
             "hour": F.hour("ts_local").cast("long"),
             "dow": F.weekday("ts_local").cast("long"),
             "is_weekend": F.weekday("ts_local").isin(5, 6),
@@ -87,38 +83,15 @@ def dedupe_first_stream(panel: DataFrame, lateness: str = DEFAULT_LATENESS) -> D
     return with_event_time(panel, lateness).dropDuplicatesWithinWatermark(["route_id", "ts_utc"])
 
 
-KEEP_LAST_SCHEMA = "route_id string, ts_utc timestamp_ntz, src_pos long, travel_time_s double"
-
-
 def dedupe_last_stream(panel: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFrame:
     """Keep-last per (route_id, ts_utc) by ingest position, as in batch W2.
 
-    The latest row of each key is kept in state and emitted once the watermark
-    passes the key's time (event-time timeout), so late duplicates that arrive
-    within the lateness bound still replace earlier ones.
+    A native aggregate: the latest row of each key is state until the watermark passes the
+    key's time, so late duplicates within the bound still replace earlier ones.
     """
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (route_id, ts_utc, src_pos, tt) = state.get
-            state.remove()
-            yield pd.DataFrame({"route_id": [route_id], "ts_utc": [ts_utc], "src_pos": [src_pos], "travel_time_s": [tt]})
-            return
-        best = state.get if state.exists else None
-        for pdf in batches:
-            i = pdf["src_pos"].idxmax()
-            row = pdf.loc[i]
-            if best is None or int(row["src_pos"]) > int(best[2]):
-                best = (row["route_id"], row["ts_utc"], int(row["src_pos"]), None if pd.isna(row["travel_time_s"]) else float(row["travel_time_s"]))
-        state.update(best)
-        state.setTimeoutTimestamp(int(pd.Timestamp(best[1]).tz_localize("UTC").timestamp() * 1000) + 1)
-        return
-        yield  # pragma: no cover
-
     s = with_event_time(panel.select("route_id", "ts_utc", "src_pos", "travel_time_s"), lateness)
-    return s.groupBy("route_id", "ts_utc").applyInPandasWithState(
-        step, KEEP_LAST_SCHEMA, "route_id string, ts_utc timestamp_ntz, src_pos long, travel_time_s double", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    last = s.groupBy("route_id", "event_time").agg(F.max_by(F.struct("src_pos", "travel_time_s"), "src_pos").alias("_last"))
+    return last.select("route_id", instant_to_utc_ntz("event_time").alias("ts_utc"), "_last.src_pos", "_last.travel_time_s")
 
 
 def start(stream: DataFrame, name: str, path: str, *, mode: str = "append", available_now: bool = False):

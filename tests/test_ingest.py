@@ -225,3 +225,40 @@ def test_collision_surrogate_ids_after_year_filter(spark, tmp):  # P12
     rows = ingest.parse_collisions(read_collisions_csv(spark, str(p))).orderBy("collision_id").collect()
     # 2018 row removed before numbering; the unlocated row keeps its number but is dropped
     assert [(r.collision_id, r.hour) for r in rows] == [(1, 1), (2, 3)]
+
+
+def test_weather_files_with_different_header_order(spark, tmp_path):
+    from citymotion.operators.ingest import normalize_weather_rows
+    from citymotion.sources.text_formats import read_weather_csv
+
+    (tmp_path / "hourly_1.csv").write_text('"Date/Time (LST)","Temp (°C)","Rel Hum (%)"\n2014-01-01 00:00,-9.0,70\n', encoding="utf-8")
+    (tmp_path / "hourly_2.csv").write_text('\ufeff"Date/Time (LST)","Rel Hum (%)","Temp (°C)","Stn Press (kPa)"\n2014-02-01 00:00,60,-4.5,100.5\n', encoding="utf-8")
+    out = normalize_weather_rows(read_weather_csv(spark, [str(tmp_path / "hourly_1.csv"), str(tmp_path / "hourly_2.csv")]))
+    got = sorted((r.temp_c, r.rel_hum_pct, r.stn_press_kpa) for r in out.select("temp_c", "rel_hum_pct", F.coalesce("stn_press_kpa", F.lit(-1.0)).alias("stn_press_kpa")).collect())
+    assert got == [(-9.0, 70.0, -1.0), (-4.5, 60.0, 100.5)]
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    from citymotion.sources.text_formats import read_collisions_csv
+
+    p = tmp_path / "c.csv"
+    p.write_text('_id,NEIGHBOURHOOD_158,OCC_YEAR\n1,"Old ""Mill"", West",2014\n2,"two\nlines",2015\n3,plain,2016\n', encoding="utf-8")
+    rows = read_collisions_csv(spark, str(p)).orderBy("pos").collect()
+    assert [(r["_id"], r["NEIGHBOURHOOD_158"], r["OCC_YEAR"]) for r in rows] == [("1", 'Old "Mill", West', "2014"), ("2", "two\nlines", "2015"), ("3", "plain", "2016")]
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Tokyo"])
+def test_text_without_offset_is_utc_in_any_session_zone(spark, zone):
+    from citymotion.functions.timez import parse_offset_timestamp
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        texts = ["2017-01-01 00:05:00", "2017-01-01T00:05:00", "2017-01-01T00:05:00-05", "2017-01-01T00:05:00+05:30", "2017-01-01T00:05:00Z", "2017-01-01", "2017-01-01 00:05", "junk", None]
+        df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+        got = [r.u for r in df.select("k", parse_offset_timestamp("t").alias("u")).orderBy("k").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    day = dt.datetime(2017, 1, 1)
+    five = dt.timedelta(minutes=5)
+    assert got == [day + five, day + five, day + five + dt.timedelta(hours=5), day + five - dt.timedelta(hours=5, minutes=30), day + five, day, day + five, None, None]

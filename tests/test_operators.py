@@ -306,10 +306,10 @@ def test_congestion_frames(spark):  # X19
         "route_id string, ts_utc timestamp_ntz, ts_local timestamp_ntz, date date, delay_s double",
     )
     b = congestion_buckets(p, start="2016-06-15", end="2016-06-16", freq="h")
-    labels = frame_labels(b)
-    assert labels == ["2016-06-15 07:00", "2016-06-15 08:00", "2016-06-16 08:00"]
-    wide = {r.route_id: r for r in congestion_pivot(b, labels).collect()}
-    assert wide["A_B"]["2016-06-15 07:00"] == 10.0 and wide["B_C"]["2016-06-15 07:00"] == 80.0
+    assert [r.label for r in frame_labels(b).collect()] == ["2016-06-15 07:00", "2016-06-15 08:00", "2016-06-16 08:00"]
+    wide = {(r.route_id, r.date_utc): r for r in congestion_pivot(b).collect()}
+    assert wide["A_B", D(2016, 6, 15)].h11 == 10.0 and wide["B_C", D(2016, 6, 15)].h11 == 80.0
+    assert wide["A_B", D(2016, 6, 16)].h12 == 30.0 and wide["B_C", D(2016, 6, 15)].h12 is None and len(wide) == 3
     bounds = date_bounds(p).collect()[0]
     assert (bounds.min_date, bounds.max_date) == (D(2016, 6, 15), D(2016, 6, 16))
     with pytest.raises(ValueError):
@@ -388,12 +388,30 @@ def test_keep_last_groups_nulls(spark):
     assert got == {None: "b", "k": "c"}
 
 
-@pytest.mark.parametrize("margin", [3.0, 0.0])  # margin 0: brackets miss, the fallback path must fix them
-def test_exact_quantiles_match_percentile(spark, monkeypatch, margin):
-    from citymotion.operators import quantiles
+def test_pivot_on_the_autumn_dst_day(spark):
+    from citymotion.operators.frames import congestion_buckets, congestion_pivot
+
+    p = spark.createDataFrame([("A_B", T(2017, 11, 5, 5, 5), 1.0), ("A_B", T(2017, 11, 5, 6, 5), 2.0)], "route_id string, ts_utc timestamp_ntz, delay_s double")
+    b = congestion_buckets(p, freq="h")
+    assert {r.label for r in b.collect()} == {"2017-11-05 01:00"}
+    (r,) = congestion_pivot(b).collect()
+    assert (r.h05, r.h06) == (1.0, 2.0)
+
+
+def test_quantiles_with_ties_and_a_global_key(spark):
     from citymotion.operators.quantiles import exact_quantiles
 
-    monkeypatch.setattr(quantiles, "BAND_MARGIN", margin)
+    df = spark.range(40_000).select(F.when(F.col("id") % 5 != 0, F.lit(60.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    qs = [0.0, 0.1, 0.5, 0.9, 0.99, 1.0]
+    got = exact_quantiles(df, [], "v", qs, accuracy=200).first()
+    want = df.agg(*[F.percentile("v", q) for q in qs]).first()
+    assert list(got) == pytest.approx(list(want), rel=1e-12)
+    plan = exact_quantiles(df, [], "v", [0.5])._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from citymotion.operators.quantiles import exact_quantiles
 
     rnd = random.Random(5)
     rows = [("hot", float(rnd.randint(0, 500))) for _ in range(20000)]  # many duplicates
@@ -401,7 +419,7 @@ def test_exact_quantiles_match_percentile(spark, monkeypatch, margin):
     rows += [("nulls", None), ("one", 4.0), ("hot", float("nan")), (None, 1.0), (None, 3.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     qs = [0.0, 0.05, 0.5, 0.85, 0.95, 1.0]
-    for acc in (100_000, 50, 10):  # small accuracies: band path on the big groups, fallback when margin is 0
+    for acc in (100_000, 50):  # a small accuracy: wide brackets
         got = {r.g: r for r in exact_quantiles(df, ["g"], "v", qs, accuracy=acc).collect()}
         clean = df.where(~F.isnan("v") | F.col("v").isNull())
         want = {r.g: r for r in clean.groupBy("g").agg(*[F.percentile("v", q).alias(f"q{str(q).replace('.', '_')}") for q in qs]).collect()}
@@ -470,3 +488,44 @@ def test_intensity_frames_errors(spark):
     nan = spark.createDataFrame([(T(2016, 6, 15, 11), "l", "X_Y", float("nan"))], "bucket_utc timestamp_ntz, label string, route_id string, value double")
     with pytest.raises(ValueError, match="finite"):
         intensity_frames(nan, v)
+
+
+def test_snap_of_repeated_and_missing_ids(spark):
+    from citymotion.operators.spatial import nearest_routes
+
+    verts = spark.createDataFrame([("A_B", 0, -79.40, 43.60), ("A_B", 1, -79.39, 43.60), ("C_D", 0, -79.40, 43.70), ("C_D", 1, -79.39, 43.70)], "route_id string, seq long, lon double, lat double")
+    pts = spark.createDataFrame(
+        [(1, -79.395, 43.6001), (1, -79.395, 43.7001), (None, -79.395, 43.6001), (2, -79.395, 43.65), (2, -79.395, 43.6001), (3, None, 43.6)],
+        "collision_id long, lon double, lat double",
+    )
+    got = sorted((str(r.collision_id), r.lat, r.route_id) for r in nearest_routes(pts, verts).collect())
+    assert got == [("1", 43.6001, "A_B"), ("1", 43.7001, "C_D"), ("2", 43.6001, "A_B"), ("2", 43.65, None), ("None", 43.6001, "A_B")]
+
+
+def test_route_metric_aggregates(spark):
+    from citymotion.operators.network import aggregate_route_metrics
+
+    rows = [("A_B", 3, 5.0), ("A_B", 1, None), ("A_B", 2, 1.0), ("A_B", 4, 5.0), ("A_B", 5, None), ("B_C", 1, None)]
+    df = spark.createDataFrame(rows, "route_id string, src_pos long, delay_s double").repartition(4)
+    want = {"first": (1.0, None), "last": (5.0, None), "sum": (11.0, 0.0), "min": (1.0, None), "max": (5.0, None), "count": (3.0, 0.0), "nunique": (2.0, 0.0), "size": (5.0, 1.0)}
+    for agg, (a, b) in want.items():
+        got = {r.route_id: r.value for r in aggregate_route_metrics(df, agg=agg).collect()}
+        assert (got["A_B"], got["B_C"]) == (a, b), agg
+
+
+def test_panel_does_not_shuffle_the_fact_before_incidents(spark):
+    import __spark_entry__ as E  # noqa: F401  puts the repository on the path
+    from citymotion.plans import registry
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "-1")  # as if every estimate were too high
+        spark.conf.set(keys[1], "false")
+        plan = registry.build_panel_df(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert plan.count("BroadcastHashJoin") == 3
+    assert exchanges and all("route_id" in x and "ts_hour_utc" in x for x in exchanges)

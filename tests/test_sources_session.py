@@ -14,15 +14,14 @@ def test_with_ordinal_across_partitions(spark):
     assert all(r.ordinal == r.v for r in rows)  # scan order = generation order here
 
 
-def test_maybe_broadcast_respects_limit(spark):
-    from citymotion.session import maybe_broadcast
-
-    small = spark.range(10)
-    big = spark.range(10)
-    j_small = spark.range(1_000_000).join(maybe_broadcast(small, 10_000_000), "id")
-    j_big = spark.range(1_000_000).join(maybe_broadcast(big, 1), "id")
-    assert "ResolvedHint (strategy=broadcast)" in j_small._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in j_big._jdf.queryExecution().analyzed().toString()
+def test_measured_side_respects_limit(spark):
+    from citymotion.session import measured_side
+
+    side = spark.range(10).withColumn("name", F.lit("x" * 100))
+    for limit, hinted in ((10_000, True), (1_000, False)):
+        j = spark.range(1_000_000).join(measured_side(side, "t", limit), "id")
+        assert ("strategy=broadcast" in j._jdf.queryExecution().analyzed().toString()) is hinted
+        assert j.count() == 10
 
 
 def test_preview_zip_and_dbf(spark, tmp):
