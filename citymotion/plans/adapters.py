@@ -60,27 +60,31 @@ def _k(props: str = "props") -> F.Column:
     return F.get_json_object(F.col(props), "$.k").try_cast("double")
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where(F.col("event_type") != "error")
-    out = e.select(
-        corridor_id("user_id").alias("route_id"),
-        F.col("value").alias("travel_time_s"),
-        _k().alias("sample_count"),
-        F.col("ts").alias("ts_utc"),
-        utc_to_local("ts").alias("ts_local"),
-        F.col("event_id").alias("src_pos"),
-    ).withColumn("year", F.year("ts_local"))
-    # Drop rows without key / time / value, keep positive travel times
-    return out.where(
-        F.col("route_id").isNotNull()
-        & F.col("ts_utc").isNotNull()
-        & F.col("travel_time_s").isNotNull()
-        & (F.col("travel_time_s") > 0)
+def travel_text_rows(events: DataFrame) -> DataFrame:
+    """Travel-time rows as the archives hold them: text columns and provenance."""
+    return events.where(F.col("event_type") != "error").select(
+        corridor_id("user_id").alias("resultId"),
+        F.col("value").cast("string").alias("timeInSeconds"),
+        F.get_json_object("props", "$.k").alias("count"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("Z")).alias("updated"),
+        F.lit("travel-time.zip").alias("path"),
+        F.lit("events").alias("member"),
+        F.col("event_id").alias("pos"),
     )
 
 
-def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+def observations(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Observations by the package's own normaliser (P2, P3) from text rows of ``events``
+    (a stream, if given)."""
+    from citymotion.operators.ingest import normalize_travel_rows
+
+    rows = normalize_travel_rows(travel_text_rows(events if events is not None else table(spark, sf_dir, "events")))
+    cols = ["route_id", "travel_time_s", "sample_count", "ts_utc", "ts_local"]
+    return rows.select(*cols, F.col("pos").alias("src_pos"), "year")
+
+
+def incidents(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    e = (events if events is not None else table(spark, sf_dir, "events")).where(F.col("event_type") == "error")
     return e.select(
         F.col("event_id").alias("collision_id"),
         corridor_id("user_id").alias("route_id"),

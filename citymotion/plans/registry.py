@@ -830,3 +830,6 @@ def q_route_widths_static(spark, sf):
 
     w = static_widths(mean_metrics(spark, sf))
     return w.select("route_id", F.round("value", 6).alias("value"), F.round("width", 6).alias("width"))
+
+
+from citymotion.plans import registry_io  # noqa: E402, F401  registers its queries

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def write_table(df: DataFrame, path: str, *, partition_by: Sequence[str] | None = None, sort_within: Sequence[str] | None = None) -> str:
+def write_table(df: DataFrame, path: str, *, partition_by: Sequence[str] | None = None, sort_within: Sequence[str] | None = None, order_by: Sequence[str] | None = None) -> str:
     """Overwrite a Parquet table directory; optional partition columns and an
-    in-partition sort (no global sort, no single writer)."""
+    in-partition sort.  ``order_by`` deals the rows into ranges first, so the files in name
+    order are sorted as a whole (O1, O2) and no task writes alone."""
+    if order_by:
+        df, sort_within = df.repartitionByRange(*order_by), order_by
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     writer = out.write.mode("overwrite")
     if partition_by:

@@ -162,4 +162,8 @@ def load_calendar(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
         df = spark.read.schema(CALENDAR_SCHEMA).json(path)
     if "pos" not in df.columns or df.where(F.col("pos").isNull()).limit(1).count():
         df = with_ordinal(df.drop("pos"), "pos")
-    return df.select(*[c.name for c in CALENDAR_SCHEMA]), {}
+    df = df.select(*[c.name for c in CALENDAR_SCHEMA])
+    from citymotion.operators.calendar import assert_valid
+
+    assert_valid(df)
+    return df, {}
