@@ -21,57 +21,59 @@ from citymotion.operators.normalize import keep_last
 from citymotion.sources.archives import is_data_member
 from citymotion.sources.common import list_files, open_input
 
-NUMERIC_TYPES = ("N", "F")
+# fixed values: layout of a dBase III header and field descriptor
+HEAD = np.dtype([("version", "u1"), ("date", "u1", 3), ("records", "<u4"), ("header", "<u2"), ("width", "<u2"), ("rest", "V20")])
+FIELD = np.dtype([("name", "S11"), ("kind", "S1"), ("address", "V4"), ("width", "u1"), ("decimals", "u1"), ("rest", "V14")])
 
 
-def dbf_fields(data: bytes) -> list[tuple[str, str, int, int]]:
-    """Field descriptors (name, type, width, decimals) from a DBF header."""
-    header_len = struct.unpack_from("<H", data, 8)[0]
-    fields = []
-    for off in range(32, header_len - 1, 32):
-        if data[off] == 0x0D:
-            break
-        name = data[off : off + 11].split(b"\x00", 1)[0].decode("ascii", "replace")
-        fields.append((name, chr(data[off + 11]), data[off + 16], data[off + 17]))
-    return fields
+def dbf_layout(data: bytes) -> tuple[np.void, np.ndarray]:
+    """The header and the field descriptors of a DBF, from its first bytes."""
+    if len(data) < HEAD.itemsize:
+        raise ValueError("a DBF has at least 32 bytes")
+    head = np.frombuffer(data, HEAD, 1)[0]
+    room = (min(int(head["header"]), len(data)) - HEAD.itemsize) // FIELD.itemsize
+    fields = np.frombuffer(data, FIELD, max(0, room), HEAD.itemsize)
+    return head, fields[fields["name"] != b"\r"][: int(np.argmax(np.append(fields["name"], b"\r") == b"\r"))]
 
 
-def dbf_record_count(data: bytes) -> int:
-    return struct.unpack_from("<I", data, 4)[0]
+def dbf_names(fields: np.ndarray) -> list[str]:
+    return [n.split(b"\0")[0].decode("ascii", "replace") for n in fields["name"]]
+
+
+def dbf_summary_of(read) -> dict:
+    """Field names and record count, from ``read(n)`` of a DBF's beginning only."""
+    start = read(HEAD.itemsize)
+    size = int(np.frombuffer(start, HEAD, 1)[0]["header"])
+    head, fields = dbf_layout(start + read(size - HEAD.itemsize))
+    return {"fields": dbf_names(fields), "n_records": int(head["records"])}
 
 
 def decode_dbf(data: bytes) -> pd.DataFrame:
-    """All live records of a DBF as a DataFrame (deleted records skipped).
+    """All live records of a DBF, column by column.
 
-    Numeric fields: blank or "." -> NULL, with decimals or a point -> float,
-    else integer; other fields: trimmed latin-1 text, blank -> NULL.
-    Adds ``record`` = 0-based position in the file (deleted ones included).
+    Numeric fields become whole numbers (no decimals declared or written) or floats, text
+    that is no number NULL; other fields are trimmed latin-1 text, blank is NULL.
+    ``record`` is the 0-based position in the file (deleted ones included).
     """
-    if len(data) < 32:
-        raise ValueError("DBF too small")
-    n = dbf_record_count(data)
-    header_len, rec_len = struct.unpack_from("<HH", data, 8)
-    fields = dbf_fields(data)
-    block = np.frombuffer(data, dtype=np.uint8, count=n * rec_len, offset=header_len).reshape(n, rec_len)
-    live = block[:, 0] != ord("*")
-    out: dict[str, object] = {"record": np.arange(n)[live]}
-    start = 1
-    for name, ftype, width, decimals in fields:
-        raw = block[live, start : start + width]
-        start += width
-        texts = [bytes(r).decode("latin-1", "replace").strip() for r in raw]
-        if ftype in NUMERIC_TYPES:
-            vals = []
-            for t in texts:
-                if t in ("", "."):
-                    vals.append(None)
-                elif decimals or "." in t:
-                    vals.append(float(t))
-                else:
-                    vals.append(int(float(t)))
-            out[name] = vals
+    head, fields = dbf_layout(data)
+    names = dbf_names(fields)
+    row = np.dtype({
+        "names": ["_flag", *[f"f{i}" for i in range(len(names))]],
+        "formats": ["S1", *[f"S{w}" for w in fields["width"]]],
+        "offsets": np.concatenate(([0], 1 + np.cumsum(fields["width"], dtype=int) - fields["width"])).tolist(),
+        "itemsize": int(head["width"]),
+    })
+    rows = np.frombuffer(data, row, int(head["records"]), int(head["header"]))
+    keep = np.flatnonzero(rows["_flag"] != b"*")
+    out = {"record": keep}
+    for i, (name, f) in enumerate(zip(names, fields)):
+        text = pd.Series(np.char.strip(np.char.decode(rows[f"f{i}"][keep], "latin-1")), dtype=object)
+        if f["kind"] in (b"N", b"F"):
+            number = pd.to_numeric(text, errors="coerce")
+            whole = not f["decimals"] and not text.str.contains(".", regex=False).any()
+            out[name] = number.astype("Int64") if whole else number
         else:
-            out[name] = [t or None for t in texts]
+            out[name] = text.where(text != "", None)
     return pd.DataFrame(out)
 
 
@@ -93,7 +95,7 @@ def read_dbf_zip(spark: SparkSession, folder: str, glob: str, columns: dict[str,
                 with open_input(path) as fh, zipfile.ZipFile(fh) as zf:
                     names = _archive_members(zf, ".dbf")
                     if not names:
-                        raise FileNotFoundError(f"No DBF member in {path}")
+                        raise FileNotFoundError(f"{path} holds no .dbf")
                     frame = decode_dbf(zf.read(names[0]))
                 out = pd.DataFrame({"path": path, "record": frame["record"]})
                 for col in columns:
@@ -144,10 +146,10 @@ def read_route_vertices(spark: SparkSession, folder: str, glob: str, id_field: s
                     names = {sfx: _archive_members(zf, sfx) for sfx in (".shp", ".dbf", ".shx")}
                     missing = sorted(s for s, v in names.items() if not v)
                     if missing:
-                        raise FileNotFoundError(f"Routes ZIP missing members: {missing}")
+                        raise FileNotFoundError(f"{path} lacks {missing}")
                     attrs = decode_dbf(zf.read(names[".dbf"][0]))
                     if id_field not in attrs.columns:
-                        raise KeyError(f"Shapefile DBF missing {id_field} field")
+                        raise KeyError(f"no field {id_field} in the attributes")
                     verts = pd.DataFrame(list(decode_polylines(zf.read(names[".shp"][0]))), columns=["record", "seq", "lon", "lat"])
                 ids = attrs.set_index("record")[id_field]
                 verts["route_id"] = verts["record"].map(ids).astype("string").str.strip()

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import struct
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citymotion.sources.common import list_files, open_input
+from citymotion.sources.dbase import dbf_summary_of
 
 # fixed values: files skipped by the inventory
 SKIP_NAMES = (".gitkeep",)
@@ -26,15 +25,7 @@ def list_raw_files(spark: SparkSession, raw_dir: str, dataset: str | None = None
 def dbf_summary(path: str) -> dict:
     """Field names and record count of a DBF, from its header only."""
     with open_input(path) as fh:
-        head = fh.read(32)
-        header_len = struct.unpack_from("<H", head, 8)[0]
-        rest = fh.read(header_len - 32)
-    names = []
-    for off in range(0, len(rest) - 1, 32):
-        if rest[off] == 0x0D:
-            break
-        names.append(rest[off : off + 11].split(b"\x00", 1)[0].decode("ascii", "replace"))
-    return {"fields": names, "n_records": struct.unpack_from("<I", head, 4)[0]}
+        return dbf_summary_of(fh.read)
 
 
 TABULAR_SUFFIXES = (".csv", ".tsv", ".txt")
@@ -62,13 +53,6 @@ def preview_zip(spark: SparkSession, path: str, n: int = 5) -> dict:
         dbfs = [m for m in names if is_data_member(m, (".dbf",))]
         if dbfs:
             with zf.open(dbfs[0]) as raw:
-                head = raw.read(32)
-                header_len = struct.unpack_from("<H", head, 8)[0]
-                rest = raw.read(header_len - 32)
-            fields = []
-            for off in range(0, len(rest) - 1, 32):
-                if rest[off] == 0x0D:
-                    break
-                fields.append(rest[off : off + 11].split(b"\x00", 1)[0].decode("ascii", "replace"))
-            return {"member": dbfs[0], "columns": fields, "n_records": struct.unpack_from("<I", head, 4)[0]}
+                found = dbf_summary_of(raw.read)
+            return {"member": dbfs[0], "columns": found["fields"], "n_records": found["n_records"]}
     return {"member": None, "columns": [], "rows": []}
