@@ -16,14 +16,14 @@ factor, cut at ``length``.
    8, 24 and 72 bytes by prefix tripling, then of the full length at the starts of owned
    strings).  In suffix order, with equal strings by position, the neighbour before is the
    previous smaller position, i.e. the earlier match, and the one after the later match.
-   A k-gram with over ``CROWDED`` different contexts is not gathered: each of its strings goes
-   by its own 128-bit hash to where equal ones meet in sorted order, read with one row of
-   lookback.
+   A k-gram with over ``CROWDED`` different contexts is not gathered: its strings are counted
+   one by one, by 128-bit hashes, with map-side aggregation.
 4. The removed runs meet their text again.
 
 What is shuffled: hashes and positions of anchors (about 30 bytes for 85 of text), fragments
-around the ends of repeats, and the texts twice (compressed).  No task gathers a group:
-counts are aggregated map-side, joins can be split by Spark, sorted rows are streamed.
+around the ends of repeats, and the texts twice (compressed).  No task gathers an
+unbounded group: counts are aggregated map-side, joins can be split by Spark, and groups
+of fragments have at most ``CROWDED`` members.
 
 Defined results: null text is empty; texts shorter than ``length`` keep everything; repeated rows
 are copies like any others, and null ids are ordinary rows (rows are told apart by a row
@@ -238,23 +238,14 @@ def _sorted_chunk(rows: list[tuple[int, int, int, bytes]], keep: str, length: in
 
 
 def _matched(fragments: DataFrame, keep: str, length: int) -> DataFrame:
-    """Removed spans among fragments."""
+    """Removed spans among the fragments of grams that are gathered."""
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk: list[tuple] = []  # whole groups of one gram each
         size, last_key = 0, None
-        previous = None  # key, rid, lo, removed: of the strings that go one by one
-        out: list[tuple] = []
         for b in batches:
-            for crowded, key, rid, lo, n, data in zip(*(b[c].to_pylist() for c in FRAGMENT.names)):
-                if crowded:
-                    same = previous is not None and previous[0] == key
-                    if same and keep == "none" and not previous[3]:
-                        out.append((previous[1], previous[2], previous[2] + length))
-                    if same:
-                        out.append((rid, lo, lo + length))
-                    previous = (key, rid, lo, same)
-                    continue
+            out: list[tuple] = []
+            for key, rid, lo, n, data in zip(*(b[c].to_pylist() for c in ("key", "rid", "lo", "strings", "bytes"))):
                 if key != last_key:
                     if size >= CHUNK:
                         out += _sorted_chunk(chunk, keep, length)
@@ -264,16 +255,23 @@ def _matched(fragments: DataFrame, keep: str, length: int) -> DataFrame:
                 size += len(data)
             if out:
                 yield _array(out, SPANS)
-                out = []
-        if chunk:
-            out += _sorted_chunk(chunk, keep, length)
+        out = _sorted_chunk(chunk, keep, length) if chunk else []
         if out:
             yield _array(out, SPANS)
 
-    ordered = fragments.repartition("crowded", "key").sortWithinPartitions("crowded", "key", "rid", "lo")
+    ordered = fragments.select("key", "rid", "lo", "strings", "bytes").repartition("key").sortWithinPartitions("key", "rid", "lo")
     return ordered.mapInArrow(judged, SPANS_SQL)
 
 
+def _matched_strings(strings: DataFrame, keep: str, length: int) -> DataFrame:
+    """Removed spans among single strings (key, rid, lo) of crowded grams."""
+    several = strings.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("rid", "lo")).alias("first")).filter("n > 1")
+    found = strings.join(several, "key")
+    if keep == "first":
+        found = found.filter((F.col("rid") != F.col("first.rid")) | (F.col("lo") != F.col("first.lo")))
+    return found.select("rid", F.col("lo").alias("start"), (F.col("lo") + length).cast("int").alias("stop"))
+
+
 # ---------------------------------------------------------------- whole corpus
 
 
@@ -310,7 +308,9 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", cro
         later = F.when(F.col("is_rep"), F.col("hi1") + 1).otherwise(F.col("lo")).cast("int")
         spans = whole.filter("NOT is_rep OR hi > hi1").select("rid", later.alias("start"), stop)
     wanted = judged.filter("is_rep AND contexts > 1").select("rid", "gram", "lo", "hi1", (F.col("contexts") > crowded).alias("crowded"))
-    return spans.unionByName(_matched(_fragments(_packed(docs), wanted, length), keep, length))
+    fragments = written(_fragments(_packed(docs), wanted, length), "fragments", "zstd")
+    spans = spans.unionByName(_matched(fragments.filter("NOT crowded"), keep, length))
+    return spans.unionByName(_matched_strings(fragments.filter("crowded").select("key", "rid", "lo"), keep, length))
 
 
 KEPT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
