@@ -499,9 +499,12 @@ def plain_text(html: str | None) -> str:
 def sample_texts(pages: DataFrame, html_col: str, key_col: str, n: int) -> list[str]:
     """Training text: of the ``n`` pages with the smallest hashes of ``key_col``, up to 4,000
     characters from the first 100,000 of each."""
-    html = F.substring(html_col, 1, 100_000)
-    rows = pages.orderBy(F.xxhash64(key_col), key_col, F.length(html_col)).select(html).limit(n).collect()
-    return [plain_text(r[0])[:4000] for r in rows]
+    place = F.xxhash64(key_col)
+    last = pages.select(place.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]  # numbers only
+    if last is None:
+        return []
+    some = pages.filter(place <= last).orderBy(place, key_col, F.length(html_col)).limit(n)
+    return [plain_text(r[0])[:4000] for r in some.select(F.substring(html_col, 1, 100_000)).collect()]
 
 
 def with_text(pages: DataFrame, html_col: str = "html", key_col: str = "url", model: Trees | None = None, train_pages: int = TRAIN_PAGES) -> DataFrame:
