@@ -37,7 +37,7 @@ from pyspark.sql.functions import pandas_udf
 from citymotion.llm.common import small_batches
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-CACHE_SLICES = 1_000_000
+CACHE_SLICES = 500_000
 CACHED_CHARS = 48
 BATCH_CHARS = 1 << 21
 

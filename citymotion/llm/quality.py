@@ -38,7 +38,7 @@ from citymotion.llm.common import small_batches
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 SYMBOLS = frozenset("#*$%&|<>")
-CACHE_WORDS = 1_000_000  # some 200 MB in a Python worker
+CACHE_WORDS = 600_000  # some 150 MB in a Python worker
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k.tiktoken"
 
