@@ -105,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_source_mixing": mixing.oracle(),
+    "op2_secret_scans": secret_scan.oracle(),
     "op3_warc": OP3_SQL,
     "op4_chat_formatting": OP4_SQL,
 }

@@ -256,3 +256,80 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
     if length_col and length_col in docs.columns:
         df = df.withColumn(length_col, F.when(F.size(s) > 0, F.char_length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))
     return df.select(*docs.columns)
+
+
+def oracle(source: str = "documents", q: float = Q) -> str:
+    """DuckDB SQL of ``report`` (ids have to be unique)."""
+
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def kind(k: int, pattern: str, group: int = 0) -> str:
+        p = quoted(pattern)
+        return f"""h{k} AS (
+  SELECT doc_id, unnest(range(1, len(hits) + 1)) AS i, gaps, hits, vals FROM (
+    SELECT doc_id, regexp_split_to_array(t, {p}) AS gaps, regexp_extract_all(t, {p}, 0) AS hits, regexp_extract_all(t, {p}, {group}) AS vals
+    FROM d WHERE regexp_matches(t, {p}))),
+m{k} AS (
+  SELECT doc_id, {k} AS kind, CAST(length(array_to_string(gaps[1:i], '')) + length(array_to_string(hits[1:i - 1], '')) AS BIGINT) AS a, hits[i] AS token, length(vals[i]) AS n FROM h{k})"""
+
+    def tail(z: str) -> str:
+        t = f"(1 / (1 + 0.2316419 * ({z})))"
+        poly = f"{t} * (0.319381530 + {t} * (-0.356563782 + {t} * (1.781477937 + {t} * (-1.821255978 + {t} * 1.330274429))))"
+        return f"greatest(exp(-({z}) * ({z}) / 2) * 0.3989422804014327 * {poly}, 1e-18)"
+
+    needs = {"(?=.*[0-9])": "[0-9]", "(?=.*[2-7])": "[2-7]", "(?=.*[a-z][A-Z]|.*[0-9])": "[a-z][A-Z]|[0-9]"}
+    cases = []
+    for i, (_, _, pattern, _) in enumerate(ENCODINGS):
+        ahead = next((x for x in needs if pattern.startswith(x)), "")
+        more = f" AND regexp_matches(token, '{needs[ahead]}')" if ahead else ""
+        cases.append(f"WHEN regexp_full_match(token, '{pattern[len(ahead):]}'){more} THEN {i}")
+    symbols = ", ".join(quoted(e[1]) for e in ENCODINGS)
+    least = ", ".join(str(e[3]) for e in ENCODINGS)
+    band = " + ".join(f"CASE WHEN n >= {b} THEN 1 ELSE 0 END" for b in BANDS[1:])
+    names = "CASE kind " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(KINDS)) + " END || ':' || a || ':' || z"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(KINDS))
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM {source}),
+{kind(0, ASSIGN, 2)},
+{kind(1, ACCESS)},
+{kind(2, HEX)},
+{kind(3, RUN)},
+base AS (
+  SELECT doc_id, kind, a, a + length(token) AS z FROM m0 WHERE n >= 6
+  UNION ALL SELECT doc_id, kind, a, a + length(token) FROM m1 UNION ALL SELECT doc_id, kind, a, a + length(token) FROM m2),
+free AS (
+  SELECT doc_id, a, a + length(token) AS z, token, CASE {' '.join(cases)} ELSE -1 END AS enc FROM m3 r
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.a < r.a + length(r.token) AND b.z > r.a)),
+usable AS (SELECT *, [{symbols}][enc + 1] AS alphabet FROM free WHERE enc >= 0 AND length(token) >= [{least}][enc + 1]),
+chars AS (
+  SELECT doc_id, a, z, enc, CAST(length(alphabet) AS DOUBLE) AS k, i, CAST(strpos(alphabet, token[i]) - 1 AS DOUBLE) AS v
+  FROM (SELECT *, unnest(range(1, length(token) + 1)) AS i FROM usable)),
+lagged AS (
+  SELECT *, lag(v) OVER (PARTITION BY doc_id, a ORDER BY i) AS u, avg(v) OVER (PARTITION BY doc_id, a) AS mean,
+         count(*) OVER (PARTITION BY doc_id, a, v) AS same FROM chars),
+moments AS (
+  SELECT doc_id, a, z, enc, k, CAST(count(*) AS DOUBLE) AS n, CAST(sum(same) AS DOUBLE) AS sq, CAST(count(*) FILTER (WHERE v >= k / 2) AS DOUBLE) AS high,
+         CAST(count(*) FILTER (WHERE u IS NOT NULL AND (u >= k / 2) <> (v >= k / 2)) AS DOUBLE) AS changes,
+         coalesce(sum((u - mean) * (v - mean)), 0.0) AS crossed, sum((v - mean) * (v - mean)) AS spread
+  FROM lagged GROUP BY doc_id, a, z, enc, k),
+stats AS (
+  SELECT *, (pow((k / n * sq - n) / (k - 1), 1.0 / 3) - (1 - 2 / (9 * (k - 1)))) / sqrt(2 / (9 * (k - 1))) AS z1,
+         1 + 2 * high * (n - high) / n AS mu, (2 * high * (n - high) / n) * (2 * high * (n - high) / n - 1) / (n - 1) AS var,
+         CASE WHEN spread > 0 THEN abs(crossed / spread + 1 / n) * sqrt(n) END AS z3 FROM moments),
+tests AS (
+  SELECT *, CASE WHEN z1 >= 0 THEN {tail('z1')} ELSE 1 - {tail('-z1')} END AS p1,
+         CASE WHEN high = 0 OR high = n THEN greatest(pow(0.5, n - 1), 1e-18) WHEN var > 0 THEN least(2 * {tail('abs(changes + 1 - mu) / sqrt(var)')}, 1.0) ELSE 1.0 END AS p2,
+         CASE WHEN z3 IS NULL THEN 1e-18 ELSE least(2 * {tail('z3')}, 1.0) END AS p3 FROM stats),
+joint AS (SELECT *, -(ln(p1) + ln(p2) + ln(p3)) AS h, enc * {len(BANDS)} + {band} AS stratum FROM tests),
+binned AS (SELECT doc_id, a, z, stratum, least(floor(greatest(h - ln(1 + h + h * h / 2), 0.0) * {BINS_PER_E}), {MAX_BIN}) AS bin FROM joint),
+counted AS (SELECT stratum, bin, count(*) AS n FROM binned GROUP BY stratum, bin),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY stratum ORDER BY bin DESC) AS rank, sum(n) OVER (PARTITION BY stratum) AS m FROM counted),
+cut AS (SELECT stratum, min(bin) AS bin FROM ranked WHERE exp(-bin / {BINS_PER_E}) <= {q} * rank / m GROUP BY stratum),
+spans AS (
+  SELECT doc_id, kind, a, z FROM base
+  UNION ALL SELECT b.doc_id, 3, b.a, b.z FROM binned b LEFT JOIN cut c ON b.stratum = c.stratum WHERE c.bin IS NULL OR b.bin < c.bin),
+per AS (
+  SELECT doc_id, {counts}, string_agg({names}, ',' ORDER BY a, kind, z) FILTER (WHERE kind < 3) AS base, string_agg({names}, ',' ORDER BY a, kind, z) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (doc_id)"""

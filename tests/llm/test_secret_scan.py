@@ -104,3 +104,22 @@ def test_driver_documents(spark, docs_rows):
     df = spark.createDataFrame([(i, t) for i, t, _ in docs_rows], "doc_id long, text string")
     got = {r["doc_id"]: r["base_sha256"] for r in S.report(df).collect()}
     assert got == {i: hashlib.sha256(named(base_spans(t)).encode()).hexdigest() for i, t, _ in docs_rows}
+
+
+def test_sql_gives_the_same_rows(spark):
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(8)
+    rows = [(i, t) for i, t in EDGE if i not in (None, 8)] + [(-2, "plain words only")]
+    alphabets = [e[1] for e in S.ENCODINGS]
+    for i in range(100, 400):  # keys, and runs that aren't
+        a = rng.choice(alphabets)
+        run = "".join(rng.choice(a) for _ in range(rng.randrange(18, 60))) if i % 2 else (rng.choice(a) + rng.choice(a)) * rng.randrange(10, 40)
+        rows.append((i, f"at {run}. password: {run[:rng.randrange(3, 9)]} end"))
+    con = duckdb.connect()
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841  read by DuckDB
+    want = con.execute(S.oracle()).df().sort_values("doc_id").reset_index(drop=True)
+    got = S.report(spark.createDataFrame(rows, "doc_id long, text string")).toPandas().sort_values("doc_id").reset_index(drop=True)
+    assert got.to_dict("records") == want[list(got.columns)].to_dict("records")
+    assert 0 < got["n_random"].sum() < 300
