@@ -82,6 +82,17 @@ def graph_edges(metrics: DataFrame, vertices: DataFrame) -> DataFrame:
     return metrics.join(pts, "route_id", "left")
 
 
+def edge_points(metrics: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Route metrics with their polyline in long form (J9): a row per vertex, one with NULLs
+    for a route without geometry.  No route is gathered into one row or task."""
+    return metrics.join(vertices.select("route_id", "seq", "lon", "lat"), "route_id", "left")
+
+
+def edge_ends(metrics: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Route metrics with number of vertices, first and last point of their polyline."""
+    return metrics.join(route_endpoints(vertices), "route_id", "left")
+
+
 def graph_nodes(metrics: DataFrame, vertices: DataFrame) -> DataFrame:
     """Node position = mean of the first points of its outgoing routes and the
     last points of its incoming routes (A13); only routes with geometry count."""

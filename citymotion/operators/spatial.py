@@ -36,6 +36,7 @@ from citymotion.functions.geo import segment_distance, utm_columns
 from citymotion.session import broadcast_if_bounded, cut_lineage
 
 DEFAULT_MAX_DISTANCE_M = 150.0
+RINGS = (0.125, 1.0)  # shares of the radius, rising to 1
 
 
 def project(df: DataFrame, lon: str = "lon", lat: str = "lat", x: str = "x", y: str = "y") -> DataFrame:
@@ -93,29 +94,37 @@ def nearest_routes(
     vertices: DataFrame,
     *,
     max_distance_m: float = DEFAULT_MAX_DISTANCE_M,
+    rings: tuple[float, ...] = RINGS,
 ) -> DataFrame:
     """Every located point with ``route_id`` / ``dist_to_route_m`` of its nearest corridor
     within the radius, NULL when none.  Rows are matched by their coordinates alone."""
-    cell = float(max_distance_m)
     located = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     places = located.select(F.col("lon").alias("_lon"), F.col("lat").alias("_lat")).distinct()
-    p = project(places, "_lon", "_lat", x="_px", y="_py").withColumns(
-        {"cx": F.floor(F.col("_px") / cell), "cy": F.floor(F.col("_py") / cell)}
-    )
-    # each piece reaches at most 4 x 4 cells: the bound needs one aggregate over segments, no explode
+    rest = cut_lineage(project(places, "_lon", "_lat", x="_px", y="_py"))
     segs = cut_lineage(segments(vertices))  # projected and self-joined once
-    bound = segs.agg(F.sum(F.lit(16) * F.greatest(F.lit(1), F.ceil(_length() / F.lit(cell)))).alias("b")).first().b
-    cells = broadcast_if_bounded(segment_cells(segs, cell), None if bound is None else int(bound), row_bytes=96)
-    cand = p.join(cells, ["cx", "cy"], "inner")
-    cand = cand.withColumn("_d", segment_distance("_px", "_py", "ax", "ay", "bx", "by")).where(
-        F.col("_d") <= F.lit(max_distance_m)
-    )
-    best = cand.groupBy("_lon", "_lat").agg(F.min(F.struct(F.col("_d"), F.col("route_id"))).alias("_b"))
-    best = best.select("_lon", "_lat", F.col("_b.route_id").alias("route_id"), F.col("_b._d").alias("dist_to_route_m"))
+    best = None
+    for share in rings:
+        radius = float(max_distance_m) * share
+        hits = cut_lineage(_within(rest, segs, radius))
+        best = hits if best is None else best.unionByName(hits)
+        if share < 1.0:
+            rest = rest.join(hits.select("_lon", "_lat"), ["_lon", "_lat"], "left_anti")
     same = (located["lon"] == best["_lon"]) & (located["lat"] == best["_lat"])
     return located.join(best, same, "left").drop("_lon", "_lat")
 
 
+def _within(places: DataFrame, segs: DataFrame, radius: float) -> DataFrame:
+    """The nearest corridor of each place that has one within ``radius``."""
+    p = places.withColumns({"cx": F.floor(F.col("_px") / radius), "cy": F.floor(F.col("_py") / radius)})
+    # each piece reaches at most 4 x 4 cells: the bound needs one aggregate over segments, no explode
+    bound = segs.agg(F.sum(F.lit(16) * F.greatest(F.lit(1), F.ceil(_length() / F.lit(radius)))).alias("b")).first().b
+    cells = broadcast_if_bounded(segment_cells(segs, radius), None if bound is None else int(bound), row_bytes=96)
+    cand = p.join(cells, ["cx", "cy"], "inner")
+    cand = cand.withColumn("_d", segment_distance("_px", "_py", "ax", "ay", "bx", "by")).where(F.col("_d") <= F.lit(radius))
+    best = cand.groupBy("_lon", "_lat").agg(F.min(F.struct(F.col("_d"), F.col("route_id"))).alias("_b"))
+    return best.select("_lon", "_lat", F.col("_b.route_id").alias("route_id"), F.col("_b._d").alias("dist_to_route_m"))
+
+
 def snap_to_routes(
     points: DataFrame,
     vertices: DataFrame,

@@ -281,22 +281,37 @@ FROM metrics m LEFT JOIN ends e USING (route_id)""",
     ),
 )
 def q_route_graph_edges(spark, sf):
-    from citymotion.operators.network import graph_edges
+    from citymotion.operators.network import edge_ends
 
-    e = graph_edges(mean_metrics(spark, sf), vertices(spark, sf))
+    e = edge_ends(mean_metrics(spark, sf), vertices(spark, sf))
     return e.select(
         "route_id",
         "source",
         "target",
         F.round("value", 6).alias("value"),
-        F.coalesce(F.size("points"), F.lit(0)).cast("long").alias("n_points"),
-        F.round(F.get("points", 0)["lon"], 6).alias("start_lon"),
-        F.round(F.get("points", 0)["lat"], 6).alias("start_lat"),
-        F.round(F.get("points", F.size("points") - 1)["lon"], 6).alias("end_lon"),
-        F.round(F.get("points", F.size("points") - 1)["lat"], 6).alias("end_lat"),
+        F.coalesce("n_points", F.lit(0)).cast("long").alias("n_points"),
+        F.round("first_pt.lon", 6).alias("start_lon"),
+        F.round("first_pt.lat", 6).alias("start_lat"),
+        F.round("last_pt.lon", 6).alias("end_lon"),
+        F.round("last_pt.lat", 6).alias("end_lat"),
     )
 
 
+@register(
+    "route_edge_points",
+    O.with_ctes(
+        O.PANEL_DEPS + [METRICS_CTE, O.VERTS],
+        """SELECT m.route_id, m.source, m.target, round(m.value, 6) AS value, v.seq, round(v.lon, 6) AS lon, round(v.lat, 6) AS lat
+FROM metrics m LEFT JOIN verts v USING (route_id)""",
+    ),
+)
+def q_route_edge_points(spark, sf):
+    from citymotion.operators.network import edge_points
+
+    e = edge_points(mean_metrics(spark, sf), vertices(spark, sf))
+    return e.select("route_id", "source", "target", F.round("value", 6).alias("value"), "seq", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+
+
 SAMPLES_CTE = """samples AS (
   SELECT m.source AS node, e.first_lon AS lon, e.first_lat AS lat FROM metrics m JOIN ends e USING (route_id)
   UNION ALL
