@@ -74,14 +74,6 @@ def route_endpoints(vertices: DataFrame) -> DataFrame:
     )
 
 
-def graph_edges(metrics: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Edges = route metrics left-joined with their polyline (J9); ``points`` NULL when absent."""
-    pts = vertices.groupBy("route_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("seq", "lon", "lat"))), lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("points")
-    )
-    return metrics.join(pts, "route_id", "left")
-
-
 def edge_points(metrics: DataFrame, vertices: DataFrame) -> DataFrame:
     """Route metrics with their polyline in long form (J9): a row per vertex, one with NULLs
     for a route without geometry.  No route is gathered into one row or task."""

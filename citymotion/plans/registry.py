@@ -401,9 +401,7 @@ def q_weather_hourly(spark, sf):
 
 
 def _v1_sql() -> str:
-    from citymotion.operators.clean import columns_to_drop
-
-    dropped = columns_to_drop(PANEL_COLUMNS)
+    dropped = ["wx_wind_spd_kmh", "wx_weather_desc", "holiday_names", "mega_event_names"]  # as specified, not as computed
     retained = [c for c in PANEL_COLUMNS if c not in dropped]
     return O.with_ctes(
         O.PANEL_DEPS,

@@ -3,7 +3,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 D = dt.date

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tests.shapes import dbf_bytes, shp_bytes, write_zip
 from tests.test_ingest import FEST_XML, TRAVEL_HEADER, _collisions_csv
 

@@ -1,5 +1,3 @@
-import zipfile
-
 from pyspark.sql import functions as F
 
 from tests.shapes import dbf_bytes, write_zip
