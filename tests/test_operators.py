@@ -460,7 +460,7 @@ def test_average_precision_and_labels_brute_force(spark):
         cn += n
         ctp += tp
         ap += tp / P * (ctp / cn)
-    got = average_precision(lab, buckets=8).collect()[0]
+    got = average_precision(lab).collect()[0]
     assert got.n_positive == P and got.average_precision == pytest.approx(ap, rel=1e-12)
 
 
