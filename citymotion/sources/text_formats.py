@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,23 +91,40 @@ ENTRY_END = "</viewentry>"
 def read_festival_entries(spark: SparkSession, path: str) -> DataFrame:
     """One row per ``<viewentry>`` (S5): ``ordinal, unid`` and every field as text.
 
-    The file is split on the entry end tag (a splittable text scan); each
-    piece is rebuilt into one entry and queried with XPath: the last
-    ``entrydata`` of a name wins, its text nodes are trimmed, blanks dropped
-    and the rest joined with " | "; entities are decoded by the XML parser.
+    The file is split on the entry end tag (a splittable text scan); each piece is
+    rebuilt into one entry and parsed once: the last ``entrydata`` of a name wins, its
+    texts are trimmed, blanks dropped and the rest joined with " | "; entities are
+    decoded by the XML parser.
     """
     raw = spark.read.option("lineSep", ENTRY_END).text(path)
     body = F.regexp_extract(F.col("value"), r"(<viewentry[\s>][\s\S]*)$", 1)
     entries = raw.select(body.alias("_b")).where(F.col("_b") != "").select(F.concat(F.col("_b"), F.lit(ENTRY_END)).alias("xml"))
     entries = with_ordinal(entries, "ordinal")
-    cols = {
-        "unid": F.nullif(F.expr("xpath_string(xml, '/viewentry/@unid')"), F.lit("")),
-    }
+    parsed = entries.withColumn("_e", F.from_xml("xml", ENTRY_SCHEMA, {"ignoreSurroundingSpaces": "false"}))
+    none = F.array().cast("array<string>")
+
+    def texts(d: Column) -> Column:
+        parts = [F.array(d["_VALUE"]), *[F.coalesce(d[k], none) for k in TEXT_ELEMENTS], F.coalesce(d["textlist"]["text"], none)]
+        return F.filter(F.transform(F.concat(*parts), lambda t: F.trim(t)), lambda t: t != "")
+
+    cols = {"unid": F.nullif(F.col("_e._unid"), F.lit(""))}
     for name in FESTIVAL_FIELDS:
-        texts = F.expr(f"xpath(xml, '/viewentry/entrydata[@name=\"{name}\"][last()]//text()')")
-        kept = F.filter(F.transform(texts, lambda t: F.trim(t)), lambda t: t != "")
+        last = F.try_element_at(F.filter("_e.entrydata", _named(name)), F.lit(-1))
+        kept = texts(last)
         cols[name] = F.when(F.size(kept) > 0, F.array_join(kept, " | "))
-    return entries.select("ordinal", *[v.alias(k) for k, v in cols.items()])
+    return parsed.select("ordinal", *[v.alias(k) for k, v in cols.items()])
+
+
+def _named(name: str):
+    return lambda d: d["_name"] == name
+
+
+# fixed values: elements that hold an entry's texts
+TEXT_ELEMENTS = ("text", "number", "datetime")
+ENTRY_SCHEMA = (
+    "_unid string, entrydata array<struct<_name:string, _VALUE:string, text:array<string>, number:array<string>, "
+    "datetime:array<string>, textlist:struct<text:array<string>>>>"
+)
 
 
 CALENDAR_SCHEMA = T.StructType(
