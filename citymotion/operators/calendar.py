@@ -49,7 +49,7 @@ def prepare_calendar(entries: DataFrame) -> DataFrame:
 
 
 def invalid_entries(entries: DataFrame) -> DataFrame:
-    """Entries whose range is reversed (the reference refuses such a calendar)."""
+    """Entries whose range is reversed; a calendar with any is refused."""
     return prepare_calendar(entries).where(F.col("end_date") < F.col("start_date"))
 
 
