@@ -2,7 +2,10 @@
 
 Token weights of the cells (source, language, topic) are raked by iterative proportional
 fitting: each sweep scales the cells of every source, then language, then topic, to its
-target share.  A document's probability is its cell's raked weight over its cell's tokens,
+target share.  There are ``SWEEPS`` sweeps at least, and more until every share is within
+``TOLERANCE`` of its target, relatively; ``MOST_SWEEPS`` without that (targets that the cells
+cannot meet, mostly) raise.  A number of sweeps that the caller gives is done as it is,
+unchecked.  A document's probability is its cell's raked weight over its cell's tokens,
 scaled so that the largest is 1; ``sampled`` compares it with a number in [0, 1) that
 an MD5 of seed and id gives, so a decision never depends on partitions or reruns.
 
@@ -31,6 +34,8 @@ from citymotion.session import broadcast_if_bounded
 
 NONE = "(none)"
 SWEEPS = 6
+TOLERANCE = 1e-4
+MOST_SWEEPS = 200  # a guard that fails
 SEED = "mix-1"
 ALPHAS = {"source": 0.8, "lang": 0.9, "topic": 1.0}
 DIMENSIONS = ("source", "lang", "topic")
@@ -68,7 +73,17 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"__source": key("source"), "__lang": key("lang"), "__topic": topic(F.col("text")) if "topic" not in docs.columns else key("topic")})
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+def miss(state: DataFrame) -> float:
+    """The largest relative distance of a share from its target (a target of 0: the share)."""
+    every = None
+    for d in DIMENSIONS:
+        m = state.groupBy(d).agg(F.sum("weight").alias("now"), F.first(f"target_{d}").alias("target")).select("now", "target")
+        every = m if every is None else every.unionByName(m)
+    off = F.when(F.col("target") > 0, F.abs(F.col("now") / F.col("target") - 1)).otherwise(F.col("now"))
+    return every.agg(F.max(off)).first()[0] or 0.0
+
+
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int | None = None) -> DataFrame:
     """(source, lang, topic, tokens) cells with ``weight``, raked to the targets."""
     targets = targets or {}
     cells = written(cells.filter("tokens > 0"), "cells")
@@ -91,16 +106,23 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, s
         target = wanted.filter(F.col("dim") == d).select(F.col("category").alias(d), (F.col("share") / F.lit(sums.get(d) or 1.0)).alias(f"target_{d}"))
         state = state.join(target, d)
     state = written(state, "targets")
-    for _ in range(sweeps):
+    for done in range(1, (MOST_SWEEPS if sweeps is None else sweeps) + 1):
         for d in DIMENSIONS:
             now = state.groupBy(d).agg(F.sum("weight").alias("now"))
             factor = F.when(F.col("now") > 0, F.col(f"target_{d}") / F.col("now")).otherwise(0.0)
             state = state.join(now, d).withColumn("weight", F.col("weight") * factor).drop("now")
         state = written(state, "raked")
+        if sweeps is None and done >= SWEEPS:
+            off = miss(state)
+            if off <= TOLERANCE:
+                break
+    else:
+        if sweeps is None:
+            raise ValueError(f"after {MOST_SWEEPS} sweeps a share is still off its target by {off:.2g} of it (tolerance {TOLERANCE}): the cells cannot meet the targets together")
     return state.select(*DIMENSIONS, "tokens", "weight")
 
 
-def probabilities(counted: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+def probabilities(counted: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int | None = None) -> DataFrame:
     """(source, lang, topic, probability) of the cells of ``counted`` (keyed rows with ``__tokens``)."""
     cells = counted.groupBy(*[F.col(f"__{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("__tokens").alias("tokens"))
     ratio = rake(cells, targets, sweeps).withColumn("ratio", F.col("weight") / F.col("tokens"))
@@ -115,7 +137,7 @@ def decided(docs: DataFrame, cells: DataFrame, id_col: str = "doc_id", seed: str
     return out.withColumn("__sampled", uniform(F.col(id_col), seed) < F.col("__p"))
 
 
-def report(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", sweeps: int = SWEEPS, seed: str = SEED) -> DataFrame:
+def report(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", sweeps: int | None = None, seed: str = SEED) -> DataFrame:
     """Per row: id, cell, tokens, probability and decision."""
     rows = keyed(docs).select(F.col(id_col), *[f"__{d}" for d in DIMENSIONS], n_words(F.col("text")).alias("__tokens"))
     rows = written(rows, "counted")
@@ -123,7 +145,7 @@ def report(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None,
     return out.select(id_col, *[F.col(f"__{d}").alias(d) for d in DIMENSIONS], F.col("__tokens").alias("n_tokens"), F.col("__p").alias("probability"), F.col("__sampled").alias("sampled"))
 
 
-def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", sweeps: int = SWEEPS, seed: str = SEED) -> DataFrame:
+def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", sweeps: int | None = None, seed: str = SEED) -> DataFrame:
     """The sampled rows of ``docs``, with its columns."""
     rows = keyed(docs)
     cells = probabilities(rows.select(*[f"__{d}" for d in DIMENSIONS], n_words(F.col("text")).alias("__tokens")), targets, sweeps)

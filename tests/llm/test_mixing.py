@@ -41,6 +41,25 @@ def test_raking_meets_given_targets(spark):
         assert sums == pytest.approx(shares[d], rel=1e-3)
 
 
+def test_default_raking_goes_on_until_the_targets_are_met(spark):
+    rows = [(s, g, t, 1000.0 if (i, j) in ((0, 0), (1, 1)) else 1.0) for i, s in enumerate("ab") for j, g in enumerate(("en", "fr")) for t in ("x", "y")]
+    df = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+    targets = {"source": {"a": 0.8, "b": 0.2}, "lang": {"en": 0.6, "fr": 0.4}, "topic": {"x": 0.5, "y": 0.5}}
+    shares = [targets[d] for d in M.DIMENSIONS]
+    off = lambda w: max(abs(sum(x for k, x in w.items() if k[d] == c) / share - 1) for d in range(3) for c, share in shares[d].items())
+    assert off(raked(rows, shares, M.SWEEPS)) > 100 * M.TOLERANCE
+    got = {(r["source"], r["lang"], r["topic"]): r["weight"] for r in M.rake(df, targets).collect()}
+    assert off(got) <= M.TOLERANCE
+    assert M.rake(df.limit(0)).count() == 0
+
+
+def test_targets_that_cannot_be_met_raise(spark, monkeypatch):
+    monkeypatch.setattr(M, "MOST_SWEEPS", 8)
+    df = spark.createDataFrame([("a", "en", "x", 5.0), ("b", "fr", "x", 5.0)], "source string, lang string, topic string, tokens double")
+    with pytest.raises(ValueError, match="cannot meet"):
+        M.rake(df, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.5, "fr": 0.5}})
+
+
 def test_categories_without_a_share_get_none(spark):
     _, df = cells(spark)
     got = M.rake(df, {"topic": {"x": 1.0}}, sweeps=2).collect()
