@@ -74,6 +74,13 @@ def test_good_documents_stay(spark):
     assert Q.keep_good(kept.limit(0)).count() == 0
 
 
+def test_script_counts_all_letters():
+    assert Q.script_of(("ж" + "abc") * 400) == "latin"  # every fourth character is Cyrillic
+    assert Q.script_of((" " + "где") * 400) == "cyrillic"
+    assert Q.script_of("1 2 3 " * 400 + "ab") == "latin"
+    assert Q.script_of("") == "other" and Q.script_of("12 \U0001f600") == "other"
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(Q, "CACHE_WORDS", 3)
     args = (P.path(Q.PIECES), P.path(Q.BYTES), Q.DEFAULT_BANDS)
