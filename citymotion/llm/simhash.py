@@ -18,8 +18,9 @@ all others, and two that are linked to the smallest are linked to each other thr
 so no link between groups is lost and the work stays linear.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other;
-rows with a null id keep a fingerprint and get a null component; repeated ids with
-different texts join their groups; an empty table gives an empty result.  Groups of equal
+rows with a null id keep a fingerprint and get a null component; each text of a repeated
+id is in its own text's group (groups with one smallest id share its component_id, but
+``keep_first`` tells them apart); an empty table gives an empty result.  Groups of equal
 fingerprints are collapsed before the search, so a group of copies with a third of all
 rows is one entry.
 """
@@ -138,24 +139,31 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGM
     return fetched.unionByName(linked).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """(``id_col``, fp, component_id) per row: the smallest id in the group of rows whose
-    fingerprints are connected by links of ``max_bits`` or fewer differing bits."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int, **more: Column) -> DataFrame:
+    """(``id_col``, fp, ``more``, root, component_id) per row; each group has its own root."""
     small_batches(docs.sparkSession)
-    prints = written(docs.select(F.col(id_col), simhash(F.col(text_col), shingle_words).alias("fp")), "prints")
+    prints = written(docs.select(F.col(id_col), simhash(F.col(text_col), shingle_words).alias("fp"), *[c.alias(name) for name, c in more.items()]), "prints")
     firsts = prints.groupBy("fp").agg(F.min(id_col).alias("first_id"))
     roots = components(written(near_links(written(firsts.select("fp"), "distinct"), max_bits), "near"))
     classes = firsts.join(roots, firsts["fp"] == roots["node"], "left").select(firsts["fp"].alias("fp"), F.coalesce("root", firsts["fp"]).alias("root"), "first_id")
-    # a repeated id ties its fingerprints together
     groups = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = classes.join(groups, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(id_col, "fp", F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id"))
+    named = classes.join(groups, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp").select(id_col, "fp", *more, "root", F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each group of near-duplicates, the one with the smallest id, with the
-    columns of ``docs``.  Of repeated ids one row stays; rows with a null id all stay."""
-    groups = near_duplicates(docs, id_col, text_col, **options)
-    first = groups.filter(F.col(id_col) == F.col("component_id")).select(id_col)
-    named = docs.filter(F.col(id_col).isNotNull()).join(first, id_col, "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """(``id_col``, fp, component_id) per row: the smallest id in the group of rows whose
+    fingerprints are connected by links of ``max_bits`` or fewer differing bits."""
+    return _grouped(docs, id_col, text_col, shingle_words, max_bits).select(id_col, "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group of near-duplicates, the one with the smallest id, then
+    fingerprint, then text hash, with the columns of ``docs``.  An id whose texts are in
+    several groups can stay once for each; of rows with equal id and text one stays; rows
+    with a null id all stay."""
+    text_hash = F.xxhash64(F.col(text_col))
+    rows = _grouped(docs, id_col, text_col, shingle_words, max_bits, __hash=text_hash).filter(F.col(id_col) == F.col("component_id"))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col(id_col), F.col("fp"), F.col("__hash"))).alias("m")).select(F.col("m")[id_col].alias(id_col), F.col("m.__hash").alias("__hash"))
+    named = docs.filter(F.col(id_col).isNotNull()).withColumn("__hash", text_hash).join(first, [id_col, "__hash"], "left_semi").dropDuplicates([id_col, "__hash"])
+    return named.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)

@@ -88,3 +88,15 @@ def test_long_chain_and_star(spark):
 def test_odd_radius_is_refused(spark):
     with pytest.raises(ValueError):
         S.near_links(spark.range(3).selectExpr("id AS fp"), max_bits=3)
+
+
+def test_each_text_of_a_repeated_id_counts(spark):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    near, far, other = (" ".join(random.Random(k).choices(words, k=60)) for k in (1, 2, 3))
+    rows = [(3, near, "a"), (7, near, "b"), (7, far, "c"), (7, other, "d"), (7, other, "d"), (8, other, "e")]
+    assert all((plain_fingerprint(a) ^ plain_fingerprint(b)).bit_count() > 2 for a, b in ((near, far), (near, other), (far, other)))
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, source string").repartition(3)
+        first = S.keep_first(df)
+        assert first.columns == df.columns
+        assert sorted(map(tuple, first.collect())) == sorted([(3, near, "a"), (7, far, "c"), (7, other, "d")])
