@@ -45,7 +45,7 @@ LAYOUTS = 500
 TREES, DEPTH, RATE, BINS = 50, 4, 0.25, 32
 SEED = 6
 
-SKIPPED = frozenset("script style noscript template svg math iframe object select textarea title".split())
+SKIPPED = frozenset("script style noscript template svg iframe select textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 KINDS = {
     "html": 0, "body": 0, "article": 1, "main": 2, "section": 3, "div": 4, "p": 5, "h1": 6, "h2": 7, "h3": 7, "h4": 7, "h5": 7, "h6": 7,
@@ -171,6 +171,8 @@ class Page(HTMLParser):
         self._open(tag, groups, gold)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "svg":  # empty, also inside another one
+            return
         if tag in VOID or tag not in KINDS and tag not in SKIPPED:
             if not self.skip and tag == "br":
                 self.pieces.append((self.block, self.stack[-1], " "))

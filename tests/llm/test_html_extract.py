@@ -60,6 +60,13 @@ def test_blocks_and_references():
     assert text("<title>no</title><p>unfinished <a href='") == "unfinished"
 
 
+def test_self_closed_svg_and_math_are_empty():
+    text = lambda h: H.plain_text(h)
+    assert text("<p>a <svg class='i'/>b</p><p>c <math/>d</p>") == "a b c d"
+    assert text("<p>a</p><svg><svg/>no<g/></svg><p>b</p>") == "a b"
+    assert text("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p><object>c</object>") == "a x=2 b c"
+
+
 def test_decoding_is_the_most_likely_consistent_labelling():
     rng = np.random.default_rng(3)
     for _ in range(60):
