@@ -12,7 +12,12 @@ Reading: every archive is one row of the ``binaryFile`` source, parsed member by
 or record by record (plain).  When a check fails (version line, header, length, end of
 record, member checksum, payload digest) the reader searches for the next position where
 a whole valid member or record starts, goes on there, and logs the bytes between as a
-quarantined gap with the reason.  Archives must stay under the 2 GB of that source.
+quarantined gap with the reason.  Inside a member the same search runs over the inflated
+bytes: valid records beside a bad one stay, and each gap is logged with the member's place
+and the inflated bytes in its reason.  Of a member that is cut off or damaged, the
+records inflated before the error follow the gap; they have passed the checks of a plain
+record.  A header ends at the end of the data or the next version line at the latest.
+Archives must stay under the 2 GB of that source.
 
 Defined results: null html is an empty payload; a null id is written as ``null`` and read
 back as null, and never is what a revisit refers to; rows that repeat the smallest id are
@@ -35,7 +40,7 @@ from citymotion.llm.common import ship_package
 
 MIN_SHARED = 100
 ARCHIVE_BYTES = 256 << 20
-HEADER_LIMIT = 1 << 16
+INFLATED_PART = 1 << 14
 BREAK = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:page:"
@@ -87,6 +92,7 @@ def write_warc(pages: DataFrame, path: str, min_shared: int = MIN_SHARED, archiv
 
 _END = b"\r\n\r\n"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_HEADER_END = re.compile(rb"\r\n(?:(\r\n)|(?=WARC/1\.[01]\r\n))")
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
@@ -99,9 +105,10 @@ def _plain(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     m = _VERSION.match(data, at)
     if not m:
         raise Damaged("no version line")
-    stop = data.find(_END, m.end() - 2, m.end() + HEADER_LIMIT)
-    if stop < 0:
+    ended = _HEADER_END.search(data, m.end() - 2)
+    if not ended or not ended.group(1):
         raise Damaged("header has no end")
+    stop = ended.start()
     headers: dict[str, str] = {}
     for raw in data[m.end() : stop].split(b"\r\n"):
         name, colon, value = raw.partition(b":")
@@ -130,47 +137,65 @@ def payload_of(headers: dict[str, str], block: bytes) -> bytes:
     return block
 
 
-def _member(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records of the gzip member at ``at`` and its end."""
+def _inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` holds, its end and what is wrong with it; if it is
+    damaged, all that was inflated before the error and the place of the error."""
     d = zlib.decompressobj(31)
     try:
         inner = d.decompress(memoryview(data)[at:])
-    except zlib.error as e:
-        raise Damaged("gzip member is damaged") from e
-    if not d.eof:
-        raise Damaged("gzip member has no end")
-    found, pos = [], 0
-    while pos < len(inner):
-        headers, block, pos = _plain(inner, pos)
-        found.append((headers, block))
-    return found, len(data) - len(d.unused_data)
-
-
-def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes | None, str | None]]:
+        return inner, len(data) - len(d.unused_data), None if d.eof else "gzip member has no end"
+    except zlib.error:
+        pass
+    d, parts, size = zlib.decompressobj(31), [], INFLATED_PART
+    while True:
+        before = d.copy()
+        try:
+            parts.append(d.decompress(data[at : at + size]))
+            at += size
+        except zlib.error:  # again byte by byte, up to the error
+            if size == 1:
+                return b"".join(parts), at, "gzip member is damaged"
+            d, size = before, 1
+
+
+def salvage(data: bytes, packed: bool = True) -> Iterator[tuple[int, int, dict[str, str] | None, bytes | None, str | None]]:
     """(offset, length, headers, block, None) of each valid record, in order, and
-    (offset, length, None, None, reason) of each gap that was quarantined."""
+    (offset, length, None, None, reason) of each gap that was quarantined.  Gzip members
+    are looked for if ``packed``; records that a damaged one gave follow its gap."""
+    start = _START if packed else _VERSION
     at, bad, reason = 0, None, None
+    rescued, known, inflated_to = [], set(), 0
     while at < len(data):
         try:
-            if data.startswith(b"\x1f\x8b", at):
-                records, end = _member(data, at)
+            if packed and data.startswith(b"\x1f\x8b", at):
+                inner, end, wrong = _inflated(data, at)
+                rows = [(at, end - at, h, b, why and f"{why} (inflated bytes {o} to {o + n} of a gzip member)") for o, n, h, b, why in salvage(inner, False)]
+                if wrong:
+                    rescued += [r for r in rows if r[2] is not None]
+                    known.update((tuple(r[2].items()), r[3]) for r in rescued)
+                    inflated_to = max(inflated_to, end)
+                    raise Damaged(wrong)
             else:
                 headers, block, end = _plain(data, at)
-                records = [(headers, block)]
+                rows = [(at, end - at, headers, block, None)]
+                if at < inflated_to and (tuple(headers.items()), block) in known:
+                    at = end  # a stored block of the member: this record has been inflated
+                    continue
         except Damaged as e:
             if bad is None:
                 bad, reason = at, str(e)
-            m = _START.search(data, at + 1)
+            m = start.search(data, at + 1)
             at = m.start() if m else len(data)
             continue
         if bad is not None:
             yield bad, at - bad, None, None, reason
-            bad = None
-        for headers, block in records:
-            yield at, end - at, headers, block, None
+            yield from rescued
+            bad, rescued, known, inflated_to = None, [], set(), 0
+        yield from rows
         at = end
     if bad is not None:
         yield bad, len(data) - bad, None, None, reason
+        yield from rescued
 
 
 READ = "path string, offset long, length long, headers map<string,string>, block binary, payload binary, quarantined string"

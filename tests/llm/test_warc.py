@@ -69,6 +69,32 @@ def test_salvage_gzip_members():
     assert found[4][2] == "gzip member has no end" and found[4][1] == len(m[3]) - 3
 
 
+def test_salvage_inside_gzip_members():
+    body = [hashlib.sha256(bytes([i, k])).digest() for i in range(6) for k in range(40)]
+    r = [rec(i, b"".join(body[40 * i : 40 * i + 40])) for i in range(6)]
+    names = [f"<urn:page:{i}>" for i in range(6)]
+    hurt = r[2].replace(b"Content-Length: 1280", b"Content-Length: 1281")
+    one = gzip.compress(b"".join(r[:2] + [hurt] + r[3:]), mtime=0)
+    found = ids(one + gzip.compress(r[0], mtime=0))
+    start, end = sum(map(len, r[:2])), sum(map(len, r[:3]))
+    why = f"record does not end after its content length (inflated bytes {start} to {end} of a gzip member)"
+    assert found == names[:2] + [(0, len(one), why)] + names[3:] + names[:1]
+    for level in (0, 9):
+        whole = gzip.compress(b"".join(r), level, mtime=0)
+        bad_sum = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
+        assert ids(bad_sum + gzip.compress(r[0], mtime=0)) == [(0, len(whole), "gzip member is damaged"), *names, names[0]]
+        cut = len(whole) * 3 // 4
+        assert ids(whole[:cut]) == [(0, cut, "gzip member has no end"), *names[:4]]
+
+
+def test_headers_may_be_long():
+    url = "http://a/" + "x" * 200_000 + "WARC/1.1"
+    long = rec(2, b"two").replace(b"WARC-Type", f"WARC-Target-URI: {url}\r\nWARC-Type".encode())
+    assert ids(rec(1, b"one") + long + rec(3, b"three")) == [f"<urn:page:{i}>" for i in (1, 2, 3)]
+    open_end = b"WARC/1.0\r\nWARC-Type: resource\r\n"
+    assert ids(open_end + rec(1, b"one")) == [(0, len(open_end), "header has no end"), "<urn:page:1>"]
+
+
 def test_gaps_are_logged(spark, tmp_path):
     good, bad = rec(1, b"one"), rec(2, b"two").replace(b"two\r\n\r\n", b"tw")
     (tmp_path / "x.warc").write_bytes(good + bad + rec(3, b"three"))
