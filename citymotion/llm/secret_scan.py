@@ -2,9 +2,11 @@
 
 Base kinds (leftmost, non-overlapping per kind): ``assign``, ``access``, ``hex``.
 
-Added kind ``random``: maximal runs of 20 or more encoding characters that touch no base
-span and whose encoding can be inferred (decimal, hex, base32, base36, base62, base64,
-base64url; runs of plain words have none).  Each run takes three tests of the hypothesis
+Added kind ``random``: maximal runs of 20 or more encoding characters, base spans cut out
+of them, whose encoding can be inferred (decimal, hex, base32, base36, base62, base64,
+base64url; runs of plain words have none).  What has no encoding is split at the characters
+foreign to base64, base64url and base62, each in turn, and the parts of 20 characters or
+more are runs too; they may overlap.  Each run takes three tests of the hypothesis
 "drawn at random from this alphabet": chi-squared uniformity of the symbols
 (Wilson-Hilferty), Wald-Wolfowitz runs about the alphabet's middle, and lag-1 serial
 correlation; Fisher's method joins the three p-values.
@@ -62,6 +64,8 @@ ASSIGN = r"(%s|%s|%s|%s|%s_?%s)" % tuple(map(_either, ("password", "passwd", "se
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # what 'AKIA[A-Z0-9]+' finds, without those under 20 characters
 HEX = r"[0-9a-f]{24,}"  # likewise: a maximal run is matched from its start
 RUN = r"[A-Za-z0-9+/_-]{20,}"
+LEAST_RUN = 20
+PARTS = (r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9_-]{20,}", r"[A-Za-z0-9]{20,}")
 
 
 def _sum(a: Column) -> Column:
@@ -117,20 +121,21 @@ def _tail(z: Column) -> Column:
     return F.greatest(F.exp(-z * z / 2) * 0.3989422804014327 * poly, F.lit(1e-18))
 
 
+def _encoding(tok: Column) -> Column:
+    out = F.lit(-1)
+    for i in reversed(range(len(ENCODINGS))):
+        out = F.when(tok.rlike("^(?:" + ENCODINGS[i][2] + ")$"), F.lit(i)).otherwise(out)
+    return out
+
+
 def _scored(runs: Column) -> Column:
     """Of each usable run: start, end, stratum (encoding and length band), bin of -ln p."""
     symbols = F.array(*[F.lit(e[1]) for e in ENCODINGS])
     least = F.array(*[F.lit(e[3]) for e in ENCODINGS])
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
 
-    def encoding(tok: Column) -> Column:
-        out = F.lit(-1)
-        for i in reversed(range(len(ENCODINGS))):
-            out = F.when(tok.rlike("^(?:" + ENCODINGS[i][2] + ")$"), F.lit(i)).otherwise(out)
-        return out
-
     def coded(s: Column) -> Column:
-        return _let(encoding(s["token"]), lambda e: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["token"].alias("token"), e.alias("enc")))
+        return _let(_encoding(s["token"]), lambda e: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["token"].alias("token"), e.alias("enc")))
 
     def values(s: Column) -> Column:
         alphabet = symbols[s["enc"]]
@@ -186,21 +191,52 @@ def _scored(runs: Column) -> Column:
     return F.transform(usable, lambda s: _let(values(s), lambda v: _let(moments(v), tested)))
 
 
+def _pieces(text: Column, base: Column) -> Column:
+    """The pieces of all runs outside the base spans (sorted by start)."""
+    none = F.expr("array()").cast("array<struct<start:bigint,end:bigint>>")
+
+    def piece(token: Column, offset: Column, a: Column, z: Column) -> Column:
+        return F.struct(a.alias("start"), z.alias("end"), F.substring(token, (a - offset + 1).cast("int"), (z - a).cast("int")).alias("token"))
+
+    def outside(r: Column, base: Column) -> Column:
+        span = lambda a, z: F.struct(a.alias("start"), z.alias("end"))
+        cuts = F.concat(F.transform(F.filter(base, lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"])), lambda b: span(b["start"], b["end"])), F.array(span(r["end"], r["end"])))
+        step = lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.when(b["start"] - acc["at"] >= LEAST_RUN, F.concat(acc["out"], F.array(span(acc["at"], b["start"])))).otherwise(acc["out"]).alias("out"))
+        kept = F.aggregate(cuts, F.struct(r["start"].alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+        return F.transform(kept, lambda k: piece(r["token"], r["start"], k["start"], k["end"]))
+
+    return _let(base, lambda base: F.flatten(F.transform(_matches(text, 3, RUN), lambda r: outside(r, base))))
+
+
+def _parts(pieces: Column) -> Column:
+    """Each piece itself if it has an encoding, else its parts in each alphabet."""
+
+    def parts(p: Column) -> Column:
+        found = F.concat(*[_matches(p["token"], 3, pattern) for pattern in PARTS])
+        placed = F.transform(found, lambda m: F.struct((p["start"] + m["start"]).alias("start"), (p["start"] + m["end"]).alias("end"), m["token"].alias("token")))
+        return F.when(_encoding(p["token"]) >= 0, F.array(p)).otherwise(F.array_distinct(placed))
+
+    return F.flatten(F.transform(pieces, parts))
+
+
 def _spans_and_runs(text: Column) -> Column:
-    """Struct of the base spans and of the scored runs that touch none of them."""
+    """Struct of the base spans and of the scored runs outside them."""
+    return _let(_base(text), lambda base: F.struct(base.alias("base"), _scored(_parts(_pieces(text, base))).alias("runs")))
 
-    def with_runs(base: Column) -> Column:
-        free = F.filter(_matches(text, 3, RUN), lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"])))
-        return F.struct(base.alias("base"), _scored(free).alias("runs"))
 
-    return _let(_base(text), with_runs)
+def _with_runs(docs: DataFrame, text: Column) -> DataFrame:
+    """The same in the columns ``__base`` and ``__runs``, in steps: within larger expressions
+    ``_spans_and_runs`` has too many levels for Spark's analyzer."""
+    df = docs.withColumn("__base", _base(text)).withColumn("__pieces", _pieces(text, F.col("__base")))
+    df = df.withColumn("__parts", _parts(F.col("__pieces")))
+    return df.withColumn("__runs", _scored(F.col("__parts"))).drop("__pieces", "__parts")
 
 
 def thresholds(docs: DataFrame, text_col: str = "text", q: float = Q) -> dict[int, int]:
     """For each (encoding, length band) the least bin that Benjamini-Hochberg rejects."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     some = docs.select(text.alias("text")).filter(F.col("text").rlike(RUN))
-    bins = some.select(F.explode(_spans_and_runs(F.col("text"))["runs"]).alias("r")).groupBy(F.col("r.stratum").alias("stratum"), F.col("r.bin").alias("bin")).agg(F.count("*").alias("n"))
+    bins = _with_runs(some, F.col("text")).select(F.explode("__runs").alias("r")).groupBy(F.col("r.stratum").alias("stratum"), F.col("r.bin").alias("bin")).agg(F.count("*").alias("n"))
     by = Window.partitionBy("stratum")  # at most MAX_BIN + 1 rows in each
     ranked = bins.withColumn("rank", F.sum("n").over(by.orderBy(F.desc("bin")))).withColumn("m", F.sum("n").over(by))
     edge = F.exp(-F.col("bin") / BINS_PER_E)
@@ -216,11 +252,9 @@ def with_spans(docs: DataFrame, text_col: str = "text", q: float = Q) -> DataFra
     table = F.create_map(*[F.lit(x) for kv in sorted((cut or {-1: 0}).items()) for x in kv])
     as_span = lambda s, kind: F.struct(s["start"].alias("start"), kind.alias("kind"), s["end"].alias("end"))
 
-    def kept(f: Column) -> Column:
-        keys = F.filter(f["runs"], lambda r: r["bin"] < F.coalesce(F.try_element_at(table, r["stratum"]), F.lit(MAX_BIN + 1)))
-        return F.array_sort(F.concat(F.transform(f["base"], lambda s: as_span(s, s["kind"])), F.transform(keys, lambda s: as_span(s, F.lit(3)))))
-
-    return docs.withColumn("secret_spans", _let(_spans_and_runs(text), kept))
+    keys = F.filter("__runs", lambda r: r["bin"] < F.coalesce(F.try_element_at(table, r["stratum"]), F.lit(MAX_BIN + 1)))
+    spans = F.array_sort(F.concat(F.transform("__base", lambda s: as_span(s, s["kind"])), F.transform(keys, lambda s: as_span(s, F.lit(3)))))
+    return _with_runs(docs, text).withColumn("secret_spans", spans).drop("__base", "__runs")
 
 
 def _named(spans: Column) -> Column:

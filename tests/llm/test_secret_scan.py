@@ -89,6 +89,22 @@ def test_battery_matches_numpy(spark):
     assert row["bin"] == math.floor(p_value(KEY36, symbols) * S.BINS_PER_E)
 
 
+def test_keys_beside_foreign_characters_and_base_spans(spark):
+    rng = random.Random(11)
+    key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    key64 = "".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(60)) + "+/"
+    embedded = "0123456789abcdef01234567"
+    texts = [f"GET /path-name/{key} ok", f"x_y-{key64}-z", f"{key}G{embedded}Z{key[::-1]}", "/the-long/winding-road/home-again/and-again"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"].split(",") for r in S.report(df).collect()}
+    assert "random:15:55" in got[0]
+    assert "random:4:66" in got[1]
+    assert got[2] == ["random:0:41", "hex:41:65", "random:65:106"]
+    assert got[3] == [""]
+    redacted = {r["doc_id"]: r["text"] for r in S.redact(df).collect()}
+    assert all(k not in redacted[i] for i, k in ((0, key), (1, key64), (2, key)))
+
+
 def test_redaction_and_empty(spark):
     df = spark.createDataFrame([(i, t, len(t or ""), "x") for i, t in EDGE], "doc_id long, text string, n_chars long, spans string")
     out = S.redact(df, length_col="n_chars")
