@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm import bottomk, bpe, chat, html_extract, mixing, quality, repeats, secret_scan, simhash, warc
+from citymotion.llm import bottomk, bpe, chat, html_extract, mixing, quality, repeats, resample, secret_scan, sharding, simhash, vector_codes, warc
 from citymotion.llm.common import shared_path, table, written
 
 
@@ -90,6 +90,18 @@ def op10_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assigned(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_secret_scans": op2_secret_scans,
@@ -101,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_bottom_k_fingerprints": op10_bottom_k_fingerprints,
+    "op11_sharding": op11_sharding,
+    "op12_vector_code_compression": op12_vector_code_compression,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {
@@ -108,4 +123,7 @@ ORACLE: dict[str, str] = {
     "op2_secret_scans": secret_scan.oracle(),
     "op3_warc": OP3_SQL,
     "op4_chat_formatting": OP4_SQL,
+    "op11_sharding": sharding.oracle(),
+    "op12_vector_code_compression": vector_codes.oracle(),
+    "op13_importance_resampling": resample.oracle(),
 }
