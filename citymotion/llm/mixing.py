@@ -3,16 +3,18 @@
 Token weights of the cells (source, language, topic) are raked by iterative proportional
 fitting: each sweep scales the cells of every source, then language, then topic, to its
 target share.  There are ``SWEEPS`` sweeps at least, and more until every share is within
-``TOLERANCE`` of its target, relatively; ``MOST_SWEEPS`` without that (targets that the cells
-cannot meet, mostly) raise.  A number of sweeps that the caller gives is done as it is,
-unchecked.  A document's probability is its cell's raked weight over its cell's tokens,
+``TOLERANCE`` of its target, relatively.  ``MOST_SWEEPS`` without that raise for targets that the
+caller gave (the cells cannot meet them together, mostly); default targets never raise, and
+``fit`` returns how far the largest miss still is.  A number of sweeps that the caller
+gives is done as it is, unchecked.  A document's probability is its cell's raked weight over its cell's tokens,
 scaled so that the largest is 1; ``sampled`` compares it with a number in [0, 1) that
 an MD5 of seed and id gives, so a decision never depends on partitions or reruns.
 
-Targets: a dict of shares per dimension, or by default the corpus's own token shares
-tempered with a power (``ALPHAS``), which lifts small sources, languages and topics.  Shares of
-categories that the corpus lacks are spread over the others; categories without a given
-share get 0.
+Targets: a dict of shares per dimension.  By default each cell's tokens are tempered with
+the power ``ALPHA``, which lifts small cells, and a dimension's targets are the marginal of the
+tempered cells: these exist together by construction, whatever goes with what (sources
+in one language each, one source only).  Shares of categories that the corpus lacks are
+spread over the others; categories without a given share get 0.
 
 The cells are counted with map-side aggregation, so a source with a third of all rows is a
 few partial rows; raking works on cells only, in files of the shared folder.  Cells are
@@ -37,7 +39,7 @@ SWEEPS = 6
 TOLERANCE = 1e-4
 MOST_SWEEPS = 200  # a guard that fails
 SEED = "mix-1"
-ALPHAS = {"source": 0.8, "lang": 0.9, "topic": 1.0}
+ALPHA = 0.8
 DIMENSIONS = ("source", "lang", "topic")
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 # surface topics, first match wins
@@ -83,23 +85,21 @@ def miss(state: DataFrame) -> float:
     return every.agg(F.max(off)).first()[0] or 0.0
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int | None = None) -> DataFrame:
-    """(source, lang, topic, tokens) cells with ``weight``, raked to the targets."""
+def fit(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int | None = None) -> tuple[DataFrame, float]:
+    """(source, lang, topic, tokens) cells with ``weight``, raked to the targets, and the
+    largest relative miss of a target that is left."""
     targets = targets or {}
     cells = written(cells.filter("tokens > 0"), "cells")
     totals = None
     for d in DIMENSIONS:
-        t = cells.select(F.lit(d).alias("dim"), F.col(d).alias("category"), "tokens")
+        t = cells.select(F.lit(d).alias("dim"), F.col(d).alias("category"), F.pow(F.col("tokens").cast("double"), F.lit(ALPHA)).alias("tempered"))
         totals = t if totals is None else totals.unionByName(t)
-    share = F.lit(None).cast("double")
+    share = F.col("tempered")
     for d in DIMENSIONS:
         if d in targets:
             given = F.create_map(*[F.lit(x) for kv in targets[d].items() for x in (kv[0], float(kv[1]))])
-            own = F.coalesce(F.try_element_at(given, F.col("category")), F.lit(0.0))
-        else:
-            own = F.pow(F.col("tokens").cast("double"), F.lit(ALPHAS[d]))
-        share = F.when(F.col("dim") == d, own).otherwise(share)
-    wanted = written(totals.groupBy("dim", "category").agg(F.sum("tokens").alias("tokens")).withColumn("share", share), "wanted")
+            share = F.when(F.col("dim") == d, F.coalesce(F.try_element_at(given, F.col("category")), F.lit(0.0))).otherwise(share)
+    wanted = written(totals.groupBy("dim", "category").agg(F.sum("tempered").alias("tempered")).withColumn("share", share), "wanted")
     sums = {r["dim"]: r["s"] for r in wanted.groupBy("dim").agg(F.sum("share").alias("s")).collect()}  # three rows
     state = cells.withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMENSIONS:
@@ -112,23 +112,29 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, s
             factor = F.when(F.col("now") > 0, F.col(f"target_{d}") / F.col("now")).otherwise(0.0)
             state = state.join(now, d).withColumn("weight", F.col("weight") * factor).drop("now")
         state = written(state, "raked")
-        if sweeps is None and done >= SWEEPS:
-            off = miss(state)
-            if off <= TOLERANCE:
-                break
+        if sweeps is None and done >= SWEEPS and (off := miss(state)) <= TOLERANCE:
+            break
     else:
-        if sweeps is None:
+        off = miss(state)
+        if sweeps is None and targets:
             raise ValueError(f"after {MOST_SWEEPS} sweeps a share is still off its target by {off:.2g} of it (tolerance {TOLERANCE}): the cells cannot meet the targets together")
-    return state.select(*DIMENSIONS, "tokens", "weight")
+    return state.select(*DIMENSIONS, "tokens", "weight"), off
+
+
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int | None = None) -> DataFrame:
+    """The cells of ``fit``."""
+    return fit(cells, targets, sweeps)[0]
 
 
-def probabilities(counted: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int | None = None) -> DataFrame:
-    """(source, lang, topic, probability) of the cells of ``counted`` (keyed rows with ``__tokens``)."""
+def probabilities(counted: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int | None = None) -> tuple[DataFrame, float]:
+    """(source, lang, topic, probability) of the cells of ``counted`` (keyed rows with
+    ``__tokens``), and the miss of ``fit``."""
     cells = counted.groupBy(*[F.col(f"__{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("__tokens").alias("tokens"))
-    ratio = rake(cells, targets, sweeps).withColumn("ratio", F.col("weight") / F.col("tokens"))
+    raked, off = fit(cells, targets, sweeps)
+    ratio = raked.withColumn("ratio", F.col("weight") / F.col("tokens"))
     most = ratio.agg(F.max("ratio")).first()[0] or 1.0
     out = ratio.select(*[F.col(d).alias(f"__{d}") for d in DIMENSIONS], F.round(F.col("ratio") / F.lit(most), 9).alias("__p"))
-    return broadcast_if_bounded(out, out.count(), CELL_BYTES)
+    return broadcast_if_bounded(out, out.count(), CELL_BYTES), off
 
 
 def decided(docs: DataFrame, cells: DataFrame, id_col: str = "doc_id", seed: str = SEED) -> DataFrame:
@@ -138,39 +144,49 @@ def decided(docs: DataFrame, cells: DataFrame, id_col: str = "doc_id", seed: str
 
 
 def report(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", sweeps: int | None = None, seed: str = SEED) -> DataFrame:
-    """Per row: id, cell, tokens, probability and decision."""
+    """Per row: id, cell, tokens, probability, decision, and whether all targets are met."""
     rows = keyed(docs).select(F.col(id_col), *[f"__{d}" for d in DIMENSIONS], n_words(F.col("text")).alias("__tokens"))
     rows = written(rows, "counted")
-    out = decided(rows, probabilities(rows, targets, sweeps), id_col, seed)
-    return out.select(id_col, *[F.col(f"__{d}").alias(d) for d in DIMENSIONS], F.col("__tokens").alias("n_tokens"), F.col("__p").alias("probability"), F.col("__sampled").alias("sampled"))
+    cells, off = probabilities(rows, targets, sweeps)
+    out = decided(rows, cells, id_col, seed)
+    return out.select(
+        id_col, *[F.col(f"__{d}").alias(d) for d in DIMENSIONS], F.col("__tokens").alias("n_tokens"),
+        F.col("__p").alias("probability"), F.col("__sampled").alias("sampled"), F.lit(off <= TOLERANCE).alias("targets_met"),
+    )
 
 
 def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", sweeps: int | None = None, seed: str = SEED) -> DataFrame:
     """The sampled rows of ``docs``, with its columns."""
     rows = keyed(docs)
-    cells = probabilities(rows.select(*[f"__{d}" for d in DIMENSIONS], n_words(F.col("text")).alias("__tokens")), targets, sweeps)
+    cells, _ = probabilities(rows.select(*[f"__{d}" for d in DIMENSIONS], n_words(F.col("text")).alias("__tokens")), targets, sweeps)
     return decided(rows, cells, id_col, seed).filter("__sampled").select(*docs.columns)
 
 
-def oracle(source: str = "documents", sweeps: int = SWEEPS, seed: str = SEED) -> str:
-    """DuckDB SQL of ``report`` with the default targets."""
+def oracle(source: str = "documents", seed: str = SEED) -> str:
+    """DuckDB SQL of ``report`` with the default targets and the same rule to stop."""
     case = " ".join(f"WHEN contains(coalesce(text, ''), '{mark}') THEN '{name}'" for name, mark in TOPICS)
     parts = [
         f"""rows_ AS (SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang, CASE {case} ELSE '{ELSE_TOPIC}' END AS topic,
   CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '{WORD_BREAK}'), lambda x: x <> '')) AS BIGINT) AS n_tokens FROM {source})""",
-        "w0 AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens, CAST(sum(n_tokens) AS DOUBLE) AS weight FROM rows_ GROUP BY ALL HAVING sum(n_tokens) > 0)",
+        f"c0 AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens, pow(sum(n_tokens), {ALPHA}) AS tempered FROM rows_ GROUP BY ALL HAVING sum(n_tokens) > 0)",
+        "cells AS MATERIALIZED (SELECT *, " + ", ".join(f"sum(tempered) OVER (PARTITION BY {d}) / sum(tempered) OVER () AS t_{d}" for d in DIMENSIONS) + " FROM c0)",
     ]
+    step, targets = "raked", ", ".join(f"t_{d}" for d in DIMENSIONS)
     for d in DIMENSIONS:
-        parts.append(f"t_{d} AS (SELECT {d}, share / sum(share) OVER () AS target FROM (SELECT {d}, pow(sum(tokens), {ALPHAS[d]}) AS share FROM w0 GROUP BY {d}))")
-    k = 0
-    for _ in range(sweeps):
-        for d in DIMENSIONS:
-            parts.append(f"w{k + 1} AS MATERIALIZED (SELECT w.source, w.lang, w.topic, w.tokens, w.weight * (t.target / sum(w.weight) OVER (PARTITION BY w.{d})) AS weight FROM w{k} w JOIN t_{d} t ON w.{d} = t.{d})")
-            k += 1
-    parts.append(f"p AS (SELECT source, lang, topic, round((weight / tokens) / (SELECT max(weight / tokens) FROM w{k}), 9) AS probability FROM w{k})")
+        step = f"(SELECT sweep, source, lang, topic, tokens, {targets}, off, weight * (t_{d} / sum(weight) OVER (PARTITION BY {d})) AS weight FROM {step})"
+        if d == DIMENSIONS[0]:
+            step = step.replace("FROM raked)", f"FROM raked WHERE sweep < {SWEEPS} OR (off > {TOLERANCE} AND sweep < {MOST_SWEEPS}))")
+    off = ", ".join(f"abs(sum(weight) OVER (PARTITION BY {d}) / t_{d} - 1)" for d in DIMENSIONS)
+    parts += [
+        f"""raked AS (SELECT 0 AS sweep, source, lang, topic, tokens, {targets}, CAST(1 AS DOUBLE) AS off, tokens AS weight FROM cells
+  UNION ALL SELECT sweep + 1, source, lang, topic, tokens, {targets}, max(miss) OVER () AS off, weight FROM (SELECT *, greatest({off}) AS miss FROM {step}))""",
+        "done AS MATERIALIZED (SELECT * FROM raked WHERE sweep = (SELECT max(sweep) FROM raked))",
+        "p AS (SELECT source, lang, topic, off, round((weight / tokens) / (SELECT max(weight / tokens) FROM done), 9) AS probability FROM done)",
+    ]
     number = f"CAST(CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(r.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0"
     return (
-        "WITH " + ",\n".join(parts) + f"""
-SELECT r.doc_id, r.source, r.lang, r.topic, r.n_tokens, coalesce(p.probability, 0.0) AS probability, {number} < coalesce(p.probability, 0.0) AS sampled
+        "WITH RECURSIVE " + ",\n".join(parts) + f"""
+SELECT r.doc_id, r.source, r.lang, r.topic, r.n_tokens, coalesce(p.probability, 0.0) AS probability, {number} < coalesce(p.probability, 0.0) AS sampled,
+  coalesce((SELECT max(off) FROM p), 0) <= {TOLERANCE} AS targets_met
 FROM rows_ r LEFT JOIN p ON r.source = p.source AND r.lang = p.lang AND r.topic = p.topic"""
     )

@@ -98,3 +98,35 @@ def test_sql_gives_the_same_rows(spark, docs_rows):
     want = con.execute(M.oracle()).df().sort_values("doc_id").reset_index(drop=True)
     got = M.report(spark.read.parquet(f"{sf}/documents.parquet")).toPandas().sort_values("doc_id").reset_index(drop=True)
     assert got.to_dict("records") == want[list(got.columns)].to_dict("records")
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(f"s{i % 2 if i % 10 else 2}", f"l{i % 2 if i % 10 else 2}") for i in range(300)],  # each source in its own language
+        [("only", "en")] * 50,
+        [("only", f"l{i % 4}") for i in range(60)],
+        [("a", "en")] * 90 + [("b", "fr")] * 10,
+    ],
+)
+def test_default_targets_never_contradict(spark, rows):
+    df = spark.createDataFrame([(i, "w " * (1 + i % 7) + ("@" if i % 9 == 0 else ""), *r) for i, r in enumerate(rows)], "doc_id long, text string, source string, lang string")
+    out = M.report(df).collect()
+    assert len(out) == len(rows) and all(r["targets_met"] for r in out)
+    weight, tokens = defaultdict(float), defaultdict(float)
+    for r in out:
+        weight[r["source"]] += r["probability"] * r["n_tokens"]
+        tokens[r["source"], r["lang"], r["topic"]] += r["n_tokens"]
+    tempered = defaultdict(float)
+    for (s, _, _), n in tokens.items():
+        tempered[s] += n**M.ALPHA
+    for s in weight:
+        assert weight[s] / sum(weight.values()) == pytest.approx(tempered[s] / sum(tempered.values()), rel=2 * M.TOLERANCE)
+
+
+def test_unfinished_default_fit_is_reported(spark, monkeypatch):
+    monkeypatch.setattr(M, "MOST_SWEEPS", 1)
+    monkeypatch.setattr(M, "TOLERANCE", 0.0)
+    _, df = cells(spark)
+    raked_cells, off = M.fit(df)
+    assert raked_cells.count() == df.count() and 0 < off < 1
