@@ -191,10 +191,10 @@ def parse_collisions(raw: DataFrame, *, years: Sequence[int] | None = DEFAULT_YE
     if "_id" in raw.columns:
         cid = F.col("_id").try_cast("long")
     else:
-        # surrogate ids 1..n in file order, counted after the year filter
+        # surrogate ids 1..n in file order (a quoted CSV is one task per file), counted after the year filter
         from citymotion.sources.common import with_ordinal
 
-        df = with_ordinal(df, "_ord")
+        df = with_ordinal(df, "_ord", ["path"] if "path" in raw.columns else None)
         cid = (F.col("_ord") + 1).cast("long")
     cols = {
         "collision_id": cid,

@@ -845,4 +845,4 @@ def q_route_widths_static(spark, sf):
     return w.select("route_id", F.round("value", 6).alias("value"), F.round("width", 6).alias("width"))
 
 
-from citymotion.plans import registry_io  # noqa: E402, F401  registers its queries
+from citymotion.plans import registry_io, registry_raw  # noqa: E402, F401  register their queries

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citymotion.plans import adapters as A
@@ -153,28 +153,27 @@ def _rounded(columns):
     return ", ".join(f"round({c}, 6) AS {c}" if c in ROUND6 else c for c in columns)
 
 
+def placed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a written Parquet folder with ``place``, their place in its files in name order.
+    The files' offsets are a table of one row per file, joined on the name."""
+    files = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = files.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return files.join(starts, "_file").withColumn("place", (F.col("_start") + F.col("_row")).cast("long")).drop("_file", "_row", "_start")
+
+
 @register(
     "clean_panel_sorted",
     O.with_ctes(O.PANEL_DEPS + [O.CLEAN], f"SELECT {_rounded(CLEAN_COLUMNS)}, row_number() OVER (ORDER BY ts_local, route_id) - 1 AS place FROM clean"),
 )
 def q_clean_panel_sorted(spark, sf):
     """Written by the sink in (ts_local, route_id) order; ``place`` is the row's place in the files."""
-    from citymotion.sources.common import with_ordinal
     from citymotion.sources.sinks import write_table
 
     path = write_table(cleaned(spark, sf), scratch(spark, "clean-sorted"), order_by=["ts_local", "route_id"])
-    files = spark.read.parquet(path)
-    # a file is one split here or several in order; names rise with the range
-    placed = with_ordinal(files.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")), "_scan")
-    sizes = placed.groupBy("_file").agg(F.max("_row").alias("_last"))
-    starts = {}
-    total = 0
-    for r in sorted(sizes.collect(), key=lambda r: r["_file"].split("-")[1]):  # a row per file
-        starts[r["_file"]] = total
-        total += r["_last"] + 1
-    offset = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("_file")) if starts else F.lit(0)
     cols = [F.round(c, 6).alias(c) if c in ROUND6 else F.col(c) for c in CLEAN_COLUMNS]
-    return placed.select(*cols, (offset + F.col("_row")).cast("long").alias("place"))
+    return placed_rows(spark, path).select(*cols, "place")
 
 
 @register("qa_json_roundtrip", O.with_ctes(O.PANEL_DEPS, "SELECT count(*) AS n_rows, count(DISTINCT route_id) AS n_routes, CAST(min(year) AS BIGINT) AS year_min, CAST(max(year) AS BIGINT) AS year_max FROM panel"))

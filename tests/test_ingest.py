@@ -174,7 +174,7 @@ def test_dbf_deleted_and_blank():
 
     data = dbf_bytes([("a", "C", 4, 0), ("n", "N", 4, 0)], [("x", "1"), ("y", " "), ("z", "3")], deleted={1})
     f = decode_dbf(data)
-    assert list(f["a"]) == ["x", "z"] and list(f["n"]) == [1, 3] and list(f["record"]) == [0, 2]
+    assert f["a"].to_pylist() == ["x", "z"] and f["n"].to_pylist() == [1, 3] and f["record"].to_pylist() == [0, 2]
 
 
 def test_shapefile_vertices(spark, tmp):  # S7: trimmed ids, empty dropped, duplicate -> last
