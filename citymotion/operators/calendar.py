@@ -11,6 +11,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citymotion.operators.intervals import ancestors, cover, day_number
+
 # fixed values: calendar kinds and the groups the day features use
 HOLIDAY_KINDS = ("public_holiday", "civic_holiday")
 MEGA_KINDS = ("mega_event", "parade", "shopping_peak", "school_break")
@@ -59,48 +61,65 @@ def assert_valid(entries: DataFrame) -> None:
         raise ValueError(f"calendar entries with end_date before start_date: {[r.id for r in bad]}")
 
 
-def entry_days(entries: DataFrame) -> DataFrame:
-    """One row per (entry, active day) — the per-day index."""
-    e = prepare_calendar(entries)
-    return e.select(
-        "*",
-        F.explode(
-            F.when(
-                F.col("end_date") >= F.col("start_date"),
-                F.sequence(F.col("start_date"), F.col("end_date"), F.expr("INTERVAL 1 DAY")),
-            ).otherwise(F.array().cast("array<date>"))
-        ).alias("date"),
-    )
+# Entries of one block of the config order; the lists that one task sorts are no longer.
+BLOCK_ENTRIES = 1024
+LISTS = (("holiday_names", "name", HOLIDAY_KINDS), ("mega_event_names", "name", MEGA_KINDS), ("event_ids", "id", None))
 
 
-def _names_of(entries: F.Column, field: str, kinds: tuple[str, ...] | None) -> F.Column:
-    picked = entries if kinds is None else F.filter(entries, lambda e: e["kind"].isin(*kinds))
-    return F.array_join(F.transform(picked, lambda e: e[field]), "|")
+def _block(entries: DataFrame, per_block: int) -> F.Column:
+    """The block of an entry: ranges of ``pos`` with about ``per_block`` entries each.  Their
+    bounds are quantiles of ``pos``; entries of one ``pos`` are in one block."""
+    n = entries.count()
+    blocks = -(-n // per_block)
+    if blocks <= 1:
+        return F.lit(0)
+    cuts = entries.agg(F.percentile_approx("pos", [k / blocks for k in range(1, blocks)], max(10_000, 10 * blocks))).first()[0]
+    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts or []))])
+    return F.size(F.filter(bounds, lambda c: c < F.col("pos")))
 
 
-def day_features(entries: DataFrame) -> DataFrame:
+def day_features(entries: DataFrame, days: DataFrame | None = None, *, per_block: int = BLOCK_ENTRIES) -> DataFrame:
     """Features for each day that has at least one active entry.
 
-    One sorted list of ``(pos, name, id, kind)`` per day is collected (its
-    length is the number of entries active that day); name, id and kind
-    strings are derived from it in config order.
+    Entries are put under the dyadic nodes that cover their range and aggregated there;
+    each day looks up the nodes that hold it (J6), so work does not grow with the
+    intervals' lengths.  Ordered lists are built in two levels: inside blocks of the config
+    order, where a day's nodes are merged (a block is short, whatever the day), and then
+    over the blocks of a day, whose texts are joined in order.  A day with a third of all
+    entries is as many groups as it has blocks.  ``days`` (``date``) limits the days; by
+    default all from the first start to the last end.
     """
-    days = entry_days(entries)
+    e = prepare_calendar(entries).where(F.col("start_date").isNotNull() & (F.col("end_date") >= F.col("start_date")))
+    if days is None:
+        days = e.agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi")).where("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
+    covered = e.select("pos", "name", "id", "kind", _block(e, per_block).alias("_block"), F.explode(cover(day_number(F.col("start_date")), day_number(F.col("end_date")))).alias("_n"))
     flags = [F.bool_or(F.col("kind").isin(*kinds)).alias(name) for name, kinds in FLAG_KINDS.items()]
-    agg = days.groupBy("date").agg(
-        *flags,
-        F.count(F.lit(1)).alias("n_civic_events"),
-        F.array_sort(F.collect_list(F.struct("pos", "name", "id", "kind"))).alias("_e"),
+    nodes = covered.groupBy("_n.level", "_n.node", "_block").agg(
+        *flags, F.count(F.lit(1)).alias("_count"), F.collect_set("kind").alias("_kinds"), F.collect_list(F.struct("pos", "name", "id", "kind")).alias("_e")
+    )
+    held = days.where(F.col("date").isNotNull()).select("date", F.explode(ancestors(day_number(F.col("date")))).alias("_n")).select("date", "_n.level", "_n.node")
+    both = [F.bool_or(name).alias(name) for name in FLAG_KINDS] + [F.sum("_count").alias("_count")]
+    merged = held.join(nodes, ["level", "node"]).groupBy("date", "_block").agg(
+        *both, F.array_distinct(F.flatten(F.collect_list("_kinds"))).alias("_kinds"), F.array_sort(F.flatten(F.collect_list("_e"))).alias("_e")
     )
-    e = F.col("_e")
-    return agg.select(
+
+    def text(field: str, kinds: tuple[str, ...] | None) -> F.Column:
+        """The block's texts in order; NULL if it has none, so that it adds no separator."""
+        picked = F.col("_e") if kinds is None else F.filter("_e", lambda x: x["kind"].isin(*kinds))
+        texts = F.filter(F.transform(picked, lambda x: x[field]), lambda t: t.isNotNull())
+        return F.when(F.size(texts) > 0, F.array_join(texts, "|"))
+
+    def joined(name: str) -> F.Column:
+        return F.array_join(F.transform("_texts", lambda t: t[name]), "|").alias(name)
+
+    blocks = merged.select("date", *FLAG_KINDS, "_count", "_kinds", F.struct("_block", *[text(field, kinds).alias(name) for name, field, kinds in LISTS]).alias("_texts"))
+    out = blocks.groupBy("date").agg(*both, F.flatten(F.collect_list("_kinds")).alias("_kinds"), F.array_sort(F.collect_list("_texts")).alias("_texts"))
+    return out.select(
         "date",
         *FLAG_KINDS,
-        "n_civic_events",
-        _names_of(e, "name", HOLIDAY_KINDS).alias("holiday_names"),
-        _names_of(e, "name", MEGA_KINDS).alias("mega_event_names"),
-        _names_of(e, "id", None).alias("event_ids"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform(e, lambda x: x["kind"]))), "|").alias("event_kinds"),
+        F.col("_count").alias("n_civic_events"),
+        *[joined(name) for name, _, _ in LISTS],
+        F.array_join(F.array_sort(F.array_distinct("_kinds")), "|").alias("event_kinds"),
     )
 
 
@@ -125,7 +144,7 @@ def civic_days(
     if end_date is not None:
         bounds = bounds.withColumn("hi", F.lit(end_date))
     spine = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
-    feats = day_features(e)
+    feats = day_features(e, spine)
     out = spine.join(feats, "date", "left")
     fills = {name: F.coalesce(F.col(name), F.lit(False)) for name in FLAG_KINDS}
     fills["n_civic_events"] = F.coalesce(F.col("n_civic_events"), F.lit(0)).cast("long")
@@ -136,8 +155,8 @@ def civic_days(
 
 def features_for_dates(entries: DataFrame, dates: DataFrame, date_col: str = "date") -> DataFrame:
     """Day features for arbitrary dates / timestamps (P29): uses the calendar date as given."""
-    feats = day_features(entries)
     d = dates.withColumn("_day", F.to_date(F.col(date_col)))
+    feats = day_features(entries, d.select(F.col("_day").alias("date")).distinct())
     out = d.join(feats.withColumnRenamed("date", "_day"), "_day", "left").drop("_day")
     fills = {name: F.coalesce(F.col(name), F.lit(False)) for name in FLAG_KINDS}
     fills["n_civic_events"] = F.coalesce(F.col("n_civic_events"), F.lit(0)).cast("long")

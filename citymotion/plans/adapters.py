@@ -163,6 +163,25 @@ def calendar_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Days that an order's entry lasts: most a week or so, one of 61 over a year, one of 997 over 50 years.
+ORDER_DAYS = "CASE WHEN o_orderkey % 997 = 0 THEN 18300 WHEN o_orderkey % 61 = 0 THEN 400 ELSE o_orderkey % 9 END"
+
+
+def order_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One calendar entry per order, unfolded: the calendar is as large as the table and a
+    day's entries grow with it; some entries last years, and their order is not that of the
+    dates."""
+    o = table(spark, sf_dir, "orders").withColumn("_start", _shifted(F.col("o_orderdate")))
+    return o.select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.concat(F.substring("o_orderpriority", 1, 1), F.lit("-"), (F.col("o_orderkey") % 1000).cast("string")).alias("name"),
+        F.expr(CALENDAR_KIND).alias("kind"),
+        F.col("_start").alias("start_date"),
+        F.date_add("_start", F.expr(ORDER_DAYS).cast("int")).alias("end_date"),
+        (F.col("o_orderkey") * 7919 % 1000003 * 10000000 + F.col("o_orderkey")).alias("pos"),
+    )
+
+
 def festival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Festival-like intervals: an order runs from its date to its last ship date."""
     o = table(spark, sf_dir, "orders")

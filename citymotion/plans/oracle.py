@@ -79,6 +79,19 @@ CAL = """cal AS (
         FROM orders GROUP BY 1, 2, 3)
 )"""
 
+# the same name as CAL, so that CIVIC reads it: one entry per order
+ORDER_CAL = """cal AS (
+  SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS id, substr(o_orderpriority, 1, 1) || '-' || CAST(o_orderkey % 1000 AS VARCHAR) AS name,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'public_holiday' WHEN '2-HIGH' THEN 'civic_holiday'
+              WHEN '3-MEDIUM' THEN 'mega_event' WHEN '4-NOT SPECIFIED' THEN 'parade'
+              ELSE CASE WHEN o_orderstatus = 'F' THEN 'shopping_peak' ELSE 'school_break' END END AS kind,
+         CAST(CAST(o_orderdate AS DATE) + INTERVAL 348 MONTH AS DATE) AS start_date,
+         CAST(CAST(o_orderdate AS DATE) + INTERVAL 348 MONTH AS DATE)
+           + CAST(CASE WHEN o_orderkey % 997 = 0 THEN 18300 WHEN o_orderkey % 61 = 0 THEN 400 ELSE o_orderkey % 9 END AS INTEGER) AS end_date,
+         o_orderkey * 7919 % 1000003 * 10000000 + o_orderkey AS pos
+  FROM orders
+)"""
+
 CIVIC = """cal_days AS (
   SELECT c.*, CAST(t.d AS DATE) AS date
   FROM cal c, LATERAL unnest(generate_series(CAST(c.start_date AS TIMESTAMP), CAST(c.end_date AS TIMESTAMP), INTERVAL 1 DAY)) AS t(d)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citymotion.plans import adapters as A
 from citymotion.plans import oracle as O
-from citymotion.plans.registry import NORM_DEPS, PANEL_COLUMNS, buckets, normative, register, vertices, _COLL_SQL, _collision_rows
+from citymotion.plans.registry import NORM_DEPS, PANEL_COLUMNS, PANEL_SRC, STEPS_CTE, TRAIN_YEAR, _COLL_SQL, _collision_rows, buckets, cleaned, normative, panel, register, vertices
 from citymotion.plans.registry_io import placed_rows, scratch
 
 # ---------------------------------------------------------------- S1, S2, P1-P4: archives of CSV members
@@ -101,6 +101,14 @@ def q_collisions_without_id(spark, sf):
     return p.select("collision_id", "ts_utc", "year", "hour", "is_injury", "fatalities")
 
 
+# ---------------------------------------------------------------- J6, A11, A12 on a calendar as large as a table
+@register("civic_days_orders", O.with_ctes([O.ORDER_CAL, O.CIVIC], "SELECT * FROM civic"))
+def q_civic_days_orders(spark, sf):
+    from citymotion.operators.calendar import civic_days
+
+    return civic_days(A.order_entries(spark, sf))
+
+
 # ---------------------------------------------------------------- S9 panel without an incident table
 NO_INCIDENTS = "0 AS n_collisions, 0 AS n_injury_collisions, 0 AS n_fatal_collisions, CAST(NULL AS DOUBLE) AS min_dist_to_route_m"
 
@@ -182,3 +190,51 @@ def q_recon_score_features(spark, sf):
     hats = [f"_hat_{c}" for c in FEATURE_COLS]
     n = sum((F.col(c).isNotNull() & F.col(h).isNotNull()).cast("long") for c, h in zip(FEATURE_COLS, hats))
     return reconstruction_score(rows, FEATURE_COLS, hats).select("route_id", "ts_utc", F.round("score", 5).alias("score"), n.alias("n_compared"))
+
+
+# ---------------------------------------------------------------- N2 with its option, N4 dense grid
+# The derived calendar has entries on every day, so the flags are set by the day of the month.
+FLAGS = {"is_holiday": "day(ts_local) % 7 = 0", "is_parade": "day(ts_local) % 11 = 3", "is_mega_event": "false", "is_shopping_peak": "false", "is_school_break": "NULL"}
+_SPECIAL = "(" + " OR ".join(f"coalesce({c}, false)" for c in FLAGS) + ")"
+_NORM_ORDINARY = (
+    O.normative_cte(TRAIN_YEAR)
+    .replace("AND obs_travel),", f"AND obs_travel AND NOT {_SPECIAL}),")
+    .replace("coalesce(wx_precip_mm > 2.5, false), false)", f"coalesce(wx_precip_mm > 2.5, false) AND NOT {_SPECIAL}, false)")
+    .replace("FROM clean", "FROM flagged")
+)
+_FLAGGED = f"flagged AS (SELECT * REPLACE ({', '.join(f'CAST({e} AS BOOLEAN) AS {c}' for c, e in FLAGS.items())}) FROM clean)"
+
+
+@register(
+    "normative_mask_ordinary",
+    O.with_ctes(PANEL_SRC + [O.CLEAN, _FLAGGED, _NORM_ORDINARY], "SELECT route_id, ts_utc, round(delay_threshold, 6) AS delay_threshold, round(baseline_delay_s, 6) AS baseline_delay_s, is_normative FROM normative"),
+)
+def q_normative_mask_ordinary(spark, sf):
+    """Days with a civic entry are neither fitted nor normative."""
+    from citymotion.operators.scoring import normative_mask
+
+    rows = cleaned(spark, sf).withColumns({c: F.expr(e).cast("boolean") for c, e in FLAGS.items()})
+    n = normative_mask(rows, train_years=[TRAIN_YEAR], ordinary_calendar=True)
+    return n.select("route_id", "ts_utc", F.round("delay_threshold", 6).alias("delay_threshold"), F.round("baseline_delay_s", 6).alias("baseline_delay_s"), "is_normative")
+
+
+@register(
+    "dense_grid",
+    O.with_ctes(
+        O.PANEL_DEPS
+        + [
+            STEPS_CTE,
+            "places AS (SELECT route_id, x, CAST(floor(epoch(step_utc) / 300) AS BIGINT) AS k FROM steps)",
+            "span AS (SELECT min(k) // 288 * 288 AS k0, (max(k) // 288 + 1) * 288 AS k1 FROM places)",
+            "gaps AS (SELECT *, coalesce(lead(k) OVER (PARTITION BY route_id ORDER BY k), k1) - k - 1 AS gap FROM places, span)",
+        ],
+        """SELECT route_id, CAST(any_value(k1 - k0) AS BIGINT) AS n_steps, count(*) AS n_observed, CAST(min(k) - any_value(k0) AS BIGINT) AS n_before_first,
+       CAST(max(gap) AS BIGINT) AS longest_gap, CAST(sum(gap * (gap + 1) / 2) AS BIGINT) AS sum_since, count(*) FILTER (WHERE k % 2 = 1) AS n_odd_places, round(sum(x), 5) AS sum_x
+FROM gaps GROUP BY route_id""",
+    ),
+)
+def q_dense_grid(spark, sf):
+    """The whole grid (corridors x five-minute steps of all days), summed up per corridor."""
+    from citymotion.operators.scoring import dense_grid, grid_summary, step_series
+
+    return grid_summary(dense_grid(step_series(panel(spark, sf))), ["x"]).withColumn("sum_x", F.round("sum_x", 5))
