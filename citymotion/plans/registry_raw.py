@@ -238,3 +238,54 @@ def q_dense_grid(spark, sf):
     from citymotion.operators.scoring import dense_grid, grid_summary, step_series
 
     return grid_summary(dense_grid(step_series(panel(spark, sf))), ["x"]).withColumn("sum_x", F.round("sum_x", 5))
+
+
+# ---------------------------------------------------------------- T4, T5 with own state, over several micro-batches
+DAYS = ((1, 10), (11, 20), (21, 31))  # a file stream's batches, in time order
+
+
+def _in_batches(spark, sf):
+    """The events as a stream of several micro-batches (one written folder each)."""
+    e = A.table(spark, sf, "events")
+    path = scratch(spark, "event-batches")
+    for low, high in DAYS:
+        part = e.where(F.dayofmonth("ts").between(low, high))
+        (part if low > 1 else part.unionByName(e.where("ts IS NULL"))).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+_CUT = "(SELECT date_trunc('millisecond', max(ts_utc)) - INTERVAL 2 HOUR FROM obs)"
+
+
+@register(
+    "stream_trailing_steps",
+    O.with_ctes(
+        [O.OBS, STEPS_CTE.replace("FROM panel", "FROM obs")],
+        f"""SELECT e.route_id, e.step_utc AS window_end, count(*) AS n_steps, count(*) = 12 AS is_complete,
+       round(avg(s.x), 6) AS mean_x, arg_min(s.x, s.step_utc) AS first_x, arg_max(s.x, s.step_utc) AS last_x
+FROM steps e JOIN steps s ON e.route_id = s.route_id AND s.step_utc BETWEEN e.step_utc - INTERVAL 55 MINUTE AND e.step_utc
+WHERE e.step_utc + INTERVAL 5 MINUTE <= {_CUT} GROUP BY 1, 2""",
+    ),
+)
+def q_stream_trailing_steps(spark, sf):
+    """Batch N6 from a stream; the state holds each step once."""
+    from citymotion.plans.registry_io import drained
+    from citymotion.streaming.stateful import trailing_steps_stream
+
+    w = drained(trailing_steps_stream(A.observations(spark, sf, _in_batches(spark, sf))), "stream-steps")
+    return w.select(
+        "route_id", "window_end", "n_steps", "is_complete", F.round("mean_x", 6).alias("mean_x"),
+        F.get("history", 0).alias("first_x"), F.get("history", F.size("history") - 1).alias("last_x"),
+    )
+
+
+@register("stream_upsert_rows", O.with_ctes([O.OBS], "SELECT route_id, ts_utc, max(src_pos) AS src_pos, arg_max(travel_time_s, src_pos) AS travel_time_s FROM obs GROUP BY ALL"))
+def q_stream_upsert_rows(spark, sf):
+    """Batch W2 as a table that micro-batches are merged into."""
+    from citymotion.streaming.stateful import LatestTable, upsert_stream
+
+    path = scratch(spark, "stream-upsert")
+    rows = A.observations(spark, sf, _in_batches(spark, sf)).select("route_id", "ts_utc", "src_pos", "travel_time_s")
+    table = LatestTable(spark, path, ["route_id", "ts_utc"], ["src_pos"], "ts_utc")
+    upsert_stream(rows, table, path.rsplit("/", 1)[1], available_now=True).awaitTermination()
+    return table.read()
