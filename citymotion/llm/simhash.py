@@ -160,10 +160,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group of near-duplicates, the one with the smallest id, then
     fingerprint, then text hash, with the columns of ``docs``.  An id whose texts are in
-    several groups can stay once for each; of rows with equal id and text one stays; rows
-    with a null id all stay."""
+    several groups can stay once for each; of rows with equal id and text the one whose other
+    columns come first as JSON stays; rows with a null id all stay."""
     text_hash = F.xxhash64(F.col(text_col))
     rows = _grouped(docs, id_col, text_col, shingle_words, max_bits, __hash=text_hash).filter(F.col(id_col) == F.col("component_id"))
     first = rows.groupBy("root").agg(F.min(F.struct(F.col(id_col), F.col("fp"), F.col("__hash"))).alias("m")).select(F.col("m")[id_col].alias(id_col), F.col("m.__hash").alias("__hash"))
-    named = docs.filter(F.col(id_col).isNotNull()).withColumn("__hash", text_hash).join(first, [id_col, "__hash"], "left_semi").dropDuplicates([id_col, "__hash"])
+    named = docs.filter(F.col(id_col).isNotNull()).withColumn("__hash", text_hash).join(first, [id_col, "__hash"], "left_semi")
+    rest = F.to_json(F.struct(*[F.col(c) for c in sorted(docs.columns) if c not in (id_col, text_col)] or [F.lit(0).alias("none")]))
+    named = named.groupBy(id_col, "__hash").agg(F.min_by(F.struct(*docs.columns), rest).alias("__row")).select("__row.*")
     return named.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)

@@ -100,3 +100,14 @@ def test_each_text_of_a_repeated_id_counts(spark):
         first = S.keep_first(df)
         assert first.columns == df.columns
         assert sorted(map(tuple, first.collect())) == sorted([(3, near, "a"), (7, far, "c"), (7, other, "d")])
+
+
+def test_the_row_that_stays_does_not_depend_on_partitions(spark):
+    words = "one two three four five six seven"
+    rows = [(1, words, s, {"k": s}) for s in ("b", "a", "c")] + [(2, words, "z", None), (3, "other text of its own here", "y", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, tags map<string,string>")
+    for n in (1, 3, 7):
+        kept = sorted((r["doc_id"], r["source"]) for r in S.keep_first(df.repartition(n, "source")).collect())
+        assert kept == [(1, "a"), (3, "y")]
+    one = spark.createDataFrame([(1, "x"), (1, "x"), (None, None)], "doc_id long, text string")
+    assert S.keep_first(one).count() == 2
