@@ -6,7 +6,9 @@ are plain strings, so Spark's text sink writes the archives (the two line breaks
 record are its line separator); its committer makes retried tasks safe.  Rows per file are
 limited by the longest payload, so that no archive passes ``ARCHIVE_BYTES`` (one record
 may).  Equal payloads are found on digests with map-side aggregation; only digests that
-occur twice are joined back, and Spark may split a hot one.
+occur twice are joined back.  They are written and counted, and broadcast when their
+exact number proves them small, so payloads are not shuffled; beyond that Spark shuffles
+both sides and may split a hot digest.
 
 Reading: every archive is one row of the ``binaryFile`` source, parsed member by member (gzip)
 or record by record (plain).  When a check fails (version line, header, length, end of
@@ -16,7 +18,9 @@ quarantined gap with the reason.  Inside a member the same search runs over the
 bytes: valid records beside a bad one stay, and each gap is logged with the member's place
 and the inflated bytes in its reason.  Of a member that is cut off or damaged, the
 records inflated before the error follow the gap; they have passed the checks of a plain
-record.  A header ends at the end of the data or the next version line at the latest.
+record.  A member is inflated up to ``INFLATED_MOST`` bytes; one that holds more is treated
+like a damaged one there: the records up to that place follow the gap.
+A header ends at the end of the data or the next version line at the latest.
 Archives must stay under the 2 GB of that source.
 
 Defined results: null html is an empty payload; a null id is written as ``null`` and read
@@ -36,11 +40,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citymotion.llm.common import ship_package
+from citymotion.llm.common import ship_package, written
+from citymotion.session import broadcast_if_bounded
 
 MIN_SHARED = 100
 ARCHIVE_BYTES = 256 << 20
 INFLATED_PART = 1 << 14
+INFLATED_MOST = 1 << 30
+DIGEST_BYTES = 160  # of a broadcast digest with its id
 BREAK = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:page:"
@@ -51,7 +58,8 @@ def with_types(pages: DataFrame, min_shared: int = MIN_SHARED) -> DataFrame:
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("payload")).select("*", F.octet_length("payload").cast("long").alias("bytes"), F.sha2("payload", 256).alias("digest"))
     shared = rows.filter(F.col("bytes") >= min_shared).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    shared = shared.filter("n > 1 AND first IS NOT NULL").select("digest", "first")
+    shared = written(shared.filter("n > 1 AND first IS NOT NULL").select("digest", "first"), "shared")
+    shared = broadcast_if_bounded(shared, shared.count(), DIGEST_BYTES)
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return rows.join(shared, "digest", "left").select(
         "page_id", "url", "payload", "bytes", "digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to")
@@ -139,19 +147,23 @@ def payload_of(headers: dict[str, str], block: bytes) -> bytes:
 
 def _inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
     """What the gzip member at ``at`` holds, its end and what is wrong with it; if it is
-    damaged, all that was inflated before the error and the place of the error."""
+    damaged or too large, all that was inflated before and the place of the error."""
     d = zlib.decompressobj(31)
     try:
-        inner = d.decompress(memoryview(data)[at:])
+        inner = d.decompress(memoryview(data)[at:], INFLATED_MOST)
+        if d.unconsumed_tail:
+            return inner, len(data) - len(d.unconsumed_tail), f"gzip member holds over {INFLATED_MOST} bytes"
         return inner, len(data) - len(d.unused_data), None if d.eof else "gzip member has no end"
     except zlib.error:
         pass
-    d, parts, size = zlib.decompressobj(31), [], INFLATED_PART
+    d, parts, size, held = zlib.decompressobj(31), [], INFLATED_PART, 0
     while True:
         before = d.copy()
         try:
-            parts.append(d.decompress(data[at : at + size]))
-            at += size
+            parts.append(d.decompress(data[at : at + size], INFLATED_MOST))
+            at, held = at + size, held + len(parts[-1])
+            if held >= INFLATED_MOST:
+                return b"".join(parts), at, "gzip member is damaged"
         except zlib.error:  # again byte by byte, up to the error
             if size == 1:
                 return b"".join(parts), at, "gzip member is damaged"

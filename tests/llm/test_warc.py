@@ -101,3 +101,18 @@ def test_gaps_are_logged(spark, tmp_path):
     rows = W.read_warc(spark, f"file://{tmp_path}").orderBy("offset").collect()
     assert [r["quarantined"] is None for r in rows] == [True, False, True]
     assert rows[1]["offset"] == len(good) and rows[1]["length"] == len(bad) and bytes(rows[2]["payload"]) == b"three"
+
+
+def test_a_member_beyond_the_limit_keeps_the_records_before_it(monkeypatch):
+    import gzip
+
+    monkeypatch.setattr(W, "INFLATED_MOST", 5000)
+    block = b"x" * 700
+    one = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: 700\r\n\r\n" + block + b"\r\n\r\n"
+    records = [one % i for i in range(20)]
+    data = gzip.compress(b"".join(records)) + gzip.compress(records[7])
+    rows = list(W.salvage(data))
+    ids = [h["warc-record-id"] for _, _, h, _, _ in rows if h]
+    whole = 5000 // len(records[0])
+    assert ids[:-1] == [f"<urn:page:{i}>" for i in range(whole)] and ids[-1] == "<urn:page:7>"
+    assert [reason for *_, reason in rows if reason] == ["gzip member holds over 5000 bytes"]
