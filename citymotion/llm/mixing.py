@@ -10,11 +10,12 @@ gives is done as it is, unchecked.  A document's probability is its cell's raked
 scaled so that the largest is 1; ``sampled`` compares it with a number in [0, 1) that
 an MD5 of seed and id gives, so a decision never depends on partitions or reruns.
 
-Targets: a dict of shares per dimension.  By default each cell's tokens are tempered with
-the power ``ALPHA``, which lifts small cells, and a dimension's targets are the marginal of the
-tempered cells: these exist together by construction, whatever goes with what (sources
-in one language each, one source only).  Shares of categories that the corpus lacks are
-spread over the others; categories without a given share get 0.
+Targets: a dict of shares per dimension.  By default each cell's tokens are tempered: scaled
+by the power ``ALPHAS[d] - 1`` of its category's share in each dimension d, which lifts small
+sources and languages; a dimension's targets are the marginal of the tempered cells.
+These exist together by construction, whatever goes with what (sources in one language
+each, one source only).  Shares of categories that the corpus lacks are spread over the
+others; categories without a given share get 0.
 
 The cells are counted with map-side aggregation, so a source with a third of all rows is a
 few partial rows; raking works on cells only, in files of the shared folder.  Cells are
@@ -39,7 +40,7 @@ SWEEPS = 6
 TOLERANCE = 1e-4
 MOST_SWEEPS = 200  # a guard that fails
 SEED = "mix-1"
-ALPHA = 0.8
+ALPHAS = {"source": 0.8, "lang": 0.9, "topic": 1.0}
 DIMENSIONS = ("source", "lang", "topic")
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 # surface topics, first match wins
@@ -90,9 +91,15 @@ def fit(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, sw
     largest relative miss of a target that is left."""
     targets = targets or {}
     cells = written(cells.filter("tokens > 0"), "cells")
+    whole = float(cells.agg(F.sum("tokens")).first()[0] or 1.0)
+    lifted = cells.withColumn("tempered", F.col("tokens").cast("double"))
+    for d in DIMENSIONS:
+        if ALPHAS[d] != 1:
+            share = cells.groupBy(d).agg((F.sum("tokens").cast("double") / F.lit(whole)).alias("__share"))
+            lifted = lifted.join(share, d).withColumn("tempered", F.col("tempered") * F.pow(F.col("__share"), F.lit(ALPHAS[d] - 1))).drop("__share")
     totals = None
     for d in DIMENSIONS:
-        t = cells.select(F.lit(d).alias("dim"), F.col(d).alias("category"), F.pow(F.col("tokens").cast("double"), F.lit(ALPHA)).alias("tempered"))
+        t = lifted.select(F.lit(d).alias("dim"), F.col(d).alias("category"), "tempered")
         totals = t if totals is None else totals.unionByName(t)
     share = F.col("tempered")
     for d in DIMENSIONS:
@@ -168,7 +175,8 @@ def oracle(source: str = "documents", seed: str = SEED) -> str:
     parts = [
         f"""rows_ AS (SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang, CASE {case} ELSE '{ELSE_TOPIC}' END AS topic,
   CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '{WORD_BREAK}'), lambda x: x <> '')) AS BIGINT) AS n_tokens FROM {source})""",
-        f"c0 AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens, pow(sum(n_tokens), {ALPHA}) AS tempered FROM rows_ GROUP BY ALL HAVING sum(n_tokens) > 0)",
+        "c AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens FROM rows_ GROUP BY ALL HAVING sum(n_tokens) > 0)",
+        "c0 AS (SELECT *, tokens" + "".join(f" * pow(sum(tokens) OVER (PARTITION BY {d}) / sum(tokens) OVER (), {ALPHAS[d]} - 1)" for d in DIMENSIONS if ALPHAS[d] != 1) + " AS tempered FROM c)",
         "cells AS MATERIALIZED (SELECT *, " + ", ".join(f"sum(tempered) OVER (PARTITION BY {d}) / sum(tempered) OVER () AS t_{d}" for d in DIMENSIONS) + " FROM c0)",
     ]
     step, targets = "raked", ", ".join(f"t_{d}" for d in DIMENSIONS)

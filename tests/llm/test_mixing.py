@@ -113,13 +113,16 @@ def test_default_targets_never_contradict(spark, rows):
     df = spark.createDataFrame([(i, "w " * (1 + i % 7) + ("@" if i % 9 == 0 else ""), *r) for i, r in enumerate(rows)], "doc_id long, text string, source string, lang string")
     out = M.report(df).collect()
     assert len(out) == len(rows) and all(r["targets_met"] for r in out)
-    weight, tokens = defaultdict(float), defaultdict(float)
+    weight, tokens, by = defaultdict(float), defaultdict(float), defaultdict(float)
     for r in out:
         weight[r["source"]] += r["probability"] * r["n_tokens"]
-        tokens[r["source"], r["lang"], r["topic"]] += r["n_tokens"]
+        tokens[r["source"], r["lang"]] += r["n_tokens"]
+        by["source", r["source"]] += r["n_tokens"]
+        by["lang", r["lang"]] += r["n_tokens"]
+    whole = sum(tokens.values())
     tempered = defaultdict(float)
-    for (s, _, _), n in tokens.items():
-        tempered[s] += n**M.ALPHA
+    for (s, g), n in tokens.items():
+        tempered[s] += n * (by["source", s] / whole) ** (M.ALPHAS["source"] - 1) * (by["lang", g] / whole) ** (M.ALPHAS["lang"] - 1)
     for s in weight:
         assert weight[s] / sum(weight.values()) == pytest.approx(tempered[s] / sum(tempered.values()), rel=2 * M.TOLERANCE)
 
