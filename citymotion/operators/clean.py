@@ -36,7 +36,7 @@ def columns_to_drop(columns: Iterable[str]) -> list[str]:
 def ensure_calendar_fields(panel: DataFrame) -> DataFrame:
     """Re-derive ``dow`` (Mon=0) and ``is_weekend`` from ``ts_local``."""
     if "ts_local" not in panel.columns:
-        raise KeyError("panel must include ts_local to derive calendar fields")
+        raise KeyError("weekday fields come from ts_local, which this table lacks")
     return panel.withColumns(
         {"dow": F.weekday("ts_local").cast("long"), "is_weekend": F.weekday("ts_local").isin(5, 6)}
     )

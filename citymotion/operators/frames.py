@@ -60,10 +60,10 @@ def congestion_buckets(
     cols = ["route_id", "ts_utc", metric]
     missing = [c for c in cols if c not in panel.columns]
     if missing:
-        raise KeyError(f"panel missing columns: {missing}")
+        raise KeyError(f"buckets need the columns {missing}")
     selected = period(panel, start, end)
     if (start is not None or end is not None) and selected.limit(1).count() == 0:
-        raise ValueError("No panel rows in the selected date period")
+        raise ValueError("the period from start to end holds no rows")
     p = selected.select(
         "route_id", bucket_start("ts_utc", freq).alias("bucket_utc"), F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double")).alias("_v")
     )
@@ -72,9 +72,9 @@ def congestion_buckets(
     if max_frames is not None:
         n = out.select("bucket_utc").distinct().count()
         if n == 0:
-            raise ValueError("No panel rows in the selected date period")
+            raise ValueError("the period from start to end holds no rows")
         if n > max_frames:
-            raise ValueError(f"{n} frames exceeds max_frames={max_frames}. Use a coarser interval or a shorter date period.")
+            raise ValueError(f"{n} buckets, but max_frames allows {max_frames}: take wider buckets or fewer days")
     return out.select("bucket_utc", "label", "route_id", "value")
 
 
@@ -139,8 +139,8 @@ def intensity_frames(buckets: DataFrame, vertices: DataFrame) -> DataFrame:
 
     shown = routes_with_geometry(buckets, vertices)
     if shown.limit(1).count() == 0:
-        raise ValueError("No routes with both panel values and geometry")
+        raise ValueError("no route has a value as well as a geometry")
     b = robust_bounds(shown).first()
     if b is None or b.vmin is None:
-        raise ValueError("No finite congestion values in selected period")
+        raise ValueError("all values are missing or not finite")
     return scale_intensity(shown, b.vmin, b.vmax)

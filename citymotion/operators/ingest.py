@@ -35,7 +35,7 @@ def travel_time_archives(spark: SparkSession, folder: str, years: Sequence[int]
     if years is not None:
         files = files.where(F.col("name_year").isin(list(years)))
     if files.limit(1).count() == 0:
-        raise FileNotFoundError(f"No travel-time ZIPs found under {folder}")
+        raise FileNotFoundError(f"{folder} holds no travel-time archive (of the years asked for)")
     return files
 
 
@@ -111,7 +111,7 @@ def normalize_weather(spark: SparkSession, folder: str) -> DataFrame:
     files = list_files(spark, folder, "hourly_*.csv")
     paths = [r.path for r in files.select("path").orderBy("path").collect()]  # the file list only
     if not paths:
-        raise FileNotFoundError(f"No weather CSVs found under {folder}")
+        raise FileNotFoundError(f"{folder} holds no hourly weather file")
     return normalize_weather_rows(read_weather_csv(spark, paths))
 
 

@@ -52,9 +52,9 @@ def aggregate_route_metrics(panel: DataFrame, *, metric: str = "delay_s", agg: s
     per-route memory (:func:`citymotion.operators.quantiles.exact_quantiles`).
     """
     if "route_id" not in panel.columns:
-        raise KeyError("panel must include route_id")
+        raise KeyError("route metrics group by route_id, which this table lacks")
     if metric not in panel.columns:
-        raise KeyError(f"panel missing metric column {metric!r}")
+        raise KeyError(f"there is no column {metric!r} to aggregate")
     if agg in QUANTILE_AGGS:
         from citymotion.operators.quantiles import exact_quantiles
 

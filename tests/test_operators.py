@@ -315,7 +315,7 @@ def test_congestion_frames(spark):  # X19
         period(p, "2016-06-16", "2016-06-15")
     with pytest.raises(ValueError):
         congestion_buckets(p, freq="h", max_frames=2)
-    with pytest.raises(ValueError, match="No panel rows"):
+    with pytest.raises(ValueError, match="holds no rows"):
         congestion_buckets(p, start="2017-01-01", end="2017-01-02", freq="h")
 
 
