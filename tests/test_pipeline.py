@@ -25,7 +25,7 @@ def test_pipeline_all_steps(spark, tmp):
     )
     fe = raw / "festivals_events"
     fe.mkdir()
-    (fe / "fest.xml").write_text(FEST_XML, encoding="utf-8")
+    (fe / "fest.xml").write_text(FEST_XML.replace("2016-07-08", "2014-11-16").replace("July 10, 2016", "November 17, 2014"), encoding="utf-8")
     tc = raw / "traffic_collisions"
     tc.mkdir()
     # 2014-11-16 00:00 EST = 05:00 UTC epoch ms; hour 12 local, 20 m north of the corridor
