@@ -9,26 +9,33 @@ factor, cut at ``length``.
    of equal ones), which depends on its content alone, so equal strings have anchors with
    equal k-grams at equal places.  An anchor owns a run of consecutive strings (about 85),
    and its context is the bytes of that run.  Runs of one context within a text (short
-   periods) are one row.
-2. Only anchors whose k-gram occurs twice go on.  Contexts that occur twice are repeated
-   as a whole.  Of different contexts around one k-gram, one representative each is fetched.
+   periods) are one row.  Hashes of k-grams and contexts only route.
+2. Only anchors whose k-gram occurs twice go on.  Of each context around it the first
+   occurrence is fetched, and the last one too if there are several.
 3. These fragments are sorted by k-gram; groups of them are put into a suffix array (ranks of
    8, 24 and 72 bytes by prefix tripling, then of the full length at the starts of owned
-   strings).  In suffix order, with equal strings by position, the neighbour before is the
-   previous smaller position, i.e. the earlier match, and the one after the later match.
+   strings; equal strings by position) with the common prefixes of neighbours.  For each string
+   the previous and the next entry of smaller position give the longest previous factor, the
+   larger of the least common prefixes on the way; entries of greater position give the
+   longest factor that follows.  Both are cut at ``length``: where one reaches it there is
+   an earlier or a later match.
+4. Occurrences between the first and the last of a context go with them: the first one is
+   their earlier match, the last one their later match.
    A k-gram with over ``CROWDED`` different contexts is not gathered: its strings are counted
    one by one, by 128-bit hashes, with map-side aggregation.
-4. The removed runs meet their text again.
+5. The removed runs meet their text again.
 
-What is shuffled: hashes and positions of anchors (about 30 bytes for 85 of text), fragments
-around the ends of repeats, and the texts twice (compressed).  No task gathers an
+What is shuffled: hashes and positions of anchors (about 30 bytes for 85 of text), one or two
+fragments of each repeated context, and the texts twice (compressed).  No task gathers an
 unbounded group: counts are aggregated map-side, joins can be split by Spark, and groups
-of fragments have at most ``CROWDED`` members.
+of fragments have at most 2 x ``CROWDED`` members (fewer for long strings, so that ranks
+keep to their 21 bits).
 
 Defined results: null text is empty; texts shorter than ``length`` keep everything; repeated rows
 are copies like any others, and null ids are ordinary rows (rows are told apart by a row
 number, not their id; the input has to be re-readable in the same order, as files are);
-an empty table gives an empty result.
+further columns of the input, whatever their names, are not read; an empty table gives an
+empty result; a ``length`` under 8 raises.
 """
 
 from __future__ import annotations
@@ -46,9 +53,10 @@ from pyspark.sql.functions import pandas_udf
 from citymotion.llm.common import small_batches, utf8, written
 
 LENGTH = 200
-GRAM = 32  # a power of two
+GRAM = 32  # bytes of a k-gram, a power of two; less for strings under twice as long
 CROWDED = 2048
-CHUNK = 1 << 20  # bytes of fragments that are sorted together; ranks have 21 bits
+RANKS = 1 << 21  # ranks have 21 bits
+CHUNK = 1 << 20  # bytes of fragments that are sorted together, unless one group has more
 SEGMENT = 1 << 19  # strings whose anchors are found at once
 LOW = (1 << 20) - 1
 ANCHORS = "rid long, gram long, context long, lo int, hi int, hi1 int, off int, n int"
@@ -61,11 +69,18 @@ def _array(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 # ---------------------------------------------------------------- anchors
 
 
-def gram_hashes(b: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the GRAM bytes from each position."""
+def gram_of(length: int) -> int:
+    """Bytes of the k-grams for strings of ``length`` bytes."""
+    if length < 8:
+        raise ValueError("strings have at least 8 bytes")
+    return min(GRAM, 1 << (length // 2).bit_length() - 1)
+
+
+def gram_hashes(b: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """A 64-bit hash of the ``gram`` bytes from each position."""
     h = b.astype(np.uint64) + np.uint64(1)
     mult, step = 0x9E3779B97F4A7C15, 1
-    while step < GRAM:
+    while step < gram:
         h = h[:-step] * np.uint64(mult) + h[step:]
         mult, step = mult * mult & (1 << 64) - 1, 2 * step
     h ^= h >> np.uint64(29)
@@ -76,7 +91,7 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
 
 def owners(h: np.ndarray, length: int) -> np.ndarray:
     """For each string of ``length`` bytes the place of its anchor."""
-    w = length - GRAM + 1
+    w = length - gram_of(length) + 1
     found = []
     for s in range(0, len(h) - w + 1, SEGMENT):
         part = h[s : s + SEGMENT + w - 1]
@@ -97,7 +112,7 @@ def anchors(data: bytes, length: int = LENGTH) -> list[tuple[int, int, int, int,
 
     if len(data) < length:
         return []
-    h = gram_hashes(np.frombuffer(data, dtype=np.uint8))
+    h = gram_hashes(np.frombuffer(data, dtype=np.uint8), gram_of(length))
     own = owners(h, length)
     cut = np.flatnonzero(np.diff(own)) + 1
     lo = np.concatenate(([0], cut))
@@ -140,43 +155,107 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     return np.unique(keys, return_inverse=True)[1].astype(np.uint64)
 
 
-def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Ranks in suffix order of the first ``length`` bytes at ``starts``; equal strings have
-    equal ranks.  ``data`` has fewer than 2^21 bytes."""
+def _levels(data: np.ndarray, length: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """The padded bytes, and ranks of the 8, 24, 72, ... bytes from each position."""
+    if len(data) + 2 * length >= RANKS:
+        raise ValueError("too many bytes for ranks of 21 bits")
     width, n = 8, len(data)
-    b = np.concatenate((data, np.zeros(3 * length + 8, dtype=np.uint8))).astype(np.uint64)
+    b = np.concatenate((data, np.zeros(3 * length + 8, dtype=np.uint8)))
     size = n + 2 * length
     key = np.zeros(size, dtype=np.uint64)
     for k in range(8):
-        key = key << np.uint64(8) | b[k : size + k]
+        key = key << np.uint64(8) | b[k : size + k].astype(np.uint64)
     rank = _ranks(key)
+    found = [(width, rank)]
     while 3 * width < length:
         limit = len(rank) - 2 * width
         rank = _ranks(rank[:limit] << np.uint64(42) | rank[width : limit + width] << np.uint64(21) | rank[2 * width : limit + 2 * width])
         width *= 3
+        found.append((width, rank))
+    return b, found
+
+
+def _full_ranks(levels: list[tuple[int, np.ndarray]], starts: np.ndarray, length: int) -> np.ndarray:
+    width, rank = levels[-1]
     second, third = min(width, length - width), max(0, length - width)
     return _ranks(rank[starts] << np.uint64(42) | rank[starts + second] << np.uint64(21) | rank[starts + third])
 
 
-def matches(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Whether the string at each of ``starts`` has an earlier and a later equal, by ``order``."""
-    rank = suffix_ranks(data, starts, length)
+def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Ranks in suffix order of the first ``length`` bytes at ``starts``; equal strings have
+    equal ranks."""
+    return _full_ranks(_levels(data, length)[1], starts, length)
+
+
+def suffix_array(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``starts`` in suffix order (equal strings by ``order``) and the common prefix
+    of each entry with the one before, cut at ``length``."""
+    b, levels = _levels(data, length)
+    rank = _full_ranks(levels, starts, length)
     by = np.lexsort((order, rank))
-    same = np.diff(rank[by]) == 0
-    earlier, later = np.zeros(len(starts), dtype=bool), np.zeros(len(starts), dtype=bool)
-    earlier[by[1:]] = same
-    later[by[:-1]] = same
-    return earlier, later
+    lcp = np.zeros(len(starts), dtype=np.int32)
+    same = np.flatnonzero(np.diff(rank[by]) == 0) + 1
+    lcp[same] = length
+    rest = np.flatnonzero(lcp[1:] == 0) + 1
+    one, two = starts[by[rest - 1]], starts[by[rest]]
+    reached = np.zeros(len(rest), dtype=np.int64)
+    for width, ranks in reversed(levels):
+        for _ in range(2):
+            fits = reached + width <= length
+            x, y = np.where(fits, one + reached, 0), np.where(fits, two + reached, 0)
+            reached += width * (fits & (ranks[x] == ranks[y]))
+    for _ in range(7):
+        fits = reached < length
+        reached += fits & (b[one + reached] == b[two + reached])
+    lcp[rest] = reached
+    return by, lcp
+
+
+def previous_smaller(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """For each entry of a suffix array the common prefix with the nearest entry before it of
+    smaller position (0 if there is none): the least ``lcp`` on the way.
+
+    Both come from tables of minima over 1, 2, 4, ... entries: from large to small blocks, a
+    block whose positions are all greater is passed."""
+    n = len(position)
+    least, common = [position], [lcp]
+    while 2 << len(least) - 1 <= n:
+        half = 1 << len(least) - 1
+        least.append(np.minimum(least[-1][:-half], least[-1][half:]))
+        common.append(np.minimum(common[-1][:-half], common[-1][half:]))
+    at = np.arange(n)  # entries at .. i - 1 are passed
+    found = np.full(n, np.iinfo(np.int32).max, dtype=np.int32)
+    for k in reversed(range(len(least))):
+        block = 1 << k
+        go = np.flatnonzero(at >= block)
+        go = go[least[k][at[go] - block] > position[go]]
+        found[go] = np.minimum(found[go], common[k][at[go] - block + 1])
+        at[go] -= block
+    return np.where(at > 0, np.minimum(found, lcp[at]), 0)
+
+
+def longest_previous(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``starts`` the longest previous and the longest following factor, cut at
+    ``length``: the longest prefix shared with a string of smaller / greater ``order``.
+    Values of ``order`` are different integers."""
+    by, lcp = suffix_array(data, starts, order, length)
+    back = np.concatenate((np.zeros(1, dtype=np.int32), lcp[:0:-1]))  # the same read from the end
+    out = []
+    for position in (order[by], -order[by]):
+        either = np.maximum(previous_smaller(position, lcp), previous_smaller(position[::-1], back)[::-1])
+        factor = np.empty(len(starts), dtype=np.int32)
+        factor[by] = either
+        out.append(factor)
+    return out[0], out[1]
 
 
 def previous_factors(data: bytes, length: int) -> np.ndarray:
-    """For each start in one text whether ``length`` bytes there occurred earlier (the longest
-    previous factor reaches ``length``)."""
+    """The longest previous factors, cut at ``length``, of all strings of that length in one text."""
     n = len(data) - length + 1
     if n <= 0:
-        return np.zeros(0, dtype=bool)
+        return np.zeros(0, dtype=np.int32)
     starts = np.arange(n)
-    return matches(np.frombuffer(data, dtype=np.uint8), starts, starts, length)[0]
+    return longest_previous(np.frombuffer(data, dtype=np.uint8), starts, starts, length)[0]
 
 
 FRAGMENT = pa.schema([("crowded", pa.bool_()), ("key", pa.binary()), ("rid", pa.int64()), ("lo", pa.int32()), ("strings", pa.int32()), ("bytes", pa.binary())])
@@ -228,9 +307,13 @@ def _sorted_chunk(rows: list[tuple[int, int, int, bytes]], keep: str, length: in
     first = np.cumsum(counts) - counts
     inner = np.arange(counts.sum()) - np.repeat(first, counts)
     starts = np.repeat(begin, counts) + inner
-    place = np.repeat(np.argsort(np.argsort([(r[0] << 31) + r[1] for r in rows], kind="stable")), counts)  # by (rid, lo)
-    earlier, later = matches(data, starts, place, length)
-    hit = earlier if keep == "first" else earlier | later
+    by_place = np.lexsort(([r[1] for r in rows], [r[0] for r in rows]))
+    before = np.empty(len(rows), dtype=np.int64)  # strings of fragments that come before, by (rid, lo)
+    before[by_place] = np.cumsum(counts[by_place]) - counts[by_place]
+    previous, following = longest_previous(data, starts, np.repeat(before, counts) + inner, length)
+    hit = previous >= length
+    if keep == "none":
+        hit |= following >= length
     out = []
     for (rid, lo, n, _), f in zip(rows, first.tolist()):
         out += [(rid, lo + a, lo + z + length) for a, z in _runs(hit[f : f + n])]
@@ -241,18 +324,19 @@ def _matched(fragments: DataFrame, keep: str, length: int) -> DataFrame:
     """Removed spans among the fragments of grams that are gathered."""
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk: list[tuple] = []  # whole groups of one gram each
-        size, last_key = 0, None
+        chunk: list[tuple] = []  # whole groups of one gram each, then the group that is read
+        whole = size = group = 0  # rows and bytes of whole groups, bytes of the last one
+        last_key = None
         for b in batches:
             out: list[tuple] = []
             for key, rid, lo, n, data in zip(*(b[c].to_pylist() for c in ("key", "rid", "lo", "strings", "bytes"))):
                 if key != last_key:
-                    if size >= CHUNK:
-                        out += _sorted_chunk(chunk, keep, length)
-                        chunk, size = [], 0
-                    last_key = key
+                    last_key, whole, size, group = key, len(chunk), size + group, 0
                 chunk.append((rid, lo, n, data))
-                size += len(data)
+                group += len(data)
+                if whole and size + group > CHUNK:
+                    out += _sorted_chunk(chunk[:whole], keep, length)
+                    chunk, whole, size = chunk[whole:], 0, 0
             if out:
                 yield _array(out, SPANS)
         out = _sorted_chunk(chunk, keep, length) if chunk else []
@@ -295,19 +379,22 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", cro
     found = written(_anchor_rows(docs, length), "anchors")
     shared = found.groupBy("gram").agg(F.sum("n").alias("t")).filter("t > 1").select("gram")
     near = found.join(shared, "gram")
-    contexts = near.groupBy("gram", "context").agg(F.sum("n").alias("copies"), F.min(F.struct("rid", "lo")).alias("rep"))
+    crowded = min(crowded, RANKS // (4 * length) - 1)  # two fragments of under 2 x length bytes for each context
+    contexts = near.groupBy("gram", "context").agg(F.sum("n").alias("copies"), F.min(F.struct("rid", "lo")).alias("rep"), F.max(F.struct("rid", "lo")).alias("end"))
     several = contexts.groupBy("gram").agg(F.count("*").alias("contexts"))
     judged = near.join(contexts, ["gram", "context"]).join(several, "gram")
-    judged = judged.withColumn("is_rep", (F.col("rid") == F.col("rep.rid")) & (F.col("lo") == F.col("rep.lo"))).drop("rep", "context", "off")
-    judged = written(judged.filter("copies > 1 OR contexts > 1"), "judged")
-    whole = judged.filter("copies > 1")
+    place = F.struct("rid", "lo")
+    judged = judged.withColumns({"is_rep": place == F.col("rep"), "is_end": place == F.col("end"), "crowded": F.col("contexts") > crowded})
+    judged = written(judged.drop("rep", "end", "context", "off").filter("copies > 1 OR contexts > 1"), "judged")
+    # what the suffix order doesn't judge by itself: the copies between, periods, crowded grams
+    whole = judged.filter("copies > 1 AND (NOT (is_rep OR is_end) OR hi > hi1 OR crowded)")
     stop = (F.col("hi") + length).cast("int").alias("stop")
     if keep == "none":
         spans = whole.select("rid", F.col("lo").alias("start"), stop)
     else:  # the first of several equal runs in one text stays as far as the others don't cover it
         later = F.when(F.col("is_rep"), F.col("hi1") + 1).otherwise(F.col("lo")).cast("int")
         spans = whole.filter("NOT is_rep OR hi > hi1").select("rid", later.alias("start"), stop)
-    wanted = judged.filter("is_rep AND contexts > 1").select("rid", "gram", "lo", "hi1", (F.col("contexts") > crowded).alias("crowded"))
+    wanted = judged.filter("is_rep AND (NOT crowded OR contexts > 1) OR is_end AND NOT crowded").select("rid", "gram", "lo", "hi1", "crowded")
     fragments = written(_fragments(_packed(docs), wanted, length), "fragments", "zstd")
     spans = spans.unionByName(_matched(fragments.filter("NOT crowded"), keep, length))
     return spans.unionByName(_matched_strings(fragments.filter("crowded").select("key", "rid", "lo"), keep, length))

@@ -39,13 +39,16 @@ def corpus():
     return texts
 
 
-@pytest.mark.parametrize("keep,crowded", [("none", 2048), ("none", 2), ("first", 2048), ("first", 2)])
-def test_equals_brute_force(spark, keep, crowded):
+CASES = [("none", 2048, 200), ("none", 2, 200), ("first", 2048, 200), ("first", 2, 200), ("none", 2048, 24), ("first", 2048, 24), ("none", 2048, 400), ("first", 2048, 400)]
+
+
+@pytest.mark.parametrize("keep,crowded,length", CASES)
+def test_equals_brute_force(spark, keep, crowded, length):
     texts = corpus()
     rows = [(None if k == 3 else 7 if k in (8, 9) else k, t if t else None, "x") for k, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, rid string").coalesce(1)
-    got = R.without_repeats(df, keep=keep, crowded=crowded).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept").collect()
-    want = plain([t.encode() for t in texts], 200, keep)
+    got = R.without_repeats(df, length=length, keep=keep, crowded=crowded).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept").collect()
+    want = plain([t.encode() for t in texts], length, keep)
     assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted((str(rows[k][0]), *w) for k, w in enumerate(want))
     assert all(hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] for r in got)
 
@@ -67,11 +70,46 @@ def test_suffix_ranks_and_previous_factors():
         text = [raw[s : s + length] for s in starts]
         order = {t: k for k, t in enumerate(sorted(set(text)))}
         assert rank.tolist() == [order[t] for t in text]
-    seen, want = set(), []
-    for s in range(len(raw) - 23):
-        want.append(raw[s : s + 24] in seen)
-        seen.add(raw[s : s + 24])
-    assert R.previous_factors(raw, 24).tolist() == want
+
+
+def common(a, b, length):
+    n = 0
+    while n < length and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def test_longest_previous_factors_equal_all_pairs():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 260).astype(np.uint8)
+    data[150:220] = data[20:90]
+    raw = data.tobytes()
+    for length in (8, 24, 41, 60):
+        n = len(raw) - length + 1
+        starts, order = np.arange(n), rng.permutation(n) * 3
+        previous, following = R.longest_previous(data, starts, order, length)
+        pairs = np.array([[common(raw[i : i + length], raw[j : j + length], length) if i != j else 0 for j in range(n)] for i in range(n)])
+        earlier = order[None, :] < order[:, None]
+        assert previous.tolist() == np.where(earlier, pairs, 0).max(axis=1).tolist()
+        assert following.tolist() == np.where(~earlier, pairs, 0).max(axis=1).tolist()
+        assert R.previous_factors(raw, length).tolist() == [max((common(raw[i : i + length], raw[j : j + length], length) for j in range(i)), default=0) for i in range(n)]
+    assert R.previous_factors(b"short", 8).tolist() == []
+
+
+def test_ranks_keep_to_their_bits(monkeypatch):
+    monkeypatch.setattr(R, "RANKS", 1000)
+    with pytest.raises(ValueError):
+        R.suffix_ranks(np.zeros(800, np.uint8), np.arange(10), 100)
+    with pytest.raises(ValueError):
+        R.gram_of(7)
+
+
+def test_chunks_of_one_group(spark, monkeypatch):
+    monkeypatch.setattr(R, "CHUNK", 1)
+    texts = [t.encode() for t in corpus()]
+    df = spark.createDataFrame([(k, t.decode()) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in R.without_repeats(df, keep="first").collect()}
+    assert got == dict(enumerate(plain(texts, 200, "first")))
 
 
 def test_segments_of_very_long_texts(monkeypatch):
