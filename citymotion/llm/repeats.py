@@ -16,11 +16,10 @@ factor, cut at ``length``.
    8, 24 and 72 bytes by prefix tripling, then of the full length at the starts of owned
    strings; equal strings by position) with the common prefixes of neighbours.  For each string
    the previous and the next entry of smaller position give the longest previous factor, the
-   larger of the least common prefixes on the way; entries of greater position give the
-   longest factor that follows.  Both are cut at ``length``: where one reaches it there is
-   an earlier or a later match.
-4. Occurrences between the first and the last of a context go with them: the first one is
-   their earlier match, the last one their later match.
+   larger of the least common prefixes on the way, cut at ``length``; where it reaches it,
+   that entry is an earlier match.  The string goes, and with ``keep="none"`` the match too.
+   The last occurrence of a context, equal to the first byte by byte, has it as its match.
+4. Occurrences between the first and the last of a context go like the last one.
    A k-gram with over ``CROWDED`` different contexts is not gathered: its strings are counted
    one by one, by 128-bit hashes, with map-side aggregation.
 5. The removed runs meet their text again.
@@ -187,33 +186,33 @@ def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarra
     return _full_ranks(_levels(data, length)[1], starts, length)
 
 
-def suffix_array(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_array(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Places of ``starts`` in suffix order (equal strings by ``order``) and the common prefix
-    of each entry with the one before, cut at ``length``."""
+    of each entry with the one before, cut at ``length``; those under ``least`` may read 0."""
     b, levels = _levels(data, length)
     rank = _full_ranks(levels, starts, length)
     by = np.lexsort((order, rank))
     lcp = np.zeros(len(starts), dtype=np.int32)
-    same = np.flatnonzero(np.diff(rank[by]) == 0) + 1
-    lcp[same] = length
-    rest = np.flatnonzero(lcp[1:] == 0) + 1
-    one, two = starts[by[rest - 1]], starts[by[rest]]
-    reached = np.zeros(len(rest), dtype=np.int64)
-    for width, ranks in reversed(levels):
-        for _ in range(2):
-            fits = reached + width <= length
-            x, y = np.where(fits, one + reached, 0), np.where(fits, two + reached, 0)
-            reached += width * (fits & (ranks[x] == ranks[y]))
-    for _ in range(7):
-        fits = reached < length
-        reached += fits & (b[one + reached] == b[two + reached])
-    lcp[rest] = reached
+    lcp[1:][np.diff(rank[by]) == 0] = length
+    if least < length:
+        rest = np.flatnonzero(lcp[1:] == 0) + 1
+        one, two = starts[by[rest - 1]], starts[by[rest]]
+        reached = np.zeros(len(rest), dtype=np.int64)
+        for width, ranks in reversed(levels):
+            for _ in range(2):
+                fits = reached + width <= length
+                x, y = np.where(fits, one + reached, 0), np.where(fits, two + reached, 0)
+                reached += width * (fits & (ranks[x] == ranks[y]))
+        for _ in range(7):
+            fits = reached < length
+            reached += fits & (b[one + reached] == b[two + reached])
+        lcp[rest] = reached
     return by, lcp
 
 
-def previous_smaller(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    """For each entry of a suffix array the common prefix with the nearest entry before it of
-    smaller position (0 if there is none): the least ``lcp`` on the way.
+def previous_smaller(position: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry of a suffix array the nearest entry before it of smaller position (-1: none)
+    and the common prefix with it, which is the least ``lcp`` on the way (0 if there is none).
 
     Both come from tables of minima over 1, 2, 4, ... entries: from large to small blocks, a
     block whose positions are all greater is passed."""
@@ -231,22 +230,29 @@ def previous_smaller(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
         go = go[least[k][at[go] - block] > position[go]]
         found[go] = np.minimum(found[go], common[k][at[go] - block + 1])
         at[go] -= block
-    return np.where(at > 0, np.minimum(found, lcp[at]), 0)
-
-
-def longest_previous(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each of ``starts`` the longest previous and the longest following factor, cut at
-    ``length``: the longest prefix shared with a string of smaller / greater ``order``.
-    Values of ``order`` are different integers."""
-    by, lcp = suffix_array(data, starts, order, length)
-    back = np.concatenate((np.zeros(1, dtype=np.int32), lcp[:0:-1]))  # the same read from the end
-    out = []
-    for position in (order[by], -order[by]):
-        either = np.maximum(previous_smaller(position, lcp), previous_smaller(position[::-1], back)[::-1])
-        factor = np.empty(len(starts), dtype=np.int32)
-        factor[by] = either
-        out.append(factor)
-    return out[0], out[1]
+    return at - 1, np.where(at > 0, np.minimum(found, lcp[at]), 0)
+
+
+def longest_previous(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``starts`` the longest previous factor, cut at ``length``: the longest prefix
+    shared with a string of smaller ``order``; and the place in ``starts`` of such a string (-1
+    where the factor is 0).  Factors under ``least`` count as 0; the values of ``order`` differ."""
+    by, lcp = suffix_array(data, starts, order, length, least)
+    linked = lcp >= least
+    some = np.flatnonzero(linked | np.append(linked[1:], False))  # the others share nothing with a neighbour
+    factor, match = np.zeros(len(starts), dtype=np.int32), np.full(len(starts), -1)
+    if not len(some):
+        return factor, match
+    entry = by[some]
+    position, near = order[entry], np.where(linked, lcp, 0)[some]
+    back = np.concatenate((near[:1] * 0, near[:0:-1]))  # the same read from the end
+    before, shared = previous_smaller(position, near)
+    after, beyond = previous_smaller(position[::-1], back)
+    after, beyond = len(some) - 1 - after[::-1], beyond[::-1]
+    factor[entry] = np.maximum(shared, beyond)
+    nearest = np.where(shared >= beyond, before, after)
+    match[entry] = np.where(factor[entry] > 0, entry[np.minimum(nearest, len(some) - 1)], -1)
+    return factor, match
 
 
 def previous_factors(data: bytes, length: int) -> np.ndarray:
@@ -292,32 +298,41 @@ def _fragments(packed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return packed.select("rid", "packed").join(lists, "rid").mapInArrow(cut, FRAGMENT_SQL)
 
 
-def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
-    """[first, last] of each run of True."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
-    return [(a, z - 1) for a, z in zip(edge[::2].tolist(), edge[1::2].tolist())]
-
-
-def _sorted_chunk(rows: list[tuple[int, int, int, bytes]], keep: str, length: int) -> list[tuple[int, int, int]]:
-    """Removed spans of fragments (rid, lo, strings, bytes)."""
-    data = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
-    sizes = np.array([len(r[3]) for r in rows])
-    counts = np.array([r[2] for r in rows])
-    begin = np.cumsum(sizes) - sizes
-    first = np.cumsum(counts) - counts
-    inner = np.arange(counts.sum()) - np.repeat(first, counts)
-    starts = np.repeat(begin, counts) + inner
-    by_place = np.lexsort(([r[1] for r in rows], [r[0] for r in rows]))
-    before = np.empty(len(rows), dtype=np.int64)  # strings of fragments that come before, by (rid, lo)
-    before[by_place] = np.cumsum(counts[by_place]) - counts[by_place]
-    previous, following = longest_previous(data, starts, np.repeat(before, counts) + inner, length)
-    hit = previous >= length
-    if keep == "none":
-        hit |= following >= length
-    out = []
-    for (rid, lo, n, _), f in zip(rows, first.tolist()):
-        out += [(rid, lo + a, lo + z + length) for a, z in _runs(hit[f : f + n])]
-    return out
+def _sorted_chunk(rows: list[tuple[int, int, int, bytes]], keep: str, length: int) -> pa.RecordBatch:
+    """Removed spans of fragments (rid, lo, strings, bytes).
+
+    Equal fragments are the first and the last occurrence of a context: their bytes are ranked
+    once, at the first one's position, and the last one has the first as its earlier match."""
+    first: dict[bytes, int] = {}
+    ends: list[int] = []
+    rows.sort(key=lambda r: r[:2])
+    for k, r in enumerate(rows):
+        if first.setdefault(r[3], k) != k:
+            ends.append(k)
+    rid, lo, strings = (np.array([r[c] for r in rows]) for c in range(3))
+    kept = np.fromiter(first.values(), dtype=np.int64, count=len(first))
+    repeated = np.isin(kept, [first[rows[k][3]] for k in ends])
+    sizes = np.fromiter(map(len, first), dtype=np.int64, count=len(first))
+    counts = strings[kept]
+    before = np.cumsum(counts) - counts
+    order = np.arange(counts.sum())  # rows are sorted by position
+    inner = order - np.repeat(before, counts)
+    starts = np.repeat(np.cumsum(sizes) - sizes, counts) + inner
+    factor, match = longest_previous(np.frombuffer(b"".join(first), dtype=np.uint8), starts, order, length, least=length)
+    hit = factor >= length
+    if keep == "none":  # an earlier match goes as well
+        hit[match[hit]] = True
+        hit |= np.repeat(repeated, counts)
+    opens, closes = hit.copy(), hit.copy()
+    opens[1:] &= ~hit[:-1] | (inner[1:] == 0)
+    closes[:-1] &= ~hit[1:] | (inner[1:] == 0)
+    row = np.repeat(kept, counts)[opens]
+    columns = (
+        np.concatenate((rid[row], rid[ends])),
+        np.concatenate((lo[row] + inner[opens], lo[ends])),
+        np.concatenate((lo[row] + inner[closes] + length, lo[ends] + strings[ends] - 1 + length)),
+    )
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, SPANS)], schema=SPANS)
 
 
 def _matched(fragments: DataFrame, keep: str, length: int) -> DataFrame:
@@ -328,20 +343,16 @@ def _matched(fragments: DataFrame, keep: str, length: int) -> DataFrame:
         whole = size = group = 0  # rows and bytes of whole groups, bytes of the last one
         last_key = None
         for b in batches:
-            out: list[tuple] = []
             for key, rid, lo, n, data in zip(*(b[c].to_pylist() for c in ("key", "rid", "lo", "strings", "bytes"))):
                 if key != last_key:
                     last_key, whole, size, group = key, len(chunk), size + group, 0
                 chunk.append((rid, lo, n, data))
                 group += len(data)
                 if whole and size + group > CHUNK:
-                    out += _sorted_chunk(chunk[:whole], keep, length)
+                    yield _sorted_chunk(chunk[:whole], keep, length)
                     chunk, whole, size = chunk[whole:], 0, 0
-            if out:
-                yield _array(out, SPANS)
-        out = _sorted_chunk(chunk, keep, length) if chunk else []
-        if out:
-            yield _array(out, SPANS)
+        if chunk:
+            yield _sorted_chunk(chunk, keep, length)
 
     ordered = fragments.select("key", "rid", "lo", "strings", "bytes").repartition("key").sortWithinPartitions("key", "rid", "lo")
     return ordered.mapInArrow(judged, SPANS_SQL)

@@ -87,11 +87,14 @@ def test_longest_previous_factors_equal_all_pairs():
     for length in (8, 24, 41, 60):
         n = len(raw) - length + 1
         starts, order = np.arange(n), rng.permutation(n) * 3
-        previous, following = R.longest_previous(data, starts, order, length)
+        previous, match = R.longest_previous(data, starts, order, length)
         pairs = np.array([[common(raw[i : i + length], raw[j : j + length], length) if i != j else 0 for j in range(n)] for i in range(n)])
         earlier = order[None, :] < order[:, None]
         assert previous.tolist() == np.where(earlier, pairs, 0).max(axis=1).tolist()
-        assert following.tolist() == np.where(~earlier, pairs, 0).max(axis=1).tolist()
+        assert all(m == -1 if p == 0 else earlier[i, m] and pairs[i, m] == p for i, (p, m) in enumerate(zip(previous, match)))
+        cut, match = R.longest_previous(data, starts, order, length, least=length)
+        assert cut.tolist() == np.where(previous == length, length, 0).tolist()
+        assert all(m == -1 if p == 0 else earlier[i, m] and pairs[i, m] == p for i, (p, m) in enumerate(zip(cut, match)))
         assert R.previous_factors(raw, length).tolist() == [max((common(raw[i : i + length], raw[j : j + length], length) for j in range(i)), default=0) for i in range(n)]
     assert R.previous_factors(b"short", 8).tolist() == []
 
