@@ -5,7 +5,9 @@ keys) are hashed; the hash selects a declarative mapping to canonical turns
 (conv_id, turn, role, text).  Paths that no mapping names are left out of the hash, so extra
 fields don't matter; if the rest still has no mapping of its own (extra fields with known
 names), the mapping with the most paths among those present is taken.  JSON records that fit
-none come back from ``unmapped``.
+none come back from ``unmapped``, as do those whose values can't be turns: broken or very
+deep JSON, ids and turn numbers that aren't whole numbers of 64 bits, items that aren't
+objects, texts that UTF-8 can't hold.
 
 Template: each turn is ``<|im_start|>role\\ntext<|im_end|>\\n``.  Inside roles and texts ``<|``,
 also with backslashes between, gets one more backslash, so control strings can't occur
@@ -13,8 +15,9 @@ in them and ``unescape`` restores every text; a line break in a role is ``<|nl|>
 is one span of code points per turn: the text of assistant turns, empty elsewhere.
 
 The formatted output has one row per turn (its segment and span): a conversation is its
-segments in order.  Nothing is grouped, so one conversation with a third of all rows is as
-good as many; ``digests`` reads segments back in sorted order with constant memory.
+segments in order.  Formatting groups nothing.  ``digests`` reads a conversation's segments
+back in order, since a SHA-256 is sequential: one task for each conversation, with constant
+memory and an external sort, so a conversation with a third of all rows takes that long.
 
 Defined results: null text and null role are empty; equal turn numbers are ordered by
 segment (role, then text); null ids and null turns come first and form a conversation (a
@@ -38,6 +41,7 @@ from citymotion.llm.common import ship_package, small_batches, strings
 
 START, END, NEW_LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 LOSS_ROLE = "assistant"
+MAX_TURNS = 1 << 31  # of one JSON record
 TURNS = "conv_id long, turn long, role string, text string"
 
 
@@ -144,17 +148,29 @@ def record_turns(record: object, m: Mapping) -> list[tuple[str, str]]:
     return turns
 
 
+def _whole(value: object) -> bool:
+    """Whether ``value`` is null or a whole number of 64 bits."""
+    return value is None or isinstance(value, int) and not isinstance(value, bool) and -(1 << 63) <= value < (1 << 63) - MAX_TURNS
+
+
 def _mapped(text: str | None) -> tuple[int | None, int, list[tuple[str, str]]] | None:
     """Id, first turn number and turns of a JSON record; None if no mapping fits."""
     try:
         record = json.loads(text or "")
-    except ValueError:
+        m = select_mapping(json_paths(record)) if isinstance(record, dict) else None
+    except (ValueError, RecursionError):
+        return None
+    first = 0 if m is None or m.name != "turn rows" else record["turn"]
+    if m is None or not _whole(record[m.id]) or not _whole(first):
         return None
-    m = select_mapping(json_paths(record)) if isinstance(record, dict) else None
-    if m is None or not isinstance(record.get(m.id), (int, type(None))):
+    if m.items and not all(isinstance(x, dict) for x in record[m.items]):
+        return None
+    turns = record_turns(record, m)
+    try:
+        "".join(x for turn in turns for x in turn).encode("utf-8")
+    except UnicodeEncodeError:  # a surrogate without its other half
         return None
-    first = record["turn"] if m.name == "turn rows" else 0
-    return record[m.id], first, record_turns(record, m)
+    return record[m.id], first, turns
 
 
 def canonical_json(df: DataFrame, col: str = "json") -> DataFrame:
@@ -164,7 +180,7 @@ def canonical_json(df: DataFrame, col: str = "json") -> DataFrame:
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, first + k, role, text) for r in b[0].to_pylist() if (x := _mapped(r)) for i, first, turns in [x] for k, (role, text) in enumerate(turns)]
+            rows = [(i, None if first is None else first + k, role, text) for r in b[0].to_pylist() if (x := _mapped(r)) for i, first, turns in [x] for k, (role, text) in enumerate(turns)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

@@ -57,3 +57,17 @@ def test_typed_layouts(spark):
     assert [tuple(r) for r in C.canonical_turns(c).collect()] == [(6, 0, "system", "s"), (6, 1, "user", "q")]
     with pytest.raises(ValueError):
         C.canonical_turns(spark.range(3))
+
+
+def test_json_that_cannot_be_turns_is_unmapped(spark):
+    row = {"conv_id": 1, "turn": 0, "role": "user", "text": "t"}
+    bad = [
+        {**row, "turn": "2"}, {**row, "turn": 1.5}, {**row, "turn": 1 << 63}, {**row, "conv_id": 1 << 64}, {**row, "conv_id": "1"}, {**row, "conv_id": True},
+        {**row, "text": "\ud800"}, {"conv_id": 1, "messages": [{"role": "user", "content": "q"}, "plain"]},
+        {"conv_id": 1, "messages": [{"role": "user", "content": "q"}, None]}, [row], 3, None,
+    ]
+    texts = [json.dumps(r) for r in bad] + ["[" * 100_000, '{"conv_id": 1', ""]
+    good = [{**row, "turn": None}, {**row, "conv_id": None, "text": 5}]
+    df = spark.createDataFrame([(t,) for t in texts + [json.dumps(r) for r in good]], "json string")
+    assert sorted(r["json"] for r in C.unmapped(df).collect()) == sorted(texts)
+    assert {tuple(r) for r in C.canonical_json(df).collect()} == {(1, None, "user", "t"), (None, 0, "user", "5")}
