@@ -122,6 +122,9 @@ def _vocabularies(pieces: str, byte_level: str):
     return _loaded[key]
 
 
+SCRIPTS = frozenset(("latin", "cyrillic", "greek", "cjk", "other"))  # names of bands that are no languages
+
+
 def script_of(text: str) -> str:
     """The script that most letters have."""
     counts: dict[str, int] = {}
@@ -186,7 +189,7 @@ def measure(text: str | None, lang: str | None, pieces: str, byte_level: str, ba
         cpt, bcpt, share = chars / tokens, chars / n_byte_level, float(is_byte[ids].mean())
     else:
         entropy = cpt = bcpt = share = 0.0
-    name = lang if lang in bands else script_of(text)
+    name = lang if lang in bands and lang not in SCRIPTS else script_of(text)
     band = bands.get(name) or bands["other"]
     kept = (
         not failed

@@ -87,3 +87,9 @@ def test_cache_is_bounded(monkeypatch):
     a = [Q.measure(" ".join(f"w{i}{j}" for j in range(9)), "en", *args) for i in range(5)]
     monkeypatch.setattr(Q, "CACHE_WORDS", 10**6)
     assert a == [Q.measure(" ".join(f"w{i}{j}" for j in range(9)), "en", *args) for i in range(5)]
+
+
+def test_names_of_scripts_are_no_languages():
+    text = "\u0441\u043b\u043e\u0432\u0430 \u0438 \u0431\u0443\u043a\u0432\u044b " * 40
+    names = [Q.measure(text, lang, P.path(Q.PIECES), P.path(Q.BYTES), Q.DEFAULT_BANDS)[-2] for lang in ("other", "latin", "cjk", "xx", None)]
+    assert names == ["cyrillic"] * 5
