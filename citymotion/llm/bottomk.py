@@ -169,7 +169,8 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts, before = _ranges(docs, id_col, partitions * RANGES_PER_PARTITION)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    own = F.when(F.col("id").isNotNull(), _range_of(cuts)(F.coalesce("id", F.lit(0)))).otherwise(F.lit(-1))
+    spread = (F.monotonically_increasing_id() % (partitions * RANGES_PER_PARTITION)).cast("int") * -1 - 1  # no neighbours: any task will do
+    own = F.when(F.col("id").isNotNull(), _range_of(cuts)(F.coalesce("id", F.lit(0)))).otherwise(spread)
 
     @pandas_udf("int")
     def range_before(ids: pd.Series) -> pd.Series:  # null unless the id is the first of a range

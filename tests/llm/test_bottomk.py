@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from citymotion.llm import bottomk as B
 from citymotion.llm.simhash import shingle_hashes
@@ -28,7 +29,8 @@ def test_one_document_and_none(spark):
     df = spark.createDataFrame([(3, "a b c d e f g h")], "doc_id long, text string")
     r = B.edited_pairs(df).collect()
     assert len(r) == 1 and r[0]["near_next"] == 1.0
-    assert r[0]["edited_sha256"] == hashlib.sha256(b"a b c d a b c d").hexdigest()[:64] or r[0]["n_chars"] == 15
+    assert r[0]["edited_sha256"] == hashlib.sha256(b"a b c d a b c d").hexdigest()
+    assert r[0]["n_chars"] == 15
     assert B.edited_pairs(df.limit(0)).count() == 0
 
 
@@ -59,3 +61,11 @@ def test_repeats_and_merge(spark):
     want = np.unique(np.concatenate([shingle_hashes(p.encode(), 5) for p in parts]))[: B.K]
     assert B.from_string(got["k"]).tolist() == want.tolist()
     assert B.to_string(B.from_string(got["k"])) == got["k"]
+
+
+def test_null_ids_are_dealt_over_tasks(spark):
+    df = spark.createDataFrame([(None, f"text {k} of a row without id") for k in range(300)] + [(1, "a"), (2, "b")], "doc_id long, text string").coalesce(1)
+    out = B.edited_pairs(df)
+    rows = out.filter("doc_id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == 300 and len(rows) > 1
+    assert all(r["near_next"] == 0.0 for r in out.filter("doc_id IS NULL").collect())
