@@ -105,6 +105,8 @@ class Page(HTMLParser):
         self.own, self.linked, self.inline, self.start = [0], [0], [0], [0]
         self.stack, self.links, self.block, self.seen = [0], [0], 0, 0
         self.skip, self.skips = "", 0
+        self.places: dict[str, list[int]] = {}  # of each tag in the stack, but the root
+        self.limits: list[int] = []  # those of LIMITS
         self.feed(html)
         if _CUT_TAG.match(self.rawdata):  # the page ends inside a tag
             self.rawdata = ""
@@ -120,23 +122,25 @@ class Page(HTMLParser):
         self.linked.append(0)
         self.inline.append(0)
         self.start.append(self.seen)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in LIMITS:
+            self.limits.append(len(self.stack))
         self.stack.append(len(self.tag) - 1)
         self.links.append(0)
         self.block += 1
 
     def _close(self, place: int) -> None:
+        for node in self.stack[place:]:
+            self.places[self.tag[node]].pop()
+        while self.limits and self.limits[-1] >= place:
+            self.limits.pop()
         del self.stack[place:], self.links[place:]
         self.block += 1
 
     def _last(self, tags: tuple[str, ...]) -> int:
         """Place in the stack of the innermost of ``tags`` that no limit hides, or 0."""
-        for place in range(len(self.stack) - 1, 0, -1):
-            tag = self.tag[self.stack[place]]
-            if tag in tags:
-                return place
-            if tag in LIMITS:
-                return 0
-        return 0
+        place = max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+        return 0 if self.limits and self.limits[-1] > place else place
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.skip:
@@ -152,7 +156,7 @@ class Page(HTMLParser):
                 self.links[-1] += 1
             self.inline[self.stack[-1]] += 1
             return
-        if tag == "html" or tag == "body" and "body" in map(self.tag.__getitem__, self.stack):
+        if tag == "html" or tag == "body" and self.places.get("body"):
             return
         if tag in CLOSES_P and (place := self._last(("p",))):
             self._close(place)
@@ -189,10 +193,8 @@ class Page(HTMLParser):
         if tag == "a":
             self.links[-1] = max(0, self.links[-1] - 1)
         elif tag in KINDS and tag not in ("html", "body"):
-            for place in range(len(self.stack) - 1, 0, -1):
-                if self.tag[self.stack[place]] == tag:
-                    self._close(place)
-                    return
+            if places := self.places.get(tag):
+                self._close(places[-1])
 
     def handle_data(self, data: str) -> None:
         if self.skip:

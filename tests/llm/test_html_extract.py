@@ -4,6 +4,7 @@ import html
 import itertools
 import os
 import re
+import time
 
 import numpy as np
 import pytest
@@ -89,3 +90,14 @@ def test_trees_fit_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 2] > 0.3)).astype(float)
     t = H.fit_trees(x[:2000], y[:2000])
     assert ((t.scores(x[2000:]) > 0) == (y[2000:] > 0)).mean() > 0.95
+
+
+def test_deep_pages_take_time_in_proportion():
+    def seconds(n):
+        begun = time.perf_counter()
+        page = H.Page("<blockquote>" * n + "<p>x" * n + "</i></section>" * n)
+        assert len(page.tag) == 2 * n + 1 and page.depth[-1] == n + 1
+        return time.perf_counter() - begun
+
+    seconds(500)
+    assert seconds(16_000) < 40 * max(seconds(2_000), 0.005)
