@@ -409,6 +409,33 @@ def test_quantiles_with_ties_and_a_global_key(spark):
     assert "collect_list" not in plan
 
 
+def test_global_quantiles_need_no_single_task(spark):
+    from citymotion.operators.quantiles import exact_quantiles
+
+    inf = float("inf")
+    rng = random.Random(5)
+    cases = [
+        [rng.lognormvariate(0, 9) * rng.choice((-1, 1)) for _ in range(5000)] + [0.0] * 700,
+        [-inf] * 3 + [1e308, -1e308, 5e-324, 0.0] + [inf] * 2 + [1.0, 1.0],
+        [7.0], [3.0] * 40, [1.0, 2.0],
+    ]
+    qs = [0.0, 0.05, 0.5, 0.95, 1.0]
+    for values in cases:
+        df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double").repartition(3)
+        got = exact_quantiles(df, [], "v", qs, accuracy=100, count_name="n").first()
+        ordered = sorted(values)
+        assert got[0] == len(values)
+        for q, x in zip(qs, got[1:]):
+            at = q * (len(values) - 1)
+            a, z = ordered[int(at)], ordered[min(int(at) + 1, len(values) - 1)]
+            want = a if a == z or at == int(at) else a + (at - int(at)) * (z - a)
+            assert x == want or x != x and want != want
+    none = exact_quantiles(spark.createDataFrame([], "v double"), [], "v", [0.5], names=["m"], count_name="n").collect()
+    assert [tuple(r) for r in none] == [(0, None)]
+    plan = exact_quantiles(df, [], "v", [0.5])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+
+
 def test_exact_quantiles_match_percentile(spark):
     from citymotion.operators.quantiles import exact_quantiles
 
