@@ -5,8 +5,10 @@ Base kinds (leftmost, non-overlapping per kind): ``assign``, ``access``, ``hex``
 Added kind ``random``: maximal runs of 20 or more encoding characters, base spans cut out
 of them, whose encoding can be inferred (decimal, hex, base32, base36, base62, base64,
 base64url; runs of plain words have none).  What has no encoding is split at the characters
-foreign to base64, base64url and base62, each in turn, and the parts of 20 characters or
-more are runs too; they may overlap.  Each run takes three tests of the hypothesis
+foreign to base64 or to base64url, whichever leaves the longer longest part (base64 if they
+are equal); words joined to a part by a separator (``path/`` before it, ``-name`` after it) are
+taken off, and parts of 20 characters or more are runs too.  Runs never overlap each other or
+a base span.  Each run takes three tests of the hypothesis
 "drawn at random from this alphabet": chi-squared uniformity of the symbols
 (Wilson-Hilferty), Wald-Wolfowitz runs about the alphabet's middle, and lag-1 serial
 correlation; Fisher's method joins the three p-values.
@@ -34,6 +36,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citymotion.llm.common import written
+
 KINDS = ("assign", "access", "hex", "random")
 Q = 0.05
 BINS_PER_E = 20
@@ -65,7 +69,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # what 'AKIA[A-Z0-9]+' finds, without those under
 HEX = r"[0-9a-f]{24,}"  # likewise: a maximal run is matched from its start
 RUN = r"[A-Za-z0-9+/_-]{20,}"
 LEAST_RUN = 20
-PARTS = (r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9_-]{20,}", r"[A-Za-z0-9]{20,}")
+PARTS = (r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9_-]{20,}")
+WORDS_BEFORE = r"^(?:[A-Z]?[a-z]{2,}[0-9]{0,4}[+/_-])+"
+WORDS_AFTER = r"(?:[+/_-][A-Z]?[a-z]{2,}[0-9]{0,4})+$"
 
 
 def _sum(a: Column) -> Column:
@@ -209,34 +215,48 @@ def _pieces(text: Column, base: Column) -> Column:
 
 
 def _parts(pieces: Column) -> Column:
-    """Each piece itself if it has an encoding, else its parts in each alphabet."""
+    """Each piece itself if it has an encoding, else its parts in the alphabet that leaves the longest."""
 
-    def parts(p: Column) -> Column:
-        found = F.concat(*[_matches(p["token"], 3, pattern) for pattern in PARTS])
-        placed = F.transform(found, lambda m: F.struct((p["start"] + m["start"]).alias("start"), (p["start"] + m["end"]).alias("end"), m["token"].alias("token")))
-        return F.when(_encoding(p["token"]) >= 0, F.array(p)).otherwise(F.array_distinct(placed))
+    def trimmed(p: Column, m: Column) -> Column:
+        def of(before: Column) -> Column:
+            core = F.regexp_replace(F.substring(m["token"], before + 1, F.char_length(m["token"])), WORDS_AFTER, "")
+            at = lambda c: F.struct((p["start"] + m["start"] + before).alias("start"), (p["start"] + m["start"] + before + F.char_length(c)).alias("end"), c.alias("token"))
+            return _let(core, at)
 
-    return F.flatten(F.transform(pieces, parts))
+        return _let(F.char_length(F.regexp_extract(m["token"], WORDS_BEFORE, 0)), of)
 
+    def split(p: Column, pattern: str) -> Column:
+        return F.filter(F.transform(_matches(p["token"], 3, pattern), lambda m: trimmed(p, m)), lambda s: F.char_length(s["token"]) >= LEAST_RUN)
 
-def _spans_and_runs(text: Column) -> Column:
-    """Struct of the base spans and of the scored runs outside them."""
-    return _let(_base(text), lambda base: F.struct(base.alias("base"), _scored(_parts(_pieces(text, base))).alias("runs")))
+    longest = lambda parts: F.coalesce(F.array_max(F.transform(parts, lambda s: s["end"] - s["start"])), F.lit(0))
+
+    def parts(p: Column) -> Column:
+        both = F.struct(split(p, PARTS[0]).alias("standard"), split(p, PARTS[1]).alias("url"))
+        chosen = _let(both, lambda x: F.when(longest(x["standard"]) >= longest(x["url"]), x["standard"]).otherwise(x["url"]))
+        return F.when(_encoding(p["token"]) >= 0, F.array(p)).otherwise(chosen)
+
+    return F.flatten(F.transform(pieces, parts))
 
 
 def _with_runs(docs: DataFrame, text: Column) -> DataFrame:
-    """The same in the columns ``__base`` and ``__runs``, in steps: within larger expressions
-    ``_spans_and_runs`` has too many levels for Spark's analyzer."""
+    """``docs`` with the base spans in ``__base`` and the scored runs outside them in ``__runs``, in
+    steps: one expression would have too many levels for Spark's analyzer."""
     df = docs.withColumn("__base", _base(text)).withColumn("__pieces", _pieces(text, F.col("__base")))
     df = df.withColumn("__parts", _parts(F.col("__pieces")))
     return df.withColumn("__runs", _scored(F.col("__parts"))).drop("__pieces", "__parts")
 
 
-def thresholds(docs: DataFrame, text_col: str = "text", q: float = Q) -> dict[int, int]:
+def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep``, the base spans and the scored runs, written to the shared folder:
+    thresholds and spans both read them, so that the battery sees each text once."""
+    df = _with_runs(docs, F.coalesce(F.col(text_col), F.lit("")))
+    base = F.transform("__base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return written(df.withColumn("__base", base).select(*keep, "__base", "__runs"), "secret-runs")
+
+
+def _thresholds(scanned: DataFrame, q: float) -> dict[int, int]:
     """For each (encoding, length band) the least bin that Benjamini-Hochberg rejects."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    some = docs.select(text.alias("text")).filter(F.col("text").rlike(RUN))
-    bins = _with_runs(some, F.col("text")).select(F.explode("__runs").alias("r")).groupBy(F.col("r.stratum").alias("stratum"), F.col("r.bin").alias("bin")).agg(F.count("*").alias("n"))
+    bins = scanned.select(F.explode("__runs").alias("r")).groupBy(F.col("r.stratum").alias("stratum"), F.col("r.bin").alias("bin")).agg(F.count("*").alias("n"))
     by = Window.partitionBy("stratum")  # at most MAX_BIN + 1 rows in each
     ranked = bins.withColumn("rank", F.sum("n").over(by.orderBy(F.desc("bin")))).withColumn("m", F.sum("n").over(by))
     edge = F.exp(-F.col("bin") / BINS_PER_E)
@@ -244,17 +264,15 @@ def thresholds(docs: DataFrame, text_col: str = "text", q: float = Q) -> dict[in
     return {r["stratum"]: r["bin"] for r in passing.collect()}  # encodings x bands rows at most
 
 
-def with_spans(docs: DataFrame, text_col: str = "text", q: float = Q) -> DataFrame:
-    """``docs`` and ``secret_spans``: array of (start, kind, end), kind the place in KINDS,
-    by start, then kind."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    cut = thresholds(docs, text_col, q)
+def with_spans(docs: DataFrame, text_col: str = "text", q: float = Q, keep: list[str] | None = None) -> DataFrame:
+    """``keep`` (all columns of ``docs`` by default) and ``secret_spans``: array of (start, kind,
+    end), kind the place in KINDS, by start, then kind."""
+    scanned = _scanned(docs, text_col, [c for c in keep or docs.columns if c != "secret_spans"])
+    cut = _thresholds(scanned, q)
     table = F.create_map(*[F.lit(x) for kv in sorted((cut or {-1: 0}).items()) for x in kv])
-    as_span = lambda s, kind: F.struct(s["start"].alias("start"), kind.alias("kind"), s["end"].alias("end"))
-
     keys = F.filter("__runs", lambda r: r["bin"] < F.coalesce(F.try_element_at(table, r["stratum"]), F.lit(MAX_BIN + 1)))
-    spans = F.array_sort(F.concat(F.transform("__base", lambda s: as_span(s, s["kind"])), F.transform(keys, lambda s: as_span(s, F.lit(3)))))
-    return _with_runs(docs, text).withColumn("secret_spans", spans).drop("__base", "__runs")
+    as_span = lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end"))
+    return scanned.withColumn("secret_spans", F.array_sort(F.concat("__base", F.transform(keys, as_span)))).drop("__base", "__runs")
 
 
 def _named(spans: Column) -> Column:
@@ -266,7 +284,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: f
     """Per row: id, counts by kind, digest of the base spans, all spans as a string."""
     s = F.col("secret_spans")
     count = lambda k: F.size(F.filter(s, lambda x: x["kind"] == k)).cast("long")
-    return with_spans(docs.select(id_col, text_col), text_col, q).select(
+    return with_spans(docs.select(id_col, text_col), text_col, q, [id_col]).select(
         id_col, *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(_named(F.filter(s, lambda x: x["kind"] < 3)), 256).alias("base_sha256"), _named(s).alias("spans"),
     )
@@ -318,6 +336,11 @@ m{k} AS (
         ahead = next((x for x in needs if pattern.startswith(x)), "")
         more = f" AND regexp_matches(token, '{needs[ahead]}')" if ahead else ""
         cases.append(f"WHEN regexp_full_match(token, '{pattern[len(ahead):]}'){more} THEN {i}")
+    encoding = f"CASE {' '.join(cases)} ELSE -1 END"
+    split = " UNION ALL ".join(
+        f"SELECT doc_id, a, {i} AS alphabet, regexp_split_to_array(token, '{p}') AS gaps, regexp_extract_all(token, '{p}') AS hits FROM pieces WHERE enc < 0 AND regexp_matches(token, '{p}')"
+        for i, p in enumerate(PARTS)
+    )
     symbols = ", ".join(quoted(e[1]) for e in ENCODINGS)
     least = ", ".join(str(e[3]) for e in ENCODINGS)
     band = " + ".join(f"CASE WHEN n >= {b} THEN 1 ELSE 0 END" for b in BANDS[1:])
@@ -331,9 +354,29 @@ m{k} AS (
 base AS (
   SELECT doc_id, kind, a, a + length(token) AS z FROM m0 WHERE n >= 6
   UNION ALL SELECT doc_id, kind, a, a + length(token) FROM m1 UNION ALL SELECT doc_id, kind, a, a + length(token) FROM m2),
+cuts AS (
+  SELECT r.doc_id, r.a, r.token, b.a AS x, b.z AS y FROM m3 r JOIN base b ON b.doc_id = r.doc_id AND b.a < r.a + length(r.token) AND b.z > r.a
+  UNION ALL SELECT doc_id, a, token, a + length(token), a + length(token) FROM m3),
+between_cuts AS (
+  SELECT doc_id, a, token, x, greatest(a, coalesce(max(y) OVER (PARTITION BY doc_id, a ORDER BY x, y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a)) AS start FROM cuts),
+pieces AS (
+  SELECT doc_id, a, token, {encoding} AS enc FROM (
+    SELECT doc_id, start AS a, substring(token, start - a + 1, x - start) AS token FROM between_cuts WHERE x - start >= {LEAST_RUN})),
+found AS (
+  SELECT doc_id, a AS piece, alphabet, a + length(array_to_string(gaps[1:i], '')) + length(array_to_string(hits[1:i - 1], '')) AS a, hits[i] AS hit
+  FROM (
+    SELECT doc_id, a, alphabet, gaps, hits, unnest(range(1, len(hits) + 1)) AS i FROM (
+      {split}))),
+trimmed AS (
+  SELECT doc_id, piece, alphabet, a + before AS a, regexp_replace(substring(hit, before + 1), '{WORDS_AFTER}', '') AS token
+  FROM (SELECT *, length(regexp_extract(hit, '{WORDS_BEFORE}')) AS before FROM found)),
+chosen AS (
+  SELECT doc_id, piece, arg_max(alphabet, longest * 2 - alphabet) AS alphabet
+  FROM (SELECT doc_id, piece, alphabet, max(length(token)) AS longest FROM trimmed WHERE length(token) >= {LEAST_RUN} GROUP BY ALL) GROUP BY doc_id, piece),
 free AS (
-  SELECT doc_id, a, a + length(token) AS z, token, CASE {' '.join(cases)} ELSE -1 END AS enc FROM m3 r
-  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.a < r.a + length(r.token) AND b.z > r.a)),
+  SELECT doc_id, a, a + length(token) AS z, token, {encoding} AS enc FROM (
+    SELECT doc_id, a, token FROM pieces WHERE enc >= 0
+    UNION ALL SELECT t.doc_id, t.a, t.token FROM trimmed t JOIN chosen USING (doc_id, piece, alphabet) WHERE length(t.token) >= {LEAST_RUN})),
 usable AS (SELECT *, [{symbols}][enc + 1] AS alphabet FROM free WHERE enc >= 0 AND length(token) >= [{least}][enc + 1]),
 chars AS (
   SELECT doc_id, a, z, enc, CAST(length(alphabet) AS DOUBLE) AS k, i, CAST(strpos(alphabet, token[i]) - 1 AS DOUBLE) AS v
