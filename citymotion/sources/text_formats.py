@@ -97,22 +97,25 @@ def read_festival_entries(spark: SparkSession, path: str) -> DataFrame:
     decoded by the XML parser.
     """
     raw = spark.read.option("lineSep", ENTRY_END).text(path)
-    body = F.regexp_extract(F.col("value"), r"(<viewentry[\s>][\s\S]*)$", 1)
-    entries = raw.select(body.alias("_b")).where(F.col("_b") != "").select(F.concat(F.col("_b"), F.lit(ENTRY_END)).alias("xml"))
+    rest = F.get(F.split("value", r"<viewentry(?=[\s>])", 2), 1)
+    entries = raw.select(rest.alias("_b")).where(F.col("_b").isNotNull()).select(F.concat(F.lit("<viewentry"), F.col("_b"), F.lit(ENTRY_END)).alias("xml"))
     entries = with_ordinal(entries, "ordinal")
-    parsed = entries.withColumn("_e", F.from_xml("xml", ENTRY_SCHEMA, {"ignoreSurroundingSpaces": "false"}))
     none = F.array().cast("array<string>")
 
     def texts(d: Column) -> Column:
         parts = [F.array(d["_VALUE"]), *[F.coalesce(d[k], none) for k in TEXT_ELEMENTS], F.coalesce(d["textlist"]["text"], none)]
         return F.filter(F.transform(F.concat(*parts), lambda t: F.trim(t)), lambda t: t != "")
 
-    cols = {"unid": F.nullif(F.col("_e._unid"), F.lit(""))}
-    for name in FESTIVAL_FIELDS:
-        last = F.try_element_at(F.filter("_e.entrydata", _named(name)), F.lit(-1))
-        kept = texts(last)
-        cols[name] = F.when(F.size(kept) > 0, F.array_join(kept, " | "))
-    return parsed.select("ordinal", *[v.alias(k) for k, v in cols.items()])
+    def fields(e: Column) -> Column:
+        cols = {"unid": F.nullif(e["_unid"], F.lit(""))}
+        for name in FESTIVAL_FIELDS:
+            kept = texts(F.try_element_at(F.filter(e["entrydata"], _named(name)), F.lit(-1)))
+            cols[name] = F.when(F.size(kept) > 0, F.array_join(kept, " | "))
+        return F.struct(*[v.alias(k) for k, v in cols.items()])
+
+    # a lambda names the parsed entry, so it is parsed once however many fields are read
+    entry = F.from_xml("xml", ENTRY_SCHEMA, {"ignoreSurroundingSpaces": "false"})
+    return entries.select("ordinal", F.explode(F.transform(F.array(entry), fields)).alias("_e")).select("ordinal", "_e.*")
 
 
 def _named(name: str):
