@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citymotion.plans import adapters as A
 from citymotion.plans import oracle as O
-from citymotion.plans.registry import NORM_DEPS, PANEL_COLUMNS, PANEL_SRC, STEPS_CTE, TRAIN_YEAR, _COLL_SQL, _collision_rows, buckets, cleaned, normative, panel, register, vertices
+from citymotion.plans.registry import NORM_DEPS, ORACLE, PANEL_COLUMNS, PANEL_SRC, STEPS_CTE, TRAIN_YEAR, _COLL_SQL, _collision_rows, buckets, cleaned, normative, panel, register, vertices
 from citymotion.plans.registry_io import placed_rows, scratch
 
 # ---------------------------------------------------------------- S1, S2, P1-P4: archives of CSV members
@@ -166,6 +166,29 @@ def q_frame_labels(spark, sf):
     return placed_rows(spark, path).select("bucket_utc", "label", "place")
 
 
+# ---------------------------------------------------------------- S10: a period of a stored panel
+def _stored_period(spark, rows):
+    from citymotion.operators.frames import congestion_buckets
+    from citymotion.plans.registry_io import PERIOD
+    from citymotion.sources.panel_store import read_period, write_panel
+
+    path = write_panel(rows, scratch(spark, "panel-by-date"))
+    read = read_period(spark, path, ["route_id", "ts_utc", "ts_local", "delay_s", "date"], *PERIOD)
+    return congestion_buckets(read, metric="delay_s").withColumn("value", F.round("value", 6))
+
+
+@register("stored_period_1h", ORACLE["congestion_period_1h"])
+def q_stored_period(spark, sf):
+    """Written by date and read through months, row-group statistics and five columns."""
+    return _stored_period(spark, panel(spark, sf))
+
+
+@register("stored_period_without_date", ORACLE["congestion_period_1h"])
+def q_stored_period_without_date(spark, sf):
+    """A stored panel without ``date``: its day comes from ``ts_local``, whose bounds reach the scan."""
+    return _stored_period(spark, panel(spark, sf).drop("date"))
+
+
 # ---------------------------------------------------------------- N7 over all features
 # What each feature is compared with: the normative baseline, and nothing where there is none.
 EXPECTED = {"travel_time_s": "free_flow_s + baseline_delay_s", "delay_s": "baseline_delay_s", "wx_temp_c": "wx_temp_c * 0.75", "wx_precip_mm": "CASE WHEN obs_weather THEN 0.125 END"}
