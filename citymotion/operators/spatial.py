@@ -9,22 +9,22 @@ every point with every segment:
    a huge number of vertices is still spread over tasks).  A route's last
    vertex also yields a zero-length segment, which is how a one-vertex
    route becomes a point and changes nothing for longer routes.
-2. each segment is cut into pieces no longer than the cell size (= radius);
-   a piece's bounding box grown by the radius touches at most 4 x 4 cells.
-   A point within the radius of a segment is within the radius of one of its
-   pieces, hence inside that piece's grown box, hence in one of its cells.
-3. points get their own cell; candidates come from an equi-join on the cell.
-   The distance is computed to the *whole* segment, so it is bit-identical
-   to a brute-force evaluation.
-4. per distinct coordinate pair, ``min(struct(distance, route_id))`` gives nearest + tie-break;
-   the result is joined back on the coordinates, so points may share an id or have none,
-   and a place with very many points is searched once.
-
-Skew: a hot cell (many points in one place) only meets the few segment
-pieces of that cell; AQE's skew-join split handles the point side.  The
-segment-cell table is broadcast only when a proven bound (16 cells per piece,
-summed over segments) keeps it under the size limit; the planner's estimate
-ignores the explode fan-out.
+2. the plane is cut into square cells of twice the radius; a segment is listed under every cell
+   that the bounding boxes of its pieces (none longer than a cell) touch, each once, two or
+   three for a segment of a cell's length.
+3. a place (distinct coordinates) is listed under the at most 2 x 2 cells that its square of the
+   radius touches: a segment within the radius has a point in that square, hence a piece in one
+   of these cells.  Candidates come from an equi-join on the cell, and the distance is computed to
+   the *whole* segment, so it is bit-identical to a brute-force evaluation.
+4. per place, the least distance is a plain minimum of doubles (summed up on the map side by
+   hash, so candidates are neither written nor sorted); a second pass of the join keeps
+   the segments at that distance and takes the smallest route id (tie-break).  The result is
+   joined back on the coordinates, so points may share an id or have none, and a place with
+   very many points is searched once.
+
+The listed segments are never deduplicated or ordered.  Places are broadcast to them when a
+proven bound (4 cells a place) keeps them under the size limit; beyond it the join is a shuffle
+join that ships each segment two or three times, and AQE's skew-join split handles a crowded cell.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from citymotion.functions.geo import segment_distance, utm_columns
 from citymotion.session import broadcast_if_bounded, cut_lineage
 
 DEFAULT_MAX_DISTANCE_M = 150.0
-RINGS = (0.125, 1.0)  # shares of the radius, rising to 1
+CELL_RADII = 2  # a cell's side in radii; a place's square then touches 2 x 2 cells at most
 
 
 def project(df: DataFrame, lon: str = "lon", lat: str = "lat", x: str = "x", y: str = "y") -> DataFrame:
@@ -67,26 +67,28 @@ def _length() -> F.Column:
 
 
 def segment_cells(segs: DataFrame, cell: float) -> DataFrame:
-    """(route_id, seg, geometry, cx, cy) for every cell a segment may reach within ``cell``."""
-    length = _length()
-    pieces = F.greatest(F.lit(1), F.ceil(length / F.lit(cell)).cast("int"))
-    s = segs.withColumn("_n", pieces).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    t0 = F.col("_i") / F.col("_n")
-    t1 = (F.col("_i") + 1) / F.col("_n")
-    x0 = F.col("ax") + t0 * (F.col("bx") - F.col("ax"))
-    x1 = F.col("ax") + t1 * (F.col("bx") - F.col("ax"))
-    y0 = F.col("ay") + t0 * (F.col("by") - F.col("ay"))
-    y1 = F.col("ay") + t1 * (F.col("by") - F.col("ay"))
-    s = s.withColumns(
-        {
-            "_cx0": F.floor((F.least(x0, x1) - cell) / cell),
-            "_cx1": F.floor((F.greatest(x0, x1) + cell) / cell),
-            "_cy0": F.floor((F.least(y0, y1) - cell) / cell),
-            "_cy1": F.floor((F.greatest(y0, y1) + cell) / cell),
-        }
-    )
-    s = s.withColumn("cx", F.explode(F.sequence("_cx0", "_cx1"))).withColumn("cy", F.explode(F.sequence("_cy0", "_cy1")))
-    return s.select("route_id", "seg", "ax", "ay", "bx", "by", "cx", "cy").dropDuplicates(["route_id", "seg", "cx", "cy"])
+    """(route_id, seg, geometry, cx, cy) for every cell that a segment may lie in, each once."""
+    pieces = F.greatest(F.lit(1), F.ceil(_length() / F.lit(cell)).cast("int"))
+
+    def at(a: str, b: str, t: F.Column) -> F.Column:
+        return F.col(a) + t * (F.col(b) - F.col(a))
+
+    def touched(i: F.Column) -> F.Column:
+        """The cells of piece i's bounding box, with a millimetre for rounding."""
+        (x0, x1), (y0, y1) = ((at(a, b, i / F.col("_n")), at(a, b, (i + 1) / F.col("_n"))) for a, b in (("ax", "bx"), ("ay", "by")))
+        cx, cy = (F.sequence(F.floor((F.least(u, v) - 1e-3) / cell), F.floor((F.greatest(u, v) + 1e-3) / cell)) for u, v in ((x0, x1), (y0, y1)))
+        return F.flatten(F.transform(cx, lambda x: F.transform(cy, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+
+    cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), touched)))
+    s = segs.withColumn("_n", pieces).withColumn("_c", F.explode(cells))
+    return s.select("route_id", "seg", "ax", "ay", "bx", "by", "_c.cx", "_c.cy")
+
+
+def place_cells(places: DataFrame, radius: float, cell: float) -> DataFrame:
+    """Each place under the cells that may hold something within ``radius`` of it."""
+    reach = radius + 1e-3
+    cx, cy = (F.sequence(F.floor((F.col(c) - reach) / cell), F.floor((F.col(c) + reach) / cell)) for c in ("_px", "_py"))
+    return places.withColumn("cx", F.explode(cx)).withColumn("cy", F.explode(cy))
 
 
 def nearest_routes(
@@ -94,35 +96,35 @@ def nearest_routes(
     vertices: DataFrame,
     *,
     max_distance_m: float = DEFAULT_MAX_DISTANCE_M,
-    rings: tuple[float, ...] = RINGS,
 ) -> DataFrame:
     """Every located point with ``route_id`` / ``dist_to_route_m`` of its nearest corridor
     within the radius, NULL when none.  Rows are matched by their coordinates alone."""
     located = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     places = located.select(F.col("lon").alias("_lon"), F.col("lat").alias("_lat")).distinct()
-    rest = cut_lineage(project(places, "_lon", "_lat", x="_px", y="_py"))
+    places = cut_lineage(project(places, "_lon", "_lat", x="_px", y="_py"))
     segs = cut_lineage(segments(vertices))  # projected and self-joined once
-    best = None
-    for share in rings:
-        radius = float(max_distance_m) * share
-        hits = cut_lineage(_within(rest, segs, radius))
-        best = hits if best is None else best.unionByName(hits)
-        if share < 1.0:
-            rest = rest.join(hits.select("_lon", "_lat"), ["_lon", "_lat"], "left_anti")
+    best = cut_lineage(_within(places, segs, float(max_distance_m)))
     same = (located["lon"] == best["_lon"]) & (located["lat"] == best["_lat"])
     return located.join(best, same, "left").drop("_lon", "_lat")
 
 
 def _within(places: DataFrame, segs: DataFrame, radius: float) -> DataFrame:
     """The nearest corridor of each place that has one within ``radius``."""
-    p = places.withColumns({"cx": F.floor(F.col("_px") / radius), "cy": F.floor(F.col("_py") / radius)})
-    # each piece reaches at most 4 x 4 cells: the bound needs one aggregate over segments, no explode
-    bound = segs.agg(F.sum(F.lit(16) * F.greatest(F.lit(1), F.ceil(_length() / F.lit(radius)))).alias("b")).first().b
-    cells = broadcast_if_bounded(segment_cells(segs, radius), None if bound is None else int(bound), row_bytes=96)
-    cand = p.join(cells, ["cx", "cy"], "inner")
-    cand = cand.withColumn("_d", segment_distance("_px", "_py", "ax", "ay", "bx", "by")).where(F.col("_d") <= F.lit(radius))
-    best = cand.groupBy("_lon", "_lat").agg(F.min(F.struct(F.col("_d"), F.col("route_id"))).alias("_b"))
-    return best.select("_lon", "_lat", F.col("_b.route_id").alias("route_id"), F.col("_b._d").alias("dist_to_route_m"))
+    cell = CELL_RADII * radius
+    cells = segment_cells(segs, cell)
+    distance = segment_distance("_px", "_py", "ax", "ay", "bx", "by")
+
+    def candidates(of: DataFrame) -> DataFrame:
+        """(place, segment) pairs of a shared cell; a pair may come from several cells."""
+        sought = broadcast_if_bounded(place_cells(of, radius, cell), 4 * of.count(), row_bytes=64)
+        return cells.join(sought, ["cx", "cy"], "inner").withColumn("_d", distance)
+
+    near = candidates(places).where(F.col("_d") <= F.lit(radius))
+    least = cut_lineage(near.groupBy("_lon", "_lat", "_px", "_py").agg(F.min("_d").alias("_least")))
+    at = candidates(least).where(F.col("_d") == F.col("_least"))
+    first = F.when(~F.bool_or(F.col("route_id").isNull()), F.min("route_id"))  # NULL comes before all ids
+    best = at.groupBy("_lon", "_lat").agg(first.alias("route_id"), F.min("_d").alias("dist_to_route_m"))
+    return best.select("_lon", "_lat", "route_id", "dist_to_route_m")
 
 
 def snap_to_routes(
