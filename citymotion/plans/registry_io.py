@@ -214,8 +214,9 @@ for _agg, _expr in (
 
 # ---------------------------------------------------------------- streams
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a stream of files."""
-    return spark.readStream.schema(A.table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*")
+    """The events table as a stream of files; the rows of a batch are dealt to all tasks before
+    their text is parsed, since a batch may be a single file."""
+    return spark.readStream.schema(A.table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*").repartition("event_id")
 
 
 def drained(stream: DataFrame, name: str) -> DataFrame:

@@ -268,13 +268,14 @@ DAYS = ((1, 10), (11, 20), (21, 31))  # a file stream's batches, in time order
 
 
 def _in_batches(spark, sf):
-    """The events as a stream of several micro-batches (one written folder each)."""
+    """The events as a stream of several micro-batches (one written file each); the rows of a
+    batch are dealt to all tasks before their text is parsed."""
     e = A.table(spark, sf, "events")
     path = scratch(spark, "event-batches")
     for low, high in DAYS:
         part = e.where(F.dayofmonth("ts").between(low, high))
         (part if low > 1 else part.unionByName(e.where("ts IS NULL"))).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path).repartition("event_id")
 
 
 _CUT = "(SELECT date_trunc('millisecond', max(ts_utc)) - INTERVAL 2 HOUR FROM obs)"
