@@ -46,14 +46,15 @@ def event_datetime(date_text: str | Column, time_text: str | Column) -> Column:
     d = F.trim(_c(date_text))
     t = F.trim(F.coalesce(_c(time_text), F.lit("")))
     with_time = F.when(t != "", F.concat_ws(" ", d, t))
-    # each layout parses the text as a UTC instant (suffix " Z"), the first hit wins,
-    # and the instant is turned back into its wall clock once
-    tries = [
-        F.try_to_timestamp(F.concat(cand, F.lit(" Z")), F.lit(fmt + " X"))
-        for cand in (with_time, d)
-        for fmt in EVENT_DATETIME_FORMATS
-    ]
-    return instant_to_utc_ntz(F.coalesce(*tries))
+    # each layout parses the text as a UTC instant (suffix " Z"), the first hit wins, and the
+    # instant is turned back into its wall clock once; the lambda keeps a single copy of the
+    # layouts in small code, since two such columns in one generated method are too long to be compiled
+    def first_hit(hit: Column, text: Column) -> Column:
+        timed = F.when(text.contains(":"), text)  # the others fit no layout with a time
+        return F.coalesce(hit, *[F.try_to_timestamp(timed if ":" in fmt else text, F.lit(fmt + " X")) for fmt in EVENT_DATETIME_FORMATS])
+
+    texts = F.array(F.concat(with_time, F.lit(" Z")), F.concat(d, F.lit(" Z")))
+    return instant_to_utc_ntz(F.aggregate(texts, F.lit(None).cast("timestamp"), first_hit))
 
 
 def road_closed(col: str | Column) -> Column:
