@@ -10,7 +10,7 @@ factor, cut at ``length``.
    equal k-grams at equal places.  An anchor owns a run of consecutive strings (about 85),
    and its context is the bytes of that run.  Runs of one context within a text (short
    periods) are one row.  Hashes of k-grams and contexts only route.
-2. Only anchors whose k-gram occurs twice go on.  Of each context around it the first
+2. Only anchors whose k-gram occurs twice go on (written once).  Of each context around it the first
    occurrence is fetched, and the last one too if there are several.
 3. These fragments are sorted by k-gram; groups of them are put into a suffix array (ranks of
    8, 24 and 72 bytes by prefix tripling, then of the full length at the starts of owned
@@ -25,10 +25,10 @@ factor, cut at ``length``.
 5. The removed runs meet their text again.
 
 What is shuffled: hashes and positions of anchors (about 30 bytes for 85 of text), one or two
-fragments of each repeated context, and the texts twice (compressed).  No task gathers an
-unbounded group: counts are aggregated map-side, joins can be split by Spark, and groups
-of fragments have at most 2 x ``CROWDED`` members (fewer for long strings, so that ranks
-keep to their 21 bits).
+fragments of each repeated context, and the texts twice (compressed).  A step's shuffle files
+go when its result is written.  No task gathers an unbounded group: counts are aggregated
+map-side, joins can be split by Spark, and groups of fragments have at most 2 x ``CROWDED``
+members (fewer for long strings, so that ranks keep to their 21 bits).
 
 Defined results: null text is empty; texts shorter than ``length`` keep everything; repeated rows
 are copies like any others, and null ids are ordinary rows (rows are told apart by a row
@@ -50,6 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from citymotion.llm.common import small_batches, utf8, written
+from citymotion.session import shuffles_freed
 
 LENGTH = 200
 GRAM = 32  # bytes of a k-gram, a power of two; less for strings under twice as long
@@ -389,14 +390,14 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", cro
         raise ValueError("keep is 'none' or 'first'")
     found = written(_anchor_rows(docs, length), "anchors")
     shared = found.groupBy("gram").agg(F.sum("n").alias("t")).filter("t > 1").select("gram")
-    near = found.join(shared, "gram")
+    near = written(found.drop("off").join(shared, "gram", "left_semi"), "near")
     crowded = min(crowded, RANKS // (4 * length) - 1)  # two fragments of under 2 x length bytes for each context
     contexts = near.groupBy("gram", "context").agg(F.sum("n").alias("copies"), F.min(F.struct("rid", "lo")).alias("rep"), F.max(F.struct("rid", "lo")).alias("end"))
     several = contexts.groupBy("gram").agg(F.count("*").alias("contexts"))
     judged = near.join(contexts, ["gram", "context"]).join(several, "gram")
     place = F.struct("rid", "lo")
     judged = judged.withColumns({"is_rep": place == F.col("rep"), "is_end": place == F.col("end"), "crowded": F.col("contexts") > crowded})
-    judged = written(judged.drop("rep", "end", "context", "off").filter("copies > 1 OR contexts > 1"), "judged")
+    judged = written(judged.drop("rep", "end", "context").filter("copies > 1 OR contexts > 1"), "judged")
     # what the suffix order doesn't judge by itself: the copies between, periods, crowded grams
     whole = judged.filter("copies > 1 AND (NOT (is_rep OR is_end) OR hi > hi1 OR crowded)")
     stop = (F.col("hi") + length).cast("int").alias("stop")
@@ -435,7 +436,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: ``id_col``, ``KEPT`` and the remaining bytes in ``kept``."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    spans = written(removed_spans(rows, length, keep, crowded), "spans")
+    with shuffles_freed(docs.sparkSession):
+        spans = written(removed_spans(rows, length, keep, crowded), "spans")
     lists = spans.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
     @pandas_udf(f"{KEPT}, kept binary")

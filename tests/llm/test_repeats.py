@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -121,3 +122,26 @@ def test_segments_of_very_long_texts(monkeypatch):
     whole = R.owners(R.gram_hashes(np.frombuffer(data, np.uint8)), 200)
     monkeypatch.setattr(R, "SEGMENT", 137)
     assert R.owners(R.gram_hashes(np.frombuffer(data, np.uint8)), 200).tolist() == whole.tolist()
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    """Before the result is read, nothing that an earlier step shuffled is on disk."""
+
+    def files():
+        return set(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n"))
+
+    def left():
+        return {f for f in files() - before if "/shuffle_" in f}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(key, None)
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(corpus())], "doc_id long, text string").coalesce(1)
+    before = files()
+    result = R.without_repeats(df)
+    for _ in range(50):  # they are removed in the background
+        if not left():
+            break
+        time.sleep(0.1)
+    assert not left()
+    assert spark.conf.get(key, None) == held
+    assert result.count() == len(corpus())
