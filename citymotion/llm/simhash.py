@@ -128,13 +128,14 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGM
     some = entries.filter((F.col("n") > 1) & (F.col("n") <= crowded)).select("seg", "value")
     listed = single.unionByName(tables.join(some, ["seg", "value"]).select("seg", "value", "fp"))
     far = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
-    fetched = probes.join(listed, ["seg", "value"]).filter((F.col("q") != F.col("fp")) & far("q", "fp"))
+    # The planner sizes a table as if explode gave one row: "merge" keeps it from broadcasting the balls.
+    fetched = probes.hint("merge").join(listed, ["seg", "value"]).filter((F.col("q") != F.col("fp")) & far("q", "fp"))
     fetched = fetched.select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b"))
     near = probes.join(full, ["seg", "value"], "left_semi").select(F.col("q").alias("fp")).distinct()
     half = _ball(list(range(64)), max_bits // 2)
     middle = near.select("fp", F.explode(_xored(F.col("fp"), half)).alias("value"))
     low = middle.groupBy("value").agg(F.min("fp").alias("m"), F.count("*").alias("n")).filter("n > 1")
-    linked = middle.join(low, "value").filter(F.col("fp") != F.col("m"))
+    linked = middle.join(low.hint("merge"), "value").filter(F.col("fp") != F.col("m"))
     linked = linked.filter(far("fp", "m")).select(F.col("m").alias("a"), F.col("fp").alias("b"))
     return fetched.unionByName(linked).distinct()
 

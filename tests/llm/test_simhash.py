@@ -111,3 +111,17 @@ def test_the_row_that_stays_does_not_depend_on_partitions(spark):
         assert kept == [(1, "a"), (3, "y")]
     one = spark.createDataFrame([(1, "x"), (1, "x"), (None, None)], "doc_id long, text string")
     assert S.keep_first(one).count() == 2
+
+
+def test_exploded_balls_are_not_broadcast(spark, tmp_path):
+    """A table of prints under the broadcast limit is far over it once each print is 34 rows."""
+    spark.createDataFrame([(i,) for i in range(100)], "fp long").write.parquet(str(tmp_path / "fp"))
+    plan = S.near_links(spark.read.parquet(str(tmp_path / "fp")))._jdf.queryExecution().sparkPlan()
+    built, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        todo += children
+        if node.nodeName() == "BroadcastHashJoin":
+            built.append(children[0 if node.buildSide().toString() == "BuildLeft" else 1].toString())
+    assert built and not [b for b in built if "Generate" in b]
