@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,63 +23,122 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 TRAILING = "route_id string, step long, n_steps long, mean_x double, history array<double>"
 
 
+class Steps(NamedTuple):
+    """Steps of some routes, a column each; ``x`` is NaN where there is no value."""
+
+    route_id: np.ndarray
+    step: np.ndarray
+    us: np.ndarray
+    src_pos: np.ndarray
+    x: np.ndarray
+    open: np.ndarray
+
+    def taken(self, rows: np.ndarray) -> Steps:
+        return Steps(*[c[rows] for c in self])
+
+
+STEPS = pa.schema([("route_id", pa.string()), ("step", pa.int64()), ("us", pa.int64()), ("src_pos", pa.int64()), ("x", pa.float64()), ("open", pa.bool_())])
+# Routes are dealt into so many groups a day: a call of the state interface handles a
+# group's routes together, and its state has 299 steps a route at most.  A stream's checkpoint
+# depends on it.
+BUCKETS = 64
+EMITTED = 10_000  # rows of windows handed over, or of new steps held, at once
+
+
 class TrailingSteps(StatefulProcessor):
-    """Per (route, day): the latest observation of each step that a window can still need.
+    """Per (bucket of routes, day): the latest observation of each route's steps that a window
+    can still need.
 
     A step is final when the watermark reaches its end.  One timer waits for the earliest
     step that is open; it emits the windows of all final steps and drops what no later
-    window needs, so the state is a ring of ``size`` steps and those within the lateness
-    bound, each held once.  State is read and written once a call."""
+    window needs, so the state is a ring of ``size`` steps a route and those within the
+    lateness bound, each held once.  State is one binary value (an Arrow table) that is read
+    and written once a call, and a call handles all routes of its bucket at once."""
 
     def __init__(self, size: int, step_s: int):
         self.size, self.step_ms, self.day_ms = size, step_s * 1000, DAY * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("steps", "step array<long>, us array<long>, src_pos array<long>, x array<double>, open array<boolean>")
+        self.state = handle.getValueState("steps", "steps binary")
 
-    def _load(self) -> dict[int, tuple]:
+    def _load(self) -> Steps | None:
         held = self.state.get() if self.state.exists() else None
-        return {} if held is None else {s: (u, p, x, o) for s, u, p, x, o in zip(*held)}
+        if held is None:
+            return None
+        with pa.ipc.open_stream(bytes(held[0])) as stream:
+            return Steps(*[c.to_numpy(zero_copy_only=False) for c in stream.read_all().combine_chunks().columns])
 
-    def _save(self, key, steps: dict[int, tuple]) -> None:
+    def _save(self, key, steps: Steps) -> None:
         """Write the state and wait for the earliest open step, or for the end of the day."""
-        if not steps:
+        if not len(steps.step):
             self.state.clear()
             return
-        us, pos, x, is_open = (list(c) for c in zip(*steps.values()))
-        self.state.update((list(steps), us, pos, x, is_open))
-        waiting = [s for s, o in zip(steps, is_open) if o]
-        self.handle.registerTimer((min(waiting) + 1) * self.step_ms if waiting else (int(key[1]) + 1) * self.day_ms)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, STEPS) as out:
+            out.write_batch(pa.record_batch([pa.array(c, t) for c, t in zip(steps, STEPS.types)], schema=STEPS))
+        self.state.update((sink.getvalue().to_pybytes(),))
+        waiting = steps.step[steps.open]
+        self.handle.registerTimer((int(waiting.min()) + 1) * self.step_ms if len(waiting) else (int(key[1]) + 1) * self.day_ms)
+
+    def _latest(self, parts: list[Steps]) -> Steps:
+        """The latest row of each (route, step), a route's steps in order; of equal (us, src_pos)
+        the first stays."""
+        rows = Steps(*[np.concatenate(c) for c in zip(*parts)])
+        route = pd.factorize(rows.route_id)[0]
+        order = np.lexsort((~rows.src_pos, ~rows.us, rows.step, route))
+        route, step = route[order], rows.step[order]
+        return rows.taken(order[np.r_[True, (route[1:] != route[:-1]) | (step[1:] != step[:-1])]])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        steps, new = self._load(), False
+        parts, waiting = [], 0
         for batch in rows:
-            for s, us, pos, x, copy in zip(batch["step"].tolist(), batch["us"].tolist(), batch["src_pos"].tolist(), batch["x"].tolist(), batch["copy"].tolist()):
-                if (s + 1) * self.step_ms <= watermark:
-                    continue  # its window has been emitted
-                if s not in steps or (us, pos) > steps[s][:2]:
-                    steps[s], new = (us, pos, None if x is None or x != x else x, not copy), True
-        if new:
-            self._save(key, steps)
+            new = Steps(*[batch[c].to_numpy(dtype=t) for c, t in zip(Steps._fields[:-1], (object, np.int64, np.int64, np.int64, np.float64))], ~batch["copy"].to_numpy(dtype=bool))
+            new = new.taken((new.step + 1) * self.step_ms > watermark)  # else its window has been emitted
+            if not len(new.step):
+                continue
+            if not parts and (held := self._load()) is not None:
+                parts.append(held)
+            parts.append(new)
+            waiting += len(new.step)
+            if waiting > len(parts[0].step) + EMITTED:  # no more than twice the state is held
+                parts, waiting = [self._latest(parts)], 0
+        if parts:
+            self._save(key, self._latest(parts))
         return iter(())
 
+    def _windows(self, steps: Steps, ends: np.ndarray) -> Iterator[pd.DataFrame]:
+        """The windows that end at the rows ``ends`` of ``steps``."""
+        step, route, x = steps.step, steps.route_id, steps.x
+        first = np.maximum.accumulate(np.where(np.r_[True, route[1:] != route[:-1]], np.arange(len(step)), 0))
+        known = ~np.isnan(x)
+        values = x.astype(object)
+        values[~known] = None
+        for part in range(0, len(ends), EMITTED):
+            at = ends[part : part + EMITTED]
+            low, total, n = at.copy(), np.zeros(len(at)), np.zeros(len(at), dtype=np.int64)
+            for back in range(self.size - 1, -1, -1):
+                i = np.maximum(at - back, 0)
+                inside = (at - back >= first[at]) & (step[i] > step[at] - self.size)
+                low = np.where(inside, np.minimum(low, i), low)
+                total = np.where(inside & known[i], total + x[i], total)
+                n += inside & known[i]
+            mean = np.full(len(at), None, dtype=object)
+            mean[n > 0] = total[n > 0] / n[n > 0]
+            history = [values[a : b + 1].tolist() for a, b in zip(low.tolist(), at.tolist())]
+            yield pd.DataFrame({"route_id": route[at], "step": step[at], "n_steps": at - low + 1, "mean_x": mean, "history": history})
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        steps, out = self._load(), []
-        for end in sorted(s for s, held in steps.items() if held[3] and (s + 1) * self.step_ms <= watermark):
-            window = [steps[s][2] for s in range(end - self.size + 1, end + 1) if s in steps]
-            known = [x for x in window if x is not None]
-            out.append((key[0], end, len(window), sum(known) / len(known) if known else None, window))
-            steps[end] = (*steps[end][:3], False)
+        steps = self._load()
+        if steps is None:
+            return
+        due = steps.open & ((steps.step + 1) * self.step_ms <= watermark)
+        yield from self._windows(steps, np.flatnonzero(due))
         over = watermark >= (int(key[1]) + 1) * self.day_ms
-        current = watermark // self.step_ms
-        kept = {s: h for s, h in steps.items() if h[3] or (not over and s + self.size > current)}
-        if kept or steps:
-            self._save(key, kept)
-        if out:
-            yield pd.DataFrame(dict(zip(("route_id", "step", "n_steps", "mean_x", "history"), map(list, zip(*out)))))
+        steps = steps._replace(open=steps.open & ~due)
+        self._save(key, steps.taken(steps.open | (not over) & (steps.step + self.size > watermark // self.step_ms)))
 
     def close(self) -> None:
         pass
@@ -86,8 +148,8 @@ def trailing_steps_stream(panel: DataFrame, value: str = "travel_time_s", *, siz
     """T4: the trailing window of ``size`` steps ending at every observed step, as batch N6 gives it:
     route_id, window_end, n_steps, is_complete, mean_x, history.
 
-    Keys are (route, UTC day); the last ``size - 1`` steps of a day are also sent to the next
-    day's key, so a route's days are separate groups.  Needs the RocksDB state store.
+    Keys are (bucket of routes, UTC day); the last ``size - 1`` steps of a day are also sent to
+    the next day's key, so a route's days are separate groups.  Needs the RocksDB state store.
     """
     spark = panel.sparkSession
     ship_package(spark)
@@ -95,13 +157,14 @@ def trailing_steps_stream(panel: DataFrame, value: str = "travel_time_s", *, siz
     step_s, reach = step_minutes * 60, (size - 1) * step_minutes * 60
     us = _epoch_micros(F.col("ts_utc"))
     step = F.floor(us / 1_000_000 / step_s).cast("long")
-    rows = with_event_time(panel.select("route_id", "ts_utc", "src_pos", F.col(value).cast("double").alias("x")), lateness)
+    rows = with_event_time(panel.where("ts_utc IS NOT NULL").select("route_id", "ts_utc", F.coalesce("src_pos", F.lit(-(1 << 63))).alias("src_pos"), F.col(value).cast("double").alias("x")), lateness)
     rows = rows.select("event_time", F.coalesce("route_id", F.lit("")).alias("route_id"), us.alias("us"), "src_pos", "x", step.alias("step"))
     day = F.floor(F.col("step") * step_s / DAY).cast("long")
     late = F.col("step") * step_s % DAY >= DAY - reach
     copies = F.when(late, F.array(F.struct(day.alias("day"), F.lit(False).alias("copy")), F.struct((day + 1).alias("day"), F.lit(True).alias("copy"))))
     rows = rows.withColumn("_k", F.explode(F.coalesce(copies, F.array(F.struct(day.alias("day"), F.lit(False).alias("copy")))))).select("*", "_k.day", "_k.copy").drop("_k")
-    out = rows.groupBy("route_id", "day").transformWithStateInPandas(TrailingSteps(size, step_s), TRAILING, "Append", "EventTime")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("route_id"), F.lit(BUCKETS)))
+    out = rows.groupBy("bucket", "day").transformWithStateInPandas(TrailingSteps(size, step_s), TRAILING, "Append", "EventTime")
     end = F.timestamp_seconds(F.col("step") * step_s)
     return out.select("route_id", F.convert_timezone(F.current_timezone(), F.lit("UTC"), end.cast("timestamp_ntz")).alias("window_end"), "n_steps", (F.col("n_steps") == size).alias("is_complete"), "mean_x", "history")
 

@@ -4,10 +4,12 @@ import datetime as dt
 import random
 import uuid
 
+import pandas as pd
 import pytest
 
 from citymotion.operators.normalize import keep_last
 from citymotion.operators.scoring import step_series, trailing_windows
+from citymotion.streaming import stateful
 from citymotion.streaming.stateful import LatestTable, trailing_steps_stream, upsert_stream
 from citymotion.streaming.streams import bucket_mean_stream, collision_hours_stream, dedupe_first_stream, start
 
@@ -88,6 +90,67 @@ def test_trailing_steps_equal_batch(spark, tmp_path):
     assert len(got.collect()) > 40 and {e.date() for e in ends} == {dt.date(2024, 5, 1), dt.date(2024, 5, 2)}
 
 
+class OneState:
+    """A state handle that counts what is read and written."""
+
+    def __init__(self):
+        self.held, self.calls, self.timers = None, 0, []
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        self.calls += 1
+        return self.held
+
+    def update(self, value):
+        self.calls, self.held = self.calls + 1, value
+
+    def clear(self):
+        self.held = None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.watermark
+
+
+@pytest.mark.parametrize("at_once", [7, 10_000])
+def test_a_call_handles_all_routes_of_its_bucket(monkeypatch, at_once):
+    monkeypatch.setattr(stateful, "EMITTED", at_once)
+    rnd, day, seen, out = random.Random(3), 100, {}, {}
+    state, steps = OneState(), stateful.TrailingSteps(12, 300)
+    steps.init(state)
+    for low, high, watermark in ((0, 40, 0), (20, 80, 30), (60, 288, 70), (0, 0, 289)):  # steps of a batch, watermark in it
+        state.watermark = (day * 288 + watermark) * 300_000
+        for step, (n, mean, history) in [((r.route_id, r.step), (r.n_steps, r.mean_x, r.history)) for f in steps.handleExpiredTimer((5, day), state, None) for r in f.itertuples(index=False)]:
+            assert step not in out
+            out[step] = n, None if mean is None or mean != mean else round(mean, 9), list(history)
+        rows = []
+        for i in range(400 if high else 0):
+            step = day * 288 + rnd.randrange(low, high)
+            row = f"R{rnd.randrange(9)}", step, step * 300_000_000 + rnd.randrange(3), rnd.randrange(4), rnd.choice([None, float(i)]), rnd.random() < 0.1
+            rows.append(row)
+            if step >= state.watermark // 300_000 and (row[:2] not in seen or row[2:4] > seen[row[:2]][:2]):
+                seen[row[:2]] = (*row[2:5], not row[5])
+        frame = pd.DataFrame(rows, columns=["route_id", "step", "us", "src_pos", "x", "copy"])
+        before = state.calls
+        list(steps.handleInputRows((5, day), iter([frame[:150], frame[150:]]) if rows else iter(()), state))
+        assert state.calls <= before + 2
+    want = {}
+    for (route, step), held in seen.items():
+        if held[3]:
+            window = [seen[route, s][2] for s in range(step - 11, step + 1) if (route, s) in seen]
+            known = [x for x in window if x is not None]
+            want[route, step] = len(window), round(sum(known) / len(known), 9) if known else None, window
+    assert out == want and len({r for r, _ in out}) == 9
+    assert state.held is None and state.timers  # the day is over
+
+
 def test_windows_of_hours_drop_only_what_is_too_late(spark, tmp_path):
     rows, watermark = kept_by_hour()
     got = drained(spark, collision_hours_stream(fed(spark, tmp_path)), tmp_path)
